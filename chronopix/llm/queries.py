@@ -22,3 +22,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.quality_classifier import quality_classifier
 
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.bpe import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"))
