@@ -29,3 +29,10 @@ def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.bpe import encode_decode
 
     return encode_decode(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
