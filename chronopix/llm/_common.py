@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +38,23 @@ def materialise(df: DataFrame) -> DataFrame:
 def keep_input_columns(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is in ``kept_ids``, with the columns of ``docs``."""
     return docs.join(kept_ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+
+
+#: Arrow types of the columns that ``map_texts`` may add, by their Spark names.
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+
+
+def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str, list]]], added: dict[str, str]) -> DataFrame:
+    """Add columns that Python computes from ``text`` and drop ``text``; the others
+    pass through untouched. ``make()`` runs once in each task."""
+    kept = [(c, t) for c, t in docs.dtypes if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per_batch = make()
+        for b in batches:
+            if b.num_rows:
+                got = per_batch(b.column("text").to_pylist())
+                new = [pa.array(got[c], ARROW[t]) for c, t in added.items()]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c, _ in kept), *new], names=[*(c for c, _ in kept), *added])
+
+    return docs.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in [*kept, *added.items()]))

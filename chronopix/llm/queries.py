@@ -36,3 +36,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
