@@ -43,3 +43,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.secrets import find_secrets
 
     return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
