@@ -50,3 +50,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.quality_rules import quality_rules
 
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.pii import find_personal_data
+
+    return find_personal_data(table(spark, sf_dir, "documents"))
