@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronopix.session import ship_code
+
 #: Word separators of every operator here: space, tab, \n, \v, \f, \r.
 SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -47,6 +49,7 @@ ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean
 def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str, list]]], added: dict[str, str]) -> DataFrame:
     """Add columns that Python computes from ``text`` and drop ``text``; the others
     pass through untouched. ``make()`` runs once in each task."""
+    ship_code(docs.sparkSession)
     kept = [(c, t) for c, t in docs.dtypes if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

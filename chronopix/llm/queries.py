@@ -57,3 +57,10 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.pii import find_personal_data
 
     return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
