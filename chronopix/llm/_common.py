@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -37,13 +38,23 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``materialise``, as a Parquet table in the shared folder: smaller on disk."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    path = f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def keep_input_columns(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is in ``kept_ids``, with the columns of ``docs``."""
     return docs.join(kept_ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
 
 
 #: Arrow types of the columns that ``map_texts`` may add, by their Spark names.
-ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
 
 
 def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str, list]]], added: dict[str, str]) -> DataFrame:
@@ -57,7 +68,7 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str
         for b in batches:
             if b.num_rows:
                 got = per_batch(b.column("text").to_pylist())
-                new = [pa.array(got[c], ARROW[t]) for c, t in added.items()]
+                new = [got[c] if isinstance(got[c], pa.Array) else pa.array(got[c], ARROW[t]) for c, t in added.items()]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c, _ in kept), *new], names=[*(c for c, _ in kept), *added])
 
     return docs.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in [*kept, *added.items()]))

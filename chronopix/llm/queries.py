@@ -64,3 +64,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.toxicity import score_toxicity
 
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.suffix_tree import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
