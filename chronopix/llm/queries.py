@@ -71,3 +71,10 @@ def op3_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.suffix_tree import score_texts
 
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
