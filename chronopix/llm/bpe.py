@@ -229,9 +229,10 @@ class WordBPE:
             if len(self.cache) > CACHED_WORDS:
                 self.cache = {s: self.cache[s] for s in self.special}
                 self.text.clear()
-            new = set().union(*words) - self.cache.keys()
+            known = self.cache
+            new = [w for w in set().union(*words) if w not in known]
             if new:
-                self.learn(list(new))
+                self.learn(new)
             get = self.cache.__getitem__
             for w in words:
                 yield list(map(get, w))
@@ -243,8 +244,9 @@ class WordBPE:
 
     def decode_runs(self, runs: list[bytes]) -> bytes:
         text = self.text
-        for r in set(runs) - text.keys():
-            text[r] = self.decode(r)
+        for r in set(runs):
+            if r not in text:
+                text[r] = self.decode(r)
         return b" ".join([text[r] for r in runs])
 
 
