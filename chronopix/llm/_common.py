@@ -72,3 +72,16 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c, _ in kept), *new], names=[*(c for c, _ in kept), *added])
 
     return docs.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in [*kept, *added.items()]))
+
+
+def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
+    """The rows of ``docs`` whose text passes, with all columns and without a shuffle;
+    a null text is tested as an empty one."""
+    ship_code(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = make()
+        for b in batches:
+            yield b.filter(pa.array(test([t or "" for t in b.column("text").to_pylist()]), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

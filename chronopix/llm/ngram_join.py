@@ -336,7 +336,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, with the columns of ``docs``;
-    rows with a null id stay."""
+    """One row for each component, that of its smallest id, with the columns of
+    ``docs``; rows with a null id stay."""
     first = near_duplicates(docs, **options).where("doc_id = component_id")
-    return keep_input_columns(docs, first).unionByName(docs.where(F.col("doc_id").isNull()))
+    return keep_input_columns(docs, first).dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))

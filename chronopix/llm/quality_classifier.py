@@ -13,15 +13,13 @@ trained on; repeated rows are scored alike; without any label every score is 0.5
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import documents, remainder
+from chronopix.llm._common import documents, filter_texts, map_texts, remainder
 
 #: Filter width in bytes (even), number of filters, and size of a byte's embedding.
 WIDTH, FILTERS, EMBED = 6, 16, 6
@@ -157,19 +155,41 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, max_train_docs: int = 150
     return train([r.text for r in rows], np.array([r.label for r in rows]))
 
 
-def score_quality(docs: DataFrame, model: ByteCNN | None, *, threshold: float = 0.7, modulus: int = 4, held_out: int = 2) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(shared):
+    """A function that scores a batch of texts, for use inside tasks."""
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         net = shared.value
         tables = net.pair_tables() if net else None
-        for batch in batches:
-            s = [score_text(net, tables, t) if net else 0.5 for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": s})
+        return lambda texts: [score_text(net, tables, t) if net else 0.5 for t in texts]
+
+    return make
+
+
+def score_quality(docs: DataFrame, model: ByteCNN | None, *, threshold: float = 0.7, modulus: int = 4, held_out: int = 2) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row of ``docs``."""
+    make = scorer(docs.sparkSession.sparkContext.broadcast(model))
+
+    def column():
+        score = make()
+        return lambda texts: {"score": score(texts)}
+
+    texts = documents(docs).select("doc_id", "text", (remainder(F.col("doc_id"), modulus) == held_out).alias("held_out"))
+    return map_texts(texts, column, {"score": "double"}).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, **options) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``; all of them without labels."""
+    model = fit_quality(docs, labels, **options)
+    if model is None:
+        return docs
+    make = scorer(docs.sparkSession.sparkContext.broadcast(model))
+
+    def test():
+        score = make()
+        return lambda texts: [s >= threshold for s in score(texts)]
 
-    scored = documents(docs).select("doc_id", "text", (remainder(F.col("doc_id"), modulus) == held_out).alias("held_out"))
-    return scored.mapInPandas(score, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return filter_texts(docs, test)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import SPACE, keep_input_columns, materialise
+from chronopix.llm._common import SPACE, materialise
 
 WINDOW = 8
 DIM = 4
@@ -66,8 +66,8 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) <= WINDOW, 0).otherwise(let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes))
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the statistics of every whole text."""
+def text_statistics(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, lang, source and the statistics of every whole text, and ``more`` columns."""
     column = lambda c: (F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")).alias(c)
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.filter(F.split(text, SPACE), lambda w: w != "")
@@ -78,10 +78,11 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     bare = F.length(F.translate(text, " \t\n\x0b\x0c\r", ""))
     symbols = F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))
     got = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), column("lang"), column("source"), in_words.alias("w"), dup_lines.cast("long").alias("n_dup_lines"), bare.cast("long").alias("word_chars"), symbols.cast("long").alias("n_symbols")
+        F.col("doc_id").cast("long").alias("doc_id"), column("lang"), column("source"), in_words.alias("w"), dup_lines.cast("long").alias("n_dup_lines"), bare.cast("long").alias("word_chars"), symbols.cast("long").alias("n_symbols"), *more
     )
     n, r = F.col("w.n").cast("long"), F.col("w.r").cast("long")
-    return got.select("doc_id", "lang", "source", n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", r.alias("n_repeat_words"), ((n < 20) | (100 * r > 30 * n)).alias("base_failed"))
+    rest = got.columns[len(got.columns) - len(more) :] if more else []
+    return got.select(*rest, "doc_id", "lang", "source", n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", r.alias("n_repeat_words"), ((n < 20) | (100 * r > 30 * n)).alias("base_failed"))
 
 
 def transformed(stats: DataFrame) -> DataFrame:
@@ -154,16 +155,22 @@ def refit(points: DataFrame, estimates: DataFrame) -> DataFrame:
     return got.select(*KEY, *[f"m{i}" for i in range(DIM)], *[f"l{i}{j}" for i in range(DIM) for j in range(i + 1)])
 
 
-def quality_rules(docs: DataFrame, *, cutoff: float = 23.51, least: int = 30, steps: int = 3) -> DataFrame:
-    """doc_id, the statistics, base_failed, kept and the squared distance ``d2`` (null
-    where no estimate applies). ``cutoff``: the 0.9999 quantile of chi-square in DIM dimensions."""
-    stats = materialise(transformed(text_statistics(docs)).withColumn("row", F.monotonically_increasing_id()))
+def estimated(stats: DataFrame, least: int, steps: int) -> tuple[DataFrame, DataFrame]:
+    """The rows that pass the fixed rules, once for each level, and the estimates."""
     passed = with_levels(stats.where(~F.col("base_failed")))
     points = passed.select(*KEY, *[f"x{i}" for i in range(DIM)])
     enough = points.groupBy(*KEY).count().where(F.col("count") >= least).select(*KEY)
     estimates = materialise(start_estimates(points.join(enough, KEY)))
     for _ in range(steps):
         estimates = materialise(refit(points, estimates))
+    return passed, estimates
+
+
+def quality_rules(docs: DataFrame, *, cutoff: float = 23.51, least: int = 30, steps: int = 3) -> DataFrame:
+    """doc_id, the statistics, base_failed, kept and the squared distance ``d2`` (null
+    where no estimate applies). ``cutoff``: the 0.9999 quantile of chi-square in DIM dimensions."""
+    stats = materialise(transformed(text_statistics(docs)).withColumn("row", F.monotonically_increasing_id()))
+    passed, estimates = estimated(stats, least, steps)
     judged = distance(passed.select("row", *KEY, *[f"x{i}" for i in range(DIM)]).join(estimates, KEY))
     # a document has at most two distances here: its own group's comes first
     verdict = judged.groupBy("row").agg(F.min_by("d2", "level").alias("d2"))
@@ -171,8 +178,16 @@ def quality_rules(docs: DataFrame, *, cutoff: float = 23.51, least: int = 30, st
     return stats.join(verdict, "row", "left").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "d2")
 
 
-def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, with the columns of ``docs``."""
-    return keep_input_columns(docs, quality_rules(docs, **options).where("kept"))
-
-
+def kept_documents(docs: DataFrame, *, cutoff: float = 23.51, least: int = 30, steps: int = 3) -> DataFrame:
+    """The rows of ``docs`` that are kept, with the columns of ``docs``. Statistics are
+    computed again beside each text, which is cheaper than shuffling the texts."""
+    stats = materialise(transformed(text_statistics(docs)).select("lang", "source", "base_failed", *[f"x{i}" for i in range(DIM)]))
+    _, estimates = estimated(stats, least, steps)
+    parameters = [c for c in estimates.columns if c not in KEY]
+    level = lambda n: estimates.where(F.col("level") == n).select(F.col("of").alias(f"of{n}"), *[F.col(c).alias(f"{c}_{n}") for c in parameters])
+    rows = transformed(text_statistics(docs, F.struct(*[F.col(c) for c in docs.columns]).alias("document"))).where(~F.col("base_failed"))
+    lang, source = F.coalesce("lang", F.lit("\0")), F.coalesce("source", F.lit("\0"))
+    rows = rows.select("document", *[f"x{i}" for i in range(DIM)], F.concat(lang, F.lit("\1"), source).alias("of0"), lang.alias("of1"))
+    rows = rows.join(level(0), "of0", "left").join(level(1), "of1", "left")
+    rows = rows.select("document", *[f"x{i}" for i in range(DIM)], *[F.coalesce(f"{c}_0", f"{c}_1").alias(c) for c in parameters])
+    return distance(rows).where(F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff).select("document.*")

@@ -78,3 +78,10 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.ngram_join import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.embedding_dedup import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"))
