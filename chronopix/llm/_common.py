@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,21 @@ def keep_input_columns(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
 
 
+#: Characters of the texts that Python handles at once, beyond a single text.
+AT_ONCE = 1 << 20
+
+
+def small_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows, of about AT_ONCE characters of text each."""
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    turn = np.cumsum(sizes) // AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str, list]]], added: dict[str, str]) -> DataFrame:
     """Add columns that Python computes from ``text`` and drop ``text``; the others
     pass through untouched. ``make()`` runs once in each task."""
@@ -65,8 +82,8 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per_batch = make()
-        for b in batches:
-            if b.num_rows:
+        for batch in batches:
+            for b in small_batches(batch):
                 got = per_batch(b.column("text").to_pylist())
                 new = [got[c] if isinstance(got[c], pa.Array) else pa.array(got[c], ARROW[t]) for c, t in added.items()]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c, _ in kept), *new], names=[*(c for c, _ in kept), *added])

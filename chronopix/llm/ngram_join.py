@@ -10,9 +10,10 @@ before the sets are compared, a suffix filter bounds their overlap by the counts
 matching hash ranges. Each pair is verified once, on the whole sets.
 
 Only components are asked for, so a shingle's group of more than SMALL texts is not
-expanded into all its pairs: its texts are first compared with the one that holds
-the shingle earliest, and after that only texts that are still in different
-components are compared with each other, which loses no link between components.
+expanded into all its pairs: its texts are first compared with one of them, the same
+for all shingles that the same texts share, and after that only texts that are still
+in different components are compared with each other, which loses no link between
+components. Groups of the same texts are looked at once.
 
 Defined cases: null and empty texts have empty sets and link with nothing; fewer
 than five words make one shingle; rows with a null id link with nothing and have a
@@ -39,14 +40,15 @@ SHINGLE = 5
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 #: Groups of up to so many texts are compared pair by pair.
-SMALL = 16
+SMALL = 8
 #: Prefix entries that a task packs together, and that one partition joins.
 PACKED, JOINED = 1_000_000, 1_000_000
 CACHED_WORDS = 400_000
 #: Bits of the table that tells which documents are in any candidate pair.
 FILTER_BITS = 1 << 23
-#: Pairs between components of one group that are compared without another pivot.
-CROSS_PAIRS = 2_000_000
+#: Pairs between components, for each member of a group, that are compared without
+#: another pivot; and turns with pivots before that is done anyway.
+CROSS_PAIRS, TURNS = 2, 6
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -281,29 +283,40 @@ def passes(s1: str, p1: str, s2: str, p2: str, percent: int):
     return (100 * small >= percent * large) & ((100 + percent) * most >= percent * (small + large))
 
 
+def different_groups(members: DataFrame) -> DataFrame:
+    """One group for each set of texts: the one of the smallest key."""
+    marks = members.groupBy("key").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(f"x{i}") for i in (0, 1)])
+    keys = marks.where("n > 1").groupBy("n", "x0", "x1").agg(F.min("key").alias("key"))
+    return members.join(keys.select("key"), "key", "left_semi")
+
+
+def pivots_of(members: DataFrame, keys: list[str], turn: int) -> DataFrame:
+    """One text of each group, by a hash that changes with the turn."""
+    first = F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "size", "place")
+    return members.groupBy(*keys).agg(F.min(first).alias("f")).select(*keys, "f.doc", "f.size", "f.place")
+
+
 def link_crowded(docs: DataFrame, members: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
-    """Edges that complete the components of groups of more than SMALL texts."""
-    for turn in range(6):
+    """Edges that complete the components of groups of more than SMALL texts. Pairs
+    that were compared before are not compared again."""
+    done = None
+    for turn in range(TURNS + 1):
         found = components(edges).withColumnRenamed("node", "doc")
         named = written(members.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc")))
         by = named.groupBy("key", "component").agg(F.count("*").alias("n"))
-        cross = by.groupBy("key").agg(((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)) / 2).alias("pairs")).where("pairs > 0")
-        total = cross.agg(F.sum("pairs")).first()[0] or 0
-        if not total:
+        cross = by.groupBy("key").agg(F.sum("n").alias("n"), ((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)) / 2).alias("pairs")).where("pairs > 0")
+        total = cross.agg(F.sum("pairs"), F.sum("n")).first()
+        if not total[0]:
             return edges
         left = named.join(cross.select("key"), "key")
-        last = total <= CROSS_PAIRS or turn == 5
-        if last:
-            other = left
-        else:
-            # the text of each component that holds the shingle earliest; another in each turn
-            first = F.struct("place", F.xxhash64("doc", F.lit(turn)), "doc", "size")
-            if turn:
-                first = F.struct(F.xxhash64("doc", F.lit(turn)), "place", "doc", "size")
-            other = left.groupBy("key", "component").agg(F.min(first).alias("f")).select("key", "component", "f.doc", "f.size", "f.place")
+        last = total[0] <= CROSS_PAIRS * total[1] or turn == TURNS
+        other = left if last else pivots_of(left, ["key", "component"], turn)
         other = other.select("key", *[F.col(c).alias(f"{c}2") for c in ("doc", "component", "size", "place")])
-        pairs = left.join(other, "key").where((F.col("component") != F.col("component2")) & ((F.col("doc") < F.col("doc2")) if last else F.lit(True)) & passes("size", "place", "size2", "place2", percent))
-        pairs = written(pairs.select(*pair_columns("doc", "doc2")).distinct())
+        once = (F.col("doc") < F.col("doc2")) if last else F.lit(True)
+        pairs = left.join(other, "key").where((F.col("component") != F.col("component2")) & once & passes("size", "place", "size2", "place2", percent))
+        pairs = pairs.select(*pair_columns("doc", "doc2")).distinct()
+        pairs = written(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"))
+        done = pairs if done is None else done.union(pairs)
         edges = written(edges.union(verified(docs, pairs, percent)))
         if last:
             return edges
@@ -324,11 +337,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
     # equal sets: each is linked to the smallest id that has it
     groups = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("f1", "f2").agg(F.min("doc_id").alias("a"), F.count("*").alias("many")).where("many > 1")
     equal = sets.where(F.col("n") > 0).join(groups, ["f1", "f2"]).select("a", F.col("doc_id").alias("b")).where("a <> b")
-    members = found.where("b is null").select(F.col("a").alias("doc"), "key", "size", "place").distinct()
-    pivots = members.groupBy("key").agg(F.min(F.struct("place", F.xxhash64("doc"), "doc", "size")).alias("f")).select("key", F.col("f.doc").alias("doc2"), F.col("f.size").alias("size2"), F.col("f.place").alias("place2"))
+    # of equal sets only the smallest id takes part
+    stand_in = written(equal)
+    as_first = lambda c: stand_in.select(F.col("b").alias(c), F.col("a").alias(f"{c}_first"))
+    members = found.where("b is null").select(F.col("a").alias("doc"), "key", "size", "place").join(as_first("doc"), "doc", "left")
+    members = written(members.select(F.coalesce("doc_first", "doc").alias("doc"), "key", "size", "place").distinct())
+    members = written(different_groups(members))
+    pivots = pivots_of(members, ["key"], 0).select("key", *[F.col(c).alias(f"{c}2") for c in ("doc", "size", "place")])
     star = members.join(pivots, "key").where((F.col("doc") != F.col("doc2")) & passes("size", "place", "size2", "place2", percent)).select(*pair_columns("doc", "doc2"))
-    pairs = written(found.where("b is not null").select("a", "b").union(star).distinct())
-    edges = written(verified(texts, pairs, percent).union(equal))
+    small = found.where("b is not null").select("a", "b").join(as_first("a"), "a", "left").join(as_first("b"), "b", "left")
+    small = small.select(F.coalesce("a_first", "a").alias("a"), F.coalesce("b_first", "b").alias("b")).where("a <> b").select(*pair_columns("a", "b"))
+    pairs = written(small.union(star).distinct())
+    edges = written(verified(texts, pairs, percent).union(stand_in))
     if members.limit(1).count():
         edges = link_crowded(texts, members, edges, percent)
     named = components(edges).withColumnRenamed("node", "doc_id")

@@ -21,3 +21,8 @@ def query(sql: str | None = None):
         return f
 
     return put
+
+
+def load() -> None:
+    """Import all modules that register queries."""
+    from chronopix.plans import recordings, stacks, tables  # noqa: F401
