@@ -36,11 +36,11 @@ def joint_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.select(*ID, tidy(scalar.angle(*[F.col(c) for c in ("ax", "ay", "bx", "by", "cx", "cy")]), 4).alias("angle"))
 
 
-@query(f"""{K}, m AS (SELECT trial_id, quantile_cont(bx, 0.5) AS mx FROM keypoints GROUP BY ALL) SELECT {ID_SQL}, round(sqrt((ax - bx) * (ax - bx) + (ay - "by") * (ay - "by")), 4) AS dist, round(ax - mx, 6) + 0.0 AS rel FROM keypoints JOIN m USING (trial_id)""")
+@query(f"""{K}, m AS (SELECT trial_id, quantile_cont(bx, 0.5) AS mx FROM keypoints GROUP BY ALL) SELECT {ID_SQL}, round(sqrt((ax - bx) * (ax - bx) + (ay - "by") * (ay - "by")), 4) AS dist, round(ax - mx, 8) + 0.0 AS rel FROM keypoints JOIN m USING (trial_id)""")
 def keypoint_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = keypoints(spark, sf_dir)
     middle = k.groupBy("trial_id").agg(F.percentile("bx", F.lit(0.5)).alias("mx"))
-    return k.join(middle, "trial_id").select(*ID, F.round(scalar.distance(*[F.col(c) for c in ("ax", "ay", "bx", "by")]), 4).alias("dist"), tidy(F.col("ax") - F.col("mx")).alias("rel"))
+    return k.join(middle, "trial_id").select(*ID, F.round(scalar.distance(*[F.col(c) for c in ("ax", "ay", "bx", "by")]), 4).alias("dist"), tidy(F.col("ax") - F.col("mx"), 8).alias("rel"))
 
 
 @query(f"{K} SELECT trial_id, round(1 - var_pop(cy - 2 * cx) / nullif(var_pop(cy), 0), 6) + 0.0 AS explained FROM keypoints GROUP BY ALL")
