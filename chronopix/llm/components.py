@@ -1,8 +1,11 @@
-"""Connected components by contraction.
+"""Connected components by randomised contraction.
 
-Every round each node takes the smallest of its neighbours and itself as its new
-name; edges are renamed, loops and repeats drop out, and few rounds leave none.
-Neighbours are only ever reduced to their minimum, never gathered."""
+Every round each node takes as its new name that one of its neighbours and itself
+which comes first in a fresh random order; edges are renamed, loops and repeats drop
+out. A constant share of the nodes is expected to go in each round, whatever the
+graph's shape, so chains need no more than logarithmically many rounds. Neighbours
+are only ever reduced to one of them, never gathered; in the end each component
+takes its smallest node as its name."""
 
 from __future__ import annotations
 
@@ -16,18 +19,22 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (the smallest node reachable) for all nodes of the
     edges ``a``, ``b``."""
     edges = materialise(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    names = None
+    names, turn = None, 0
     while edges.limit(1).count():
+        order = lambda c, turn=turn: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("id"))
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        smallest = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("name")))
+        first = both.groupBy(F.col("a").alias("node")).agg(F.min(order("b")).alias("m"))
+        chosen = materialise(first.select("node", F.least("m", order("node"))["id"].alias("name")))
         if names is None:
-            names = smallest.select("node", F.col("name").alias("component"))
+            names = chosen.select("node", F.col("name").alias("component"))
         else:
-            step = smallest.select(F.col("node").alias("component"), "name")
+            step = chosen.select(F.col("node").alias("component"), "name")
             names = materialise(names.join(step, "component", "left").select("node", F.coalesce("name", "component").alias("component")))
-        of = lambda c: smallest.select(F.col("node").alias(c), F.col("name").alias(f"{c}2"))
+        of = lambda c, chosen=chosen: chosen.select(F.col("node").alias(c), F.col("name").alias(f"{c}2"))
         renamed = edges.join(of("a"), "a").join(of("b"), "b").where("a2 <> b2")
         edges = materialise(renamed.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct())
+        turn += 1
     if names is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return names
+    smallest = names.groupBy("component").agg(F.min("node").alias("smallest"))
+    return materialise(names.join(smallest, "component").select("node", F.col("smallest").alias("component")))
