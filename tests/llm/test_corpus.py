@@ -166,7 +166,7 @@ def test_held_out_accuracy(spark, kind):
     from chronopix.llm.quality_classifier import quality_classifier
     from chronopix.llm.toxicity import score_toxicity
 
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"  # sf0.01 holds out only six toxic rows
     frames = [spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels")]
     got = by_id((score_toxicity if kind == "toxic" else quality_classifier)(*frames))
     truth = {r.doc_id: r[kind] for r in frames[1].collect()}
@@ -298,6 +298,14 @@ def test_vectors(spark):
     assert got == {r.vec_id: (n[r.vec_id], name[r.vec_id], name[r.vec_id] == r.vec_id) for r in rows}
 
 
+def test_components_of_chains_and_stars(spark):
+    from chronopix.llm.components import components as contracted
+
+    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200)]
+    got = {r.node: r.component for r in contracted(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == components(set(got), [x for x in links if x[0] != x[1]]) and set(got) == {*range(41), *range(100, 130)}
+
+
 def shingle_set(text):
     w = WORD.findall(text.translate(LOWER))
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
