@@ -5,8 +5,8 @@ alike, rare shingles first; how often a shingle occurs is read from a table of
 counts over BUCKETS hash buckets, summed over all texts (any common order is exact;
 the counts only make prefixes rare). Two sets can only reach the similarity if they
 share a shingle among their first n - ceil(t*n) + 1, so only those are shuffled, in
-packed arrays, and joined. Candidates pass a length filter and a positional filter;
-before the sets are compared, a suffix filter bounds their overlap by the counts in
+packed arrays, and joined. Candidates pass a length filter and a positional filter,
+which holds a shared shingle to be the first one that the two share; before the sets are compared, a suffix filter bounds their overlap by the counts in
 matching hash ranges. Each pair is verified once, on the whole sets.
 
 Only components are asked for, so a shingle's group of more than SMALL texts is not
@@ -172,9 +172,11 @@ def packed_prefixes(docs: DataFrame, counts: np.ndarray, parts: int, percent: in
 
 
 def may_link(n1, p1, n2, p2, percent: int):
-    """Length and positional filters for two sets that share the entries at p1 and p2."""
+    """Length and positional filters for two sets whose first shared entries are those
+    at p1 and p2: nothing before them is shared. For later shared entries the bound is
+    too low, but a pair that links passes at its first."""
     small, large = np.minimum(n1, n2).astype(np.int64), np.maximum(n1, n2).astype(np.int64)
-    most = np.minimum(p1, p2) + 1 + np.minimum(n1 - p1, n2 - p2) - 1
+    most = np.minimum(n1 - p1, n2 - p2)
     return (100 * small >= percent * large) & ((100 + percent) * most.astype(np.int64) >= percent * (small + large))
 
 
@@ -279,14 +281,15 @@ def pair_columns(x, y) -> list:
 def passes(s1: str, p1: str, s2: str, p2: str, percent: int):
     """``may_link`` as an expression."""
     small, large = F.least(s1, s2), F.greatest(s1, s2)
-    most = F.least(p1, p2) + F.least(F.col(s1) - F.col(p1), F.col(s2) - F.col(p2))
+    most = F.least(F.col(s1) - F.col(p1), F.col(s2) - F.col(p2))
     return (100 * small >= percent * large) & ((100 + percent) * most >= percent * (small + large))
 
 
 def different_groups(members: DataFrame) -> DataFrame:
-    """One group for each set of texts: the one of the smallest key."""
-    marks = members.groupBy("key").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(f"x{i}") for i in (0, 1)])
-    keys = marks.where("n > 1").groupBy("n", "x0", "x1").agg(F.min("key").alias("key"))
+    """One group for each set of texts: that of the key which comes first in the order
+    of shingles, in the smallest text as in all, so that it is the first shared one."""
+    marks = members.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc", "place")).alias("first"), *[F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(f"x{i}") for i in (0, 1)])
+    keys = marks.where("n > 1").groupBy("n", "x0", "x1").agg(F.min_by("key", "first.place").alias("key"))
     return members.join(keys.select("key"), "key", "left_semi")
 
 
