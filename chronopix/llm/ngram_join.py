@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 from chronopix.llm._common import documents, keep_input_columns, written
 from chronopix.llm.components import components
-from chronopix.llm.suffix_tree import words_of
 from chronopix.session import ship_code
 
 SHINGLE = 5
@@ -59,22 +58,28 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class WordHashes(dict):
+    """Word hashes, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 class Shingler:
-    """Sorted arrays of distinct shingle hashes; word hashes are remembered."""
+    """Sorted arrays of distinct shingle hashes."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known = WordHashes()
 
     def __call__(self, text: str) -> np.ndarray:
-        words, known = words_of(text), self.known
+        # of bytes, lower() changes A-Z alone and split() parts at the six separators alone
+        words, known = text.encode("utf-8", "surrogatepass").lower().split(), self.known
         if not words:
             return np.zeros(0, np.uint64)
         if len(known) > CACHED_WORDS:
             known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        h = np.array([known[w] for w in words], np.uint64)
+        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = max(1, len(h) - SHINGLE + 1)
         code = np.full(n, min(len(h), SHINGLE), np.uint64)
         for k in range(min(len(h), SHINGLE)):
@@ -157,7 +162,7 @@ def packed_prefixes(docs: DataFrame, counts: np.ndarray, parts: int, percent: in
                 if f in seen:
                     continue  # an equal set of this pack stands for it; they are linked by fingerprint
                 seen.add(f)
-                order = np.lexsort((s, table[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))
+                order = np.argsort(table[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], kind="stable")  # s is sorted
                 prefix = s[order[: len(s) - needed_share(len(s), percent) + 1]]
                 held.append((doc_id, len(s), prefix))
                 size += len(prefix)
