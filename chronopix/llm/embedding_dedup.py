@@ -13,8 +13,9 @@ are verified in double precision, block against block.
 Equal vectors of a label are joined into one with a count before that. Cells stand
 on shelves of about BLOCK vectors, so a query's vector travels once to each shelf
 that holds any cell it visits, and a crowded cell takes several shelves. A shelf meets
-its queries in blocks; pairs inside them are counted and never listed, and only one
-edge for each vector and block goes on to the components.
+its queries in blocks; pairs inside them are counted and never listed. Each block pair
+is reduced to its own components, and one edge for each vector that has a partner there,
+on either side, goes on to the components of the whole table: no link is lost.
 
 Defined cases: null labels and ids, null, empty or zero vectors and vectors with
 null or non-finite parts link with nothing; vectors of different lengths link with
@@ -99,6 +100,23 @@ def multi_sequence(first: np.ndarray, second: np.ndarray, limit: float) -> list[
     return cells
 
 
+def local_roots(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all vectors on both sides of a block pair that have a partner there, and
+    with each the id of the root of its component inside the pair."""
+    rows, columns, nodes, roots = near.any(1), near.any(0), [], []
+    for start in np.flatnonzero(rows):
+        edge = np.array([start]) if rows[start] else np.zeros(0, int)
+        while len(edge):
+            rows[edge] = False
+            met = np.flatnonzero(near[edge].any(0) & columns)
+            columns[met] = False
+            nodes += [left[edge], right[met]]
+            roots.append(np.full(len(edge) + len(met), left[start]))
+            edge = np.flatnonzero(near[:, met].any(1) & rows)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *nodes]), np.concatenate([none, *roots])
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """Distinct usable vectors of each label as doubles: vec_id (the smallest), many.
     Equality is that of the given components."""
@@ -118,7 +136,7 @@ def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int =
     table = table.withColumn("row", F.monotonically_increasing_id())
     rows = usable(table.drop("row")).withColumn("h", F.xxhash64("label", "x"))
     same = materialise(rows.groupBy("label", "h", "x").agg(F.min("vec_id").alias("first"), F.count("*").alias("many")))
-    dims = [r[0] for r in same.select(F.size("x")).distinct().limit(1000).collect()]
+    dims = [r[0] for r in same.select(F.size("x")).distinct().collect()]
     limit = 2 - 2 * least + 1e-9
     sums, edges = None, None
     for dim in sorted(dims):
@@ -168,8 +186,10 @@ def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int =
             ids, other, many = left.column("first").to_numpy(), right.column("m_first").to_numpy(), right.column("m_many").to_numpy()
             near = (q @ m.T >= least) & (ids[:, None] != other[None])
             on = near.any(1)
-            smallest = np.where(near[on], other[None], np.iinfo(np.int64).max).min(1) if on.any() else np.zeros(0, np.int64)
-            return pa.table([pa.array(ids[on]), pa.array((near[on] * many[None]).sum(1)), pa.array(smallest)], names)
+            nodes, roots = local_roots(near, ids, other)
+            # rows that count links are edges to themselves; rows that are edges count none
+            first, links = np.concatenate([ids[on], nodes]), np.concatenate([(near[on] * many[None]).sum(1), np.zeros(len(nodes), np.int64)])
+            return pa.table([pa.array(first), pa.array(links), pa.array(np.concatenate([ids[on], roots]))], names)
 
         # own names on the other side, as both come from the same table
         other_side = member.select(*[F.col(c).alias(f"m_{c}") for c in (*keys, "first", "many", "raw")])

@@ -298,6 +298,20 @@ def test_vectors(spark):
     assert got == {r.vec_id: (n[r.vec_id], name[r.vec_id], name[r.vec_id] == r.vec_id) for r in rows}
 
 
+def test_chains_of_vectors(spark):
+    """Links that are no query's smallest, in chains with shuffled ids."""
+    from chronopix.llm.embedding_dedup import link_vectors
+
+    rng = np.random.default_rng(8)
+    ids = [1, 4, 3, 2, *(100 + rng.permutation(60)).tolist()]
+    turns = [(10 * k, "four") for k in range(4)] + [(9 * k % 360 + 0.01 * k, "ring") for k in range(30)] + [(7 * k, "open") for k in range(30)]
+    rows = [(int(i), [float(np.cos(np.radians(a))), float(np.sin(np.radians(a)))], of) for i, (a, of) in zip(ids, turns, strict=True)]
+    links = [(a, b) for k, (a, x, of) in enumerate(rows) for b, y, to in rows[:k] if of == to and np.dot(x, y) >= 0.98]
+    name = components(ids, links)
+    got = {r.vec_id: (r.component_id, r.kept) for r in link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {i: (name[i], name[i] == i) for i in ids} and [name[i] for i in (1, 2, 3, 4)] == [1] * 4
+
+
 def test_components_of_chains_and_stars(spark):
     from chronopix.llm.components import components as contracted
 
