@@ -1,17 +1,17 @@
 """Personal data: information-theoretic sanitisation.
 
 Base patterns find protected entities (e-mail addresses, IP addresses, card and
-phone numbers). Then the corpus tells which words near an entity give it away: for
-an entity e in n(e) of N documents and a term t in n(t), of which n(e,t) hold t
-within REACH characters of e, the pointwise mutual information
-log2(N * n(e,t) / (n(e) * n(t))) is set against the entity's information
-log2(N / n(e)). Where the ratio reaches ``disclosure`` and at least ``support``
-documents bear it out, the term almost names the entity, and its occurrences beside
-it are reported as ``term`` spans, to be removed with the entity.
-
-All of it is DataFrame expressions. Spans are found inside each row; only contexts
-of entities and per-partition word counts are shuffled, so frequent words and
-entities in many documents are summed before they move.
+phone numbers). Then the corpus tells which words give an entity away: for an entity
+e in n(e) of N documents and a term t in n(t), of which n(e,t) hold both anywhere, the
+pointwise mutual information log2(N * n(e,t) / (n(e) * n(t))) is set against the
+entity's information log2(N / n(e)). Where the ratio reaches ``disclosure`` and at
+least ``support`` documents bear it out, the term almost names the entity, and each of
+its occurrences outside entities, in every document, is reported as a ``term`` span,
+to be removed with the entity. Words inside an entity are terms like others.
+
+All of it is DataFrame expressions. Spans are found inside each row; word counts are
+summed before they move. Pairs are formed only of entities and words that can still
+reach support and ratio by their own counts, which loses no pair.
 
 Defined cases: a null or empty text has no spans; repeated rows are documents of
 their own; parts of IP addresses are read as numbers whatever their leading zeros;
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import documents, materialise
+from chronopix.llm._common import documents, materialise, written
 from chronopix.llm.quality_rules import let
 
 #: Patterns in the order in which kinds are listed. Repeats that can't give anything
@@ -37,8 +37,6 @@ PATTERNS = {
 #: What a text must hold before its pattern is tried.
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 WORD = r"[\p{L}\p{N}]+"
-#: Code points to either side of an entity in which terms are looked for.
-REACH = 48
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 
 
@@ -99,62 +97,53 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(k) for k in PATTERNS])
 
 
-def nearby_words(context: Column, offset: Column, cut_first: Column, cut_last: Column) -> Column:
-    """Lower-cased words of a context with their places in the text; a word that the
-    context's edge may have cut is left out."""
-    words = located(context, WORD)
-    whole = F.filter(words, lambda w: ~(cut_first & (w["start"] == 0)) & ~(cut_last & (w["start"] + F.length(w["value"]) == F.length(context))))
-    return F.transform(whole, lambda w: F.struct(F.lower(w["value"]).alias("term"), (w["start"] + offset).alias("start"), (w["start"] + offset + F.length(w["value"])).alias("end")))
+def terms_of(text: Column) -> Column:
+    """Different words of a text in lower case."""
+    return F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), 0)), F.lower))
 
 
-def contexts(texts: DataFrame) -> DataFrame:
-    """row, doc_id, spans and, for each span, its entity and the words beside it."""
+def with_entities(texts: DataFrame) -> DataFrame:
+    """row, doc_id, text, spans and the different entities of each text."""
     found = texts.select("row", "doc_id", "text", base_spans(F.col("text")).alias("spans"))
-    text = F.col("text")
-
-    def beside(s: Column) -> Column:
-        lo = F.greatest(s["start"] - REACH, F.lit(0))
-        left = F.substring(text, (lo + 1).cast("int"), (s["start"] - lo).cast("int"))
-        right = F.substring(text, (s["end"] + 1).cast("int"), F.lit(REACH))
-        before = nearby_words(left, lo, lo > 0, F.lit(False))
-        after = nearby_words(right, s["end"], F.lit(False), s["end"] + REACH < F.length(text))
-        return F.struct(F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"), F.concat(before, after).alias("words"))
-
+    entity = lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))
     spans = F.transform("spans", lambda s: s.dropFields("value"))
-    return found.select("row", "doc_id", spans.alias("spans"), F.transform("spans", beside).alias("near"))
+    return found.select("row", "doc_id", "text", spans.alias("spans"), F.array_distinct(F.transform("spans", entity)).alias("entities"))
 
 
 def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def revealing_terms(near: DataFrame, texts: DataFrame, disclosure: float, support: int) -> DataFrame:
-    """entity, term: pairs whose mutual information reaches the threshold."""
-    total = texts.agg(F.count("*").alias("total"))
-    together = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+def revealing_terms(found: DataFrame, disclosure: float, support: int) -> DataFrame:
+    """term: words whose mutual information with any entity reaches the threshold."""
     # a single row: the size of the broadcast is known
-    pairs = together.join(entities, "entity").join(words, "term").join(F.broadcast(total))
+    total = F.broadcast(found.agg(F.count("*").alias("total")))
+    held = found.select("row", F.explode("entities").alias("entity"))
+    # n(e,t) <= n(e), so the ratio is out of reach for words in more documents than this
+    most = F.pow("total", F.lit(1 - disclosure)) * F.pow("n_e", F.lit(disclosure)) * (1 + 1e-9)
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
+    entities = materialise(entities.join(total).where(F.col("n_e") < F.col("total")).withColumn("most", most))
+    words = found.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t")).where(F.col("n_t") >= support)
+    # in Parquet, so that the size is known and small tables are broadcast
+    words = written(words.join(F.broadcast(entities.agg(F.max("most").alias("any")))).where(F.col("n_t") <= F.col("any")).drop("any"))
+    held = held.join(entities, "entity")
+    beside = found.where(F.size("entities") > 0).select("row", F.explode(terms_of(F.col("text"))).alias("term")).join(words, "term")
+    pairs = held.join(beside, "row").where(F.col("n_t") <= F.col("most")).groupBy("entity", "n_e", "term", "n_t", "total").agg(F.count("*").alias("n_et"))
     known, about = F.log2(F.col("total") * F.col("n_et") / (F.col("n_e") * F.col("n_t"))), F.log2(F.col("total") / F.col("n_e"))
-    return pairs.where((about > 0) & (known >= disclosure * about)).select("entity", "term")
+    return pairs.where((F.col("n_et") >= support) & (known >= disclosure * about)).select("term").distinct()
 
 
 def find_personal_data(docs: DataFrame, *, disclosure: float = 0.9, support: int = 3) -> DataFrame:
     """doc_id, counts and digest of the base spans, and all spans with the terms that
     disclose an entity (kind ``term``, listed last)."""
     texts = documents(docs).withColumn("row", F.monotonically_increasing_id())
-    found = materialise(contexts(texts))
-    near = (
-        found.where(F.size("near") > 0)
-        .select("row", F.explode("near").alias("n"))
-        .select("row", F.col("n.entity").alias("entity"), F.explode("n.words").alias("w"))
-        .select("row", "entity", F.col("w.term").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-    )
-    terms = near.join(revealing_terms(near, texts, disclosure, support), ["entity", "term"]).select("row", "start", "end").distinct()
-    in_base = F.exists("spans", lambda s: (F.col("start") < s["end"]) & (F.col("end") > s["start"]))
-    spans_of = found.where(F.size("spans") > 0).select("row", "spans")
-    extra = terms.join(spans_of, "row").where(~in_base).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
+    found = written(with_entities(texts))
+    revealing = written(revealing_terms(found, disclosure, support))
+    holders = found.select("row", F.explode(terms_of(F.col("text"))).alias("term")).join(revealing, "term").groupBy("row").agg(F.collect_set("term").alias("held"))
+    free = lambda w: ~F.exists("spans", lambda s: (w["start"] < s["end"]) & (w["start"] + F.length(w["value"]) > s["start"]))
+    marked = F.filter(located(F.col("text"), WORD), lambda w: F.array_contains("held", F.lower(w["value"])) & free(w))
+    terms = F.transform(marked, lambda w: F.struct(w["start"].alias("start"), (w["start"] + F.length(w["value"])).alias("end")))
+    extra = found.join(holders, "row").select("row", terms.alias("terms"))
     every = F.concat("spans", F.transform(F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.join(extra, "row", "left").select(

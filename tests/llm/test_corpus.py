@@ -90,6 +90,20 @@ def test_disclosing_terms_are_removed(spark):
     assert "codeword" not in got[0].text and "[EMAIL]" in got[0].text and got[9].text == rows[9][1]
 
 
+def test_disclosing_terms_of_whole_texts(spark):
+    """Terms far from the entity, and their other occurrences, also where it is absent."""
+    from chronopix.llm.pii import find_personal_data
+
+    far = " ".join(f"filler{k % 5} word" for k in range(60))
+    texts = [f"Zorro heads this. {far} Write to owl@nest.org or zorro. {far} {far} ZORRO" for _ in range(9)] + [f"{far} only zorro here"] + [f"{far} text {i}" for i in range(90)]
+    got = by_id(find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    for i in (0, 9, 50):
+        base = [(a, b) for _, a, b in personal(texts[i])]
+        marked = [texts[i][int(a) : int(b)].lower() for k, a, b in (s.split(":") for s in got[i].spans.split(",") if s) if k == "term"]
+        assert marked.count("zorro") == texts[i].lower().count("zorro") and got[i].n_term == len(marked)
+        assert len(base) == got[i].n_email and not {"word", "filler0", "text"} & set(marked)
+
+
 def statistics(text):
     words = WORD.findall(text)
     lines = [x for x in text.split("\n") if WORD.search(x)]
