@@ -8,7 +8,8 @@ together: starting at medians and median deviations, each concentration step
 refits to the documents of least distance, which never raises the covariance's
 determinant. A document is rejected if its squared Mahalanobis distance is above
 ``cutoff``. Groups with fewer than ``least`` documents use their language's
-estimate; languages with fewer keep what the fixed rules keep.
+estimate, languages with fewer that of all documents; tables with fewer keep what
+the fixed rules keep.
 
 All of it is DataFrame expressions. Statistics are computed inside each row, so no
 text is shuffled; statistics are kept at multiples of 1/1024, so sums do not depend
@@ -32,7 +33,9 @@ from chronopix.llm._common import SPACE, materialise
 WINDOW = 8
 DIM = 4
 #: Least standard deviation of each transformed statistic: word length, symbols, repeated lines, repeated words.
-FLOOR = (0.12, 0.35, 1.0, 1.0)
+#: It takes the place of a smaller one only. The last two can be as far off as log(101)
+#: and log(31); among documents without any, about one repeated line or word in ten is too much.
+FLOOR = (0.12, 0.35, 0.5, 0.5)
 #: The share of documents that estimates rest on, and the factor that makes the
 #: covariance of that share consistent at the normal distribution in DIM dimensions.
 SHARE, CONSISTENT = 0.75, 1.488
@@ -93,12 +96,19 @@ def transformed(stats: DataFrame) -> DataFrame:
 
 
 def with_levels(df: DataFrame) -> DataFrame:
-    """Each row twice: for its language and source, and for its language."""
+    """Each row three times: for its language and source, for its language, and for all."""
     lang, source = F.coalesce("lang", F.lit("\0")), F.coalesce("source", F.lit("\0"))
-    return df.withColumn("level", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("of", F.when(F.col("level") == 0, F.concat(lang, F.lit("\1"), source)).otherwise(lang))
+    return df.withColumn("level", F.explode(F.array(F.lit(0), F.lit(1), F.lit(ALL)))).withColumn("of", F.when(F.col("level") == 0, F.concat(lang, F.lit("\1"), source)).when(F.col("level") == 1, lang).otherwise(""))
 
 
-KEY = ["level", "of"]
+KEY, ALL = ["level", "of"], 2
+
+
+def beside(rows: DataFrame, few: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """Rows with what ``few`` has for their group. The one group of all rows is not
+    dealt by its key, as it would land in one task."""
+    groups = rows.where(F.col("level") != ALL).join(few.where(F.col("level") != ALL), keys)
+    return groups.unionByName(rows.where(F.col("level") == ALL).join(F.broadcast(few.where(F.col("level") == ALL)), keys))
 
 
 def bin_reached(df: DataFrame, value: Column, keys: list[str], share: float, name: str) -> DataFrame:
@@ -118,10 +128,10 @@ def start_estimates(points: DataFrame) -> DataFrame:
     """Medians and median deviations as centre ``m`` and factor ``l`` (row-wise lower triangle)."""
     long = spread(points)
     median = bin_reached(long, F.round(F.col("x") * 64), [*KEY, "i"], 0.5, "mid")
-    far = long.join(median, [*KEY, "i"]).withColumn("off", F.abs(F.col("x") - F.col("mid") / 64))
+    far = beside(long, median, [*KEY, "i"]).withColumn("off", F.abs(F.col("x") - F.col("mid") / 64))
     mad = bin_reached(far, F.ceil(F.col("off") * 64), [*KEY, "i"], 0.5, "mad")
     both = median.join(mad, [*KEY, "i"]).groupBy(*KEY).agg(*[F.max(F.when(F.col("i") == i, F.col(c) / 64)).alias(f"{c}{i}") for i in range(DIM) for c in ("mid", "mad")])
-    deviation = lambda i: F.sqrt(F.pow(1.4826 * F.col(f"mad{i}"), 2) + FLOOR[i] ** 2)
+    deviation = lambda i: F.greatest(1.4826 * F.col(f"mad{i}"), F.lit(FLOOR[i]))
     return both.select(*KEY, *[F.col(f"mid{i}").alias(f"m{i}") for i in range(DIM)], *[(deviation(i) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(DIM) for j in range(i + 1)])
 
 
@@ -137,15 +147,15 @@ def distance(df: DataFrame) -> DataFrame:
 
 def refit(points: DataFrame, estimates: DataFrame) -> DataFrame:
     """One concentration step: estimates from the SHARE of least distance."""
-    near = distance(points.join(estimates, KEY)).select(*KEY, *[f"x{i}" for i in range(DIM)], F.floor(F.log1p("d2") * 64).alias("bin"))
+    near = distance(beside(points, estimates)).select(*KEY, *[f"x{i}" for i in range(DIM)], F.floor(F.log1p("d2") * 64).alias("bin"))
     limit = bin_reached(near, F.col("bin"), KEY, SHARE, "limit")
-    half = near.join(limit, KEY).where(F.col("bin") <= F.col("limit"))
+    half = beside(near, limit).where(F.col("bin") <= F.col("limit"))
     sums = half.groupBy(*KEY).agg(
         F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(DIM)], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i in range(DIM) for j in range(i + 1)]
     )
     got = sums.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(DIM)})
-    floor = lambda i, j: FLOOR[i] ** 2 if i == j else 0.0
-    got = got.withColumns({f"c{i}{j}": CONSISTENT * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")) + floor(i, j) for i in range(DIM) for j in range(i + 1)})
+    least = lambda c, i, j: F.greatest(c, F.lit(FLOOR[i] ** 2)) if i == j else c
+    got = got.withColumns({f"c{i}{j}": least(CONSISTENT * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")), i, j) for i in range(DIM) for j in range(i + 1)})
     for i in range(DIM):
         for j in range(i + 1):
             rest = F.col(f"c{i}{j}")
@@ -160,7 +170,7 @@ def estimated(stats: DataFrame, least: int, steps: int) -> tuple[DataFrame, Data
     passed = with_levels(stats.where(~F.col("base_failed")))
     points = passed.select(*KEY, *[f"x{i}" for i in range(DIM)])
     enough = points.groupBy(*KEY).count().where(F.col("count") >= least).select(*KEY)
-    estimates = materialise(start_estimates(points.join(enough, KEY)))
+    estimates = materialise(start_estimates(beside(points, enough)))
     for _ in range(steps):
         estimates = materialise(refit(points, estimates))
     return passed, estimates
@@ -171,8 +181,8 @@ def quality_rules(docs: DataFrame, *, cutoff: float = 23.51, least: int = 30, st
     where no estimate applies). ``cutoff``: the 0.9999 quantile of chi-square in DIM dimensions."""
     stats = materialise(transformed(text_statistics(docs)).withColumn("row", F.monotonically_increasing_id()))
     passed, estimates = estimated(stats, least, steps)
-    judged = distance(passed.select("row", *KEY, *[f"x{i}" for i in range(DIM)]).join(estimates, KEY))
-    # a document has at most two distances here: its own group's comes first
+    judged = distance(beside(passed.select("row", *KEY, *[f"x{i}" for i in range(DIM)]), estimates))
+    # a document has at most three distances here: its own group's comes first
     verdict = judged.groupBy("row").agg(F.min_by("d2", "level").alias("d2"))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff)
     return stats.join(verdict, "row", "left").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "d2")
@@ -188,6 +198,6 @@ def kept_documents(docs: DataFrame, *, cutoff: float = 23.51, least: int = 30, s
     rows = transformed(text_statistics(docs, F.struct(*[F.col(c) for c in docs.columns]).alias("document"))).where(~F.col("base_failed"))
     lang, source = F.coalesce("lang", F.lit("\0")), F.coalesce("source", F.lit("\0"))
     rows = rows.select("document", *[f"x{i}" for i in range(DIM)], F.concat(lang, F.lit("\1"), source).alias("of0"), lang.alias("of1"))
-    rows = rows.join(level(0), "of0", "left").join(level(1), "of1", "left")
-    rows = rows.select("document", *[f"x{i}" for i in range(DIM)], *[F.coalesce(f"{c}_0", f"{c}_1").alias(c) for c in parameters])
+    rows = rows.join(level(0), "of0", "left").join(level(1), "of1", "left").join(F.broadcast(level(ALL).drop(f"of{ALL}")), how="left")
+    rows = rows.select("document", *[f"x{i}" for i in range(DIM)], *[F.coalesce(f"{c}_0", f"{c}_1", f"{c}_{ALL}").alias(c) for c in parameters])
     return distance(rows).where(F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff).select("document.*")
