@@ -33,35 +33,39 @@ def class_mean_axis(df: DataFrame, value: str, first: Column, keys: list[str]) -
     return df.groupBy(*keys).agg((F.avg(F.when(first, F.col(value))) - F.avg(F.when(~first, F.col(value)))).alias("w"))
 
 
-def matrix(df: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Means and population covariance as arrays."""
-    pairs = [(i, j) for i in range(len(features)) for j in range(i, len(features))]
-    row = df.agg(*[F.avg(f) for f in features], *[F.covar_pop(features[i], features[j]) for i, j in pairs]).first()
-    c = np.zeros((len(features), len(features)))
-    for (i, j), v in zip(pairs, row[len(features) :], strict=True):
-        c[i, j] = c[j, i] = v
-    return np.array(row[: len(features)]), c
+def matrix(df: DataFrame, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    """Means and population covariance of all components of a vector column, as arrays."""
+    first = df.select(F.posexplode(vector).alias("i", "x"), vector)
+    pairs = first.select("i", "x", F.posexplode(F.expr(f"slice({vector}, i + 1, size({vector}))")).alias("k", "y"))
+    rows = pairs.groupBy("i", (F.col("i") + F.col("k")).alias("j")).agg(F.avg("x").alias("mean"), F.covar_pop("x", "y").alias("cov")).collect()
+    size = 1 + max(r["j"] for r in rows)
+    m, c = np.zeros(size), np.zeros((size, size))
+    for r in rows:
+        c[r["i"], r["j"]] = c[r["j"], r["i"]] = r["cov"]
+        if r["i"] == r["j"]:
+            m[r["i"]] = r["mean"]
+    return m, c
 
 
-def principal_axes(df: DataFrame, features: list[str]) -> DataFrame:
+def principal_axes(df: DataFrame, vector: str) -> DataFrame:
     """Axes by falling variance; the first nonzero weight of each is positive."""
-    _, c = matrix(df, features)
+    _, c = matrix(df, vector)
     values, vectors = np.linalg.eigh(c)
     rows = []
     for k, i in enumerate(np.argsort(-values)):
         v = vectors[:, i]
         v = v * np.sign(v[np.flatnonzero(np.abs(v) > 1e-12)[0]])
-        rows += [(k, f, float(w), float(values[i])) for f, w in zip(features, v, strict=True)]
+        rows += [(k, f"f{f}", float(w), float(values[i])) for f, w in enumerate(v)]
     return df.sparkSession.createDataFrame(rows, "axis int, feature string, weight double, variance double")
 
 
-def discriminant_axis(df: DataFrame, features: list[str], first: Column) -> DataFrame:
+def discriminant_axis(df: DataFrame, vector: str, first: Column) -> DataFrame:
     """inv(within-class covariance) times the difference of means, of length one."""
     n1, n2 = df.where(first).count(), df.where(~first).count()
-    (m1, c1), (m2, c2) = matrix(df.where(first), features), matrix(df.where(~first), features)
+    (m1, c1), (m2, c2) = matrix(df.where(first), vector), matrix(df.where(~first), vector)
     w = np.linalg.solve((n1 * c1 + n2 * c2) / (n1 + n2), m1 - m2)
     w = w / np.linalg.norm(w)
-    return df.sparkSession.createDataFrame([(f, float(x)) for f, x in zip(features, w, strict=True)], "feature string, weight double")
+    return df.sparkSession.createDataFrame([(f"f{f}", float(x)) for f, x in enumerate(w)], "feature string, weight double")
 
 
 def fold_sums(df: DataFrame, features: list[str], target: str, fold: str) -> dict[int, tuple[np.ndarray, np.ndarray, float, float, int]]:

@@ -230,11 +230,16 @@ def stack_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy("trial_id", F.col("part").cast("long").alias("part")).agg(F.sum("size").alias("n"), F.min("frame").alias("first"), F.max("frame").alias("last"))
 
 
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All components of each embedding."""
+    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("trial_id"), F.col("embedding").cast("array<double>").alias("v"))
+
+
 @query()
 def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linalg.principal_axes(features(spark, sf_dir), FEATURES)
+    return linalg.principal_axes(vectors(spark, sf_dir), "v")
 
 
 @query()
 def lda_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linalg.discriminant_axis(features(spark, sf_dir), FEATURES, F.col("trial_id") < 5)
+    return linalg.discriminant_axis(vectors(spark, sf_dir), "v", F.col("trial_id") < 5)
