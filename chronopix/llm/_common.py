@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chronopix.session import ship_code
 
@@ -32,27 +33,39 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it. Only a local
+    session, which has no other machine, gets one of its own where none is named."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage through the cluster's shared checkpoint folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Like ``materialise``, as a Parquet table in the shared folder: smaller on disk."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    path = f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}.parquet"
+    """Like ``materialise``, as a Parquet table in the shared folder: smaller on disk, and
+    of a size that the optimiser knows."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keep_input_columns(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``kept_ids``, with the columns of ``docs``."""
-    return docs.join(kept_ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing unwritten reads any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Arrow types of the columns that ``map_texts`` may add, by their Spark names.
@@ -63,11 +76,11 @@ ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean
 AT_ONCE = 1 << 20
 
 
-def small_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def small_batches(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of whole rows, of about AT_ONCE characters of text each."""
     if not batch.num_rows:
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     turn = np.cumsum(sizes) // AT_ONCE
     cuts = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
@@ -88,7 +101,10 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str
                 new = [got[c] if isinstance(got[c], pa.Array) else pa.array(got[c], ARROW[t]) for c, t in added.items()]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c, _ in kept), *new], names=[*(c for c, _ in kept), *added])
 
-    return docs.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in [*kept, *added.items()]))
+    schema = StructType([docs.schema[c] for c, _ in kept])
+    for c, t in added.items():
+        schema = schema.add(c, t)
+    return docs.mapInArrow(run, schema)
 
 
 def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
@@ -98,7 +114,8 @@ def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = make()
-        for b in batches:
-            yield b.filter(pa.array(test([t or "" for t in b.column("text").to_pylist()]), pa.bool_()))
+        for batch in batches:
+            for b in small_batches(batch):
+                yield b.filter(pa.array(test([t or "" for t in b.column("text").to_pylist()]), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -6,48 +6,57 @@ counts over BUCKETS hash buckets, summed over all texts (any common order is exa
 the counts only make prefixes rare). Two sets can only reach the similarity if they
 share a shingle among their first n - ceil(t*n) + 1, so only those are shuffled, in
 packed arrays, and joined. Candidates pass a length filter and a positional filter,
-which holds a shared shingle to be the first one that the two share; before the sets are compared, a suffix filter bounds their overlap by the counts in
-matching hash ranges. Each pair is verified once, on the whole sets.
+which holds a shared shingle to be the first one that the two share, and then a suffix
+filter: a set's sketch has the parity of how many of its shingles lie in each of many
+cells, and cells of different parity each hold a shingle that only one of the two has,
+so their number bounds the sets' Hamming distance from below. Pairs that pass all three
+are verified on the whole sets, each once.
 
 Only components are asked for, so a shingle's group of more than SMALL texts is not
-expanded into all its pairs: its texts are first compared with one of them, the same
-for all shingles that the same texts share, and after that only texts that are still
-in different components are compared with each other, which loses no link between
-components. Groups of the same texts are looked at once.
+expanded into all its pairs. First its texts are compared with one of them, that with
+the fewest rare shingles before the shared one: the least changed of a family of
+copies. Of the pairs that are left, only those count whose texts are in different
+components by then. They are looked for inside tasks, the texts outside the group's
+largest component against all others, in as many turns as there are WORK pairs, and
+only those that pass the filters are listed. Groups of the same texts are looked at
+once. No link between components is lost.
 
 Defined cases: null and empty texts have empty sets and link with nothing; fewer
-than five words make one shingle; rows with a null id link with nothing and have a
-null component; rows that repeat an id are one document in the components; equal
-sets are linked through one of them.
+than five words make one shingle; texts of any length are taken whole; rows with a
+null id link with nothing and have a null component; rows that repeat an id are one
+document in the components; equal sets are linked through the smallest id; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import documents, keep_input_columns, written
+from chronopix.llm._common import discard, documents, small_batches, written
 from chronopix.llm.components import components
 from chronopix.session import ship_code
 
 SHINGLE = 5
-BUCKET_BITS = 18
+#: Buckets of the table of counts, and slices in which it is summed.
+BUCKET_BITS, SLICES = 20, 16
 BUCKETS = 1 << BUCKET_BITS
 #: Groups of up to so many texts are compared pair by pair.
 SMALL = 8
 #: Prefix entries that a task packs together, and that one partition joins.
 PACKED, JOINED = 1_000_000, 1_000_000
 CACHED_WORDS = 400_000
-#: Bits of the table that tells which documents are in any candidate pair.
-FILTER_BITS = 1 << 23
-#: Pairs between components, for each member of a group, that are compared without
-#: another pivot; and turns with pivots before that is done anyway.
-CROSS_PAIRS, TURNS = 2, 6
+#: Least and most bits of the table that tells which documents are in any pair. Beyond
+#: the most it lets more texts through than needed, never fewer.
+FILTER_BITS = (1 << 16, 1 << 28)
+#: Pairs of a crowded group that one turn looks at.
+WORK = 4_000_000
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -87,33 +96,72 @@ class Shingler:
         return np.unique(mixed(code))
 
 
+def sketch_of(s: np.ndarray) -> bytes:
+    """Parities of a set's counts in 2n to 4n cells, at least 64, by the lowest bits."""
+    cells = 1 << max(6, (2 * len(s)).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Suffix filter: at least so many shingles are in one of two sets only. The larger
+    sketch is folded, as its lowest cell bits are those of the smaller one."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):
+        a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), 0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """One row for each text (doc_id, n, fingerprint of its set) and, from each task,
-    rows of how many of its different sets hold a shingle of each bucket."""
+    """One row for each text (doc_id, n, fingerprint and sketch of its set) and, from each
+    task, rows of how many of its different sets hold a shingle of each bucket."""
     ship_code(docs.sparkSession)
-    names = ["doc_id", "n", "f1", "f2", "bucket", "count"]
+    names = ["doc_id", "n", "f1", "f2", "sketch", "slice", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, table, seen = Shingler(), np.zeros(BUCKETS, np.int64), set()
+        shingles, table, seen = Shingler(), np.zeros(BUCKETS, np.uint32), set()
         for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                s = shingles(text)
-                f1, f2 = int(mixed(s, 1).sum().astype(np.int64)), int(mixed(s, 2).sum().astype(np.int64))
-                rows.append((len(s), f1, f2))
-                if f1 not in seen:
-                    seen.add(f1)
-                    np.add.at(table, (s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
-                    if len(seen) > CACHED_WORDS:
-                        seen.clear()
-            if rows:
-                cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())], names)
-        at = np.flatnonzero(table)
-        if len(at):
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(at), pa.int64())] * 4, pa.array(at.astype(np.int32)), pa.array(table[at])], names)
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bucket int, count long")
+            for part in small_batches(batch):
+                rows, new = [], []
+                for text in part.column("text").to_pylist():
+                    s = shingles(text)
+                    f1, f2 = int(mixed(s, 1).sum().astype(np.int64)), int(mixed(s, 2).sum().astype(np.int64))
+                    rows.append((len(s), f1, f2, sketch_of(s)))
+                    if f1 not in seen:
+                        seen.add(f1)
+                        new.append(s)
+                        if len(seen) > CACHED_WORDS:
+                            seen.clear()
+                if new:
+                    np.add.at(table, (np.concatenate(new) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), np.uint32(1))
+                if rows:
+                    cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 3 + [pa.binary()], strict=True)]
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), *cols, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names)
+        if seen:
+            slices = [p.tobytes() for p in np.split(table, SLICES)]
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(SLICES, pa.int64())] * 4, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(slices, pa.binary())], names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sketch binary, slice int, counts binary")
+
+
+def bucket_counts(scanned: DataFrame) -> np.ndarray:
+    """The tasks' tables, summed in tasks slice by slice; 8 bytes for each of BUCKETS."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, part in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
+                counts = np.frombuffer(part.as_buffer(), np.uint32).astype(np.int64)
+                total[i] = total[i] + counts if i in total else counts
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], ["slice", "counts"])
+
+    rows = scanned.where("slice is not null").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(add, "slice int, counts binary").collect()
+    table = np.zeros((SLICES, BUCKETS // SLICES), np.int64)
+    for r in rows:
+        table[r["slice"]] += np.frombuffer(r["counts"], np.int64)
+    return table.ravel()
 
 
 def needed_share(n: np.ndarray | int, percent: int):
@@ -153,23 +201,23 @@ def packed_prefixes(docs: DataFrame, counts: np.ndarray, parts: int, percent: in
             kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                s = shingles(text)
-                if doc_id is None or not len(s):
-                    continue
-                f = (int(mixed(s, 1).sum()), int(mixed(s, 2).sum()))
-                if f in seen:
-                    continue  # an equal set of this pack stands for it; they are linked by fingerprint
-                seen.add(f)
-                order = np.argsort(table[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], kind="stable")  # s is sorted
-                prefix = s[order[: len(s) - needed_share(len(s), percent) + 1]]
-                held.append((doc_id, len(s), prefix))
-                size += len(prefix)
-                if size > PACKED:
-                    yield packed()
-                    held, size = [], 0
-                    seen.clear()
+        parts_of = (part for batch in batches for part in small_batches(batch))
+        for doc_id, text in (x for part in parts_of for x in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True)):
+            s = shingles(text)
+            if doc_id is None or not len(s):
+                continue
+            f = (int(mixed(s, 1).sum()), int(mixed(s, 2).sum()))
+            if f in seen:
+                continue  # an equal set of this pack stands for it; they are linked by fingerprint
+            seen.add(f)
+            order = np.argsort(table[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], kind="stable")  # s is sorted
+            prefix = s[order[: len(s) - needed_share(len(s), percent) + 1]]
+            held.append((doc_id, len(s), prefix))
+            size += len(prefix)
+            if size > PACKED:
+                yield packed()
+                held, size = [], 0
+                seen.clear()
         if held:
             yield packed()
 
@@ -231,59 +279,95 @@ def candidates(packs: DataFrame, parts: int, percent: int) -> DataFrame:
     return packs.repartition(parts, "part").mapInArrow(run, "a long, b long, key long, size int, place int")
 
 
-def overlap_bound(x: np.ndarray, y: np.ndarray, ranges: int = 16) -> int:
-    """Suffix filter: no more can be shared than the smaller count in each hash range."""
-    bounds = (np.arange(1, ranges, dtype=np.uint64)) << np.uint64(60)
-    cut = lambda s: np.diff(np.concatenate([[0], np.searchsorted(s, bounds), [len(s)]]))
-    return int(np.minimum(cut(x), cut(y)).sum())
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return bool(100 * shared >= percent * (len(x) + len(y) - shared))
 
 
-def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    enough = lambda shared: 100 * shared >= percent * (len(x) + len(y) - shared)
-    if not enough(overlap_bound(x, y)):
-        return False
-    return bool(enough(len(np.intersect1d(x, y, assume_unique=True))))
+def may_be_near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` that pass the suffix filter: sets that reach the similarity
+    have at most (100 - percent) / (100 + percent) of their sizes' sum to themselves."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) * (100 - percent)
+            both = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)
+            apart = np.fromiter((least_difference(x, y) for x, y in both), np.int64, batch.num_rows)
+            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * apart <= sizes))
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity."""
-    spark = docs.sparkSession
-    # which documents are in any pair: a table of bits of fixed size, exact in its "no"
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    words = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bit.alias("bit")).groupBy((F.col("bit") / 8).cast("int").alias("byte"))
-    rows = words.agg(F.bit_or(F.expr("shiftleft(1, cast(bit % 8 as int))")).alias("bits")).toPandas()
-    table = np.zeros(FILTER_BITS // 8, np.uint8)
-    table[rows["byte"].to_numpy(int)] = rows["bits"].to_numpy(np.uint8)
-    shared = spark.sparkContext.broadcast(table)
+    side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+
+
+def bits_of(ids: DataFrame) -> np.ndarray:
+    """Bits of the ids ``id``, by a hash: exact in its "no"."""
+    bits = min(max(1 << (8 * ids.count()).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(bits, bool)
+        for batch in batches:
+            table[batch.column("h").to_numpy() & (bits - 1)] = True
+        slices = {i: np.packbits(p, bitorder="little").tobytes() for i, p in enumerate(np.split(table, SLICES)) if p.any()}
+        yield pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array(list(slices.values()), pa.binary())], ["slice", "bits"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, part in zip(batch.column("slice").to_pylist(), batch.column("bits"), strict=True):
+                one = np.frombuffer(part.as_buffer(), np.uint8)
+                total[i] = total[i] | one if i in total else one
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], ["slice", "bits"])
+
+    marks = ids.select(F.xxhash64("id").alias("h")).mapInArrow(mark, "slice int, bits binary")
+    table = np.zeros((SLICES, bits // 8 // SLICES), np.uint8)
+    for r in marks.repartition(SLICES, "slice").mapInArrow(unite, "slice int, bits binary").collect():
+        table[r["slice"]] |= np.frombuffer(r["bits"], np.uint8)
+    return table.ravel()
+
+
+def marked(rows: DataFrame, bits: np.ndarray, wanted: bool = True) -> DataFrame:
+    """The rows whose hash ``h`` of an id has its bit set or, if not ``wanted``, has not;
+    without ``h``."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+    names = [c for c in rows.columns if c != "h"]
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
         for batch in batches:
-            at = batch.column("bit").to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7)) & 1 == 1)).select(["id", "text"])
+            at = batch.column("h").to_numpy() & (8 * len(table) - 1)
+            yield batch.filter(pa.array(((table[at >> 3] >> (at & 7)) & 1 == 1) == wanted)).select(names)
 
-    some = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), "text").withColumn("bit", bit).mapInArrow(pick, "id long, text string")
+    return rows.mapInArrow(pick, rows.drop("h").schema)
+
+
+def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets reach the similarity. ``pairs`` is a written table."""
+    bits = bits_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    some = marked(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), "text", F.xxhash64("doc_id").alias("h")), bits)
     as_side = lambda c: some.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, last = Shingler(), (None, None)
         for batch in batches:
-            out = []
-            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
-                if last[0] != ta:
-                    last = (ta, shingles(ta))
-                if linked(last[1], shingles(tb), percent):
-                    out.append((a, b))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
+            for part in small_batches(batch, "text_b"):
+                out = []
+                for a, b, ta, tb in zip(*(part.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
+                    if last[0] != ta:
+                        last = (ta, shingles(ta))
+                    if linked(last[1], shingles(tb), percent):
+                        out.append((a, b))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
 
     return pairs.join(as_side("b"), "b").join(as_side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
-def pair_columns(x, y) -> list:
+def pair_columns(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def passes(s1: str, p1: str, s2: str, p2: str, percent: int):
+def passes(s1: str, p1: str, s2: str, p2: str, percent: int) -> Column:
     """``may_link`` as an expression."""
     small, large = F.least(s1, s2), F.greatest(s1, s2)
     most = F.least(F.col(s1) - F.col(p1), F.col(s2) - F.col(p2))
@@ -298,73 +382,111 @@ def different_groups(members: DataFrame) -> DataFrame:
     return members.join(keys.select("key"), "key", "left_semi")
 
 
-def pivots_of(members: DataFrame, keys: list[str], turn: int) -> DataFrame:
-    """One text of each group, by a hash that changes with the turn."""
-    first = F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "size", "place")
-    return members.groupBy(*keys).agg(F.min(first).alias("f")).select(*keys, "f.doc", "f.size", "f.place")
-
-
-def link_crowded(docs: DataFrame, members: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
-    """Edges that complete the components of groups of more than SMALL texts. Pairs
-    that were compared before are not compared again."""
-    done = None
-    for turn in range(TURNS + 1):
-        found = components(edges).withColumnRenamed("node", "doc")
-        named = written(members.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc")))
-        by = named.groupBy("key", "component").agg(F.count("*").alias("n"))
-        cross = by.groupBy("key").agg(F.sum("n").alias("n"), ((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)) / 2).alias("pairs")).where("pairs > 0")
-        total = cross.agg(F.sum("pairs"), F.sum("n")).first()
-        if not total[0]:
-            return edges
-        left = named.join(cross.select("key"), "key")
-        last = total[0] <= CROSS_PAIRS * total[1] or turn == TURNS
-        other = left if last else pivots_of(left, ["key", "component"], turn)
-        other = other.select("key", *[F.col(c).alias(f"{c}2") for c in ("doc", "component", "size", "place")])
-        once = (F.col("doc") < F.col("doc2")) if last else F.lit(True)
-        pairs = left.join(other, "key").where((F.col("component") != F.col("component2")) & once & passes("size", "place", "size2", "place2", percent))
-        pairs = pairs.select(*pair_columns("doc", "doc2")).distinct()
-        pairs = written(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"))
-        done = pairs if done is None else done.union(pairs)
-        edges = written(edges.union(verified(docs, pairs, percent)))
-        if last:
-            return edges
-    return edges
+def star_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Each text of a group with the group's least changed one, by the share of rarer
+    shingles before the shared one in steps of a sixteenth, then by a hash of its id."""
+    rank = F.struct(F.floor(16 * F.col("place") / F.col("size")).alias("share"), F.xxhash64("doc").alias("h"), "doc", "size", "place")
+    centre = members.groupBy("key").agg(F.min(rank).alias("c")).select("key", *[F.col(f"c.{c}").alias(f"{c}2") for c in ("doc", "size", "place")])
+    pairs = members.join(centre, "key").where((F.col("doc") != F.col("doc2")) & passes("size", "place", "size2", "place2", percent))
+    return pairs.select(*pair_columns("doc", "doc2"))
+
+
+def pairs_across(members: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the crowded groups that pass length and positional filter and whose texts
+    are in different components."""
+    rows = members.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    by = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
+    groups = by.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("most")).where("all > most.n")
+    turns = F.ceil(F.col("all") * (F.col("all") - F.col("most.n")) / WORK).cast("int")
+    rows = rows.join(groups.select("key", F.col("most.component").alias("largest"), turns.alias("turns")), "key")
+    mine = F.when(F.col("component") != F.col("largest"), F.pmod(F.xxhash64("doc", F.lit(5)), F.col("turns")).cast("int"))
+    rows = rows.select("key", "doc", "size", "place", "component", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by group and turn; texts of the turn meet all of the group."""
+        rest: pa.Table | None = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                rest = table if rest is None else pa.concat_tables([rest, table])
+            if rest is None or not rest.num_rows:
+                continue
+            key, turn = rest.column("key").to_numpy(), rest.column("turn").to_numpy()
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (turn[1:] != turn[:-1])) + 1).tolist(), len(key)]
+            if batch is not None:
+                cuts.pop()  # the last group may go on in the next batch
+            found = [within(rest.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])]
+            rest = rest.slice(cuts[-1])
+            if found:
+                p = np.unique(np.concatenate(found), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], ["a", "b"])
+
+    def within(group: pa.Table) -> np.ndarray:
+        doc, size, place, component, turn = (group.column(c).to_numpy() for c in ("doc", "size", "place", "component", "turn"))
+        mine = group.column("mine").fill_null(-1).to_numpy()
+        out = [np.zeros((0, 2), np.int64)]
+        left = np.flatnonzero(mine == turn)
+        for at in range(0, len(left), 256):
+            i = left[at : at + 256, None]
+            # two texts outside the largest component would meet twice
+            ok = (component[i] != component) & ((mine < 0) | (doc[i] < doc)) & may_link(size[i], place[i], size, place, percent)
+            x, y = np.nonzero(ok)
+            x = i[x, 0]
+            out.append(np.column_stack([np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])]))
+        return np.concatenate(out)
+
+    return rows.repartition("key", "turn").sortWithinPartitions("key", "turn").mapInArrow(look, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
-    spark = docs.sparkSession
     texts = documents(docs)
     scanned = written(scan(texts))
-    sets = scanned.where("bucket is null").select("doc_id", "n", "f1", "f2")
-    rows = scanned.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("n")).toPandas()
-    counts = np.zeros(BUCKETS, np.int64)
-    counts[rows["bucket"].to_numpy(int)] = rows["n"].to_numpy(np.int64)
+    sets = scanned.where("slice is null").select("doc_id", "n", "f1", "f2")
+    sketches = scanned.where("slice is null and doc_id is not null and n > 0").select("doc_id", "n", "sketch")
+    counts = bucket_counts(scanned)
     parts = max(64, int(counts.sum() * (100 - percent) / 100 / JOINED))
     found = written(candidates(packed_prefixes(texts, counts, parts, percent), parts, percent))
-    # equal sets: each is linked to the smallest id that has it
+    # equal sets: each is linked to the smallest id that has it, and only that takes part
     groups = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("f1", "f2").agg(F.min("doc_id").alias("a"), F.count("*").alias("many")).where("many > 1")
-    equal = sets.where(F.col("n") > 0).join(groups, ["f1", "f2"]).select("a", F.col("doc_id").alias("b")).where("a <> b")
-    # of equal sets only the smallest id takes part
-    stand_in = written(equal)
-    as_first = lambda c: stand_in.select(F.col("b").alias(c), F.col("a").alias(f"{c}_first"))
+    equal = written(sets.where(F.col("n") > 0).join(groups.drop("many"), ["f1", "f2"]).select("a", F.col("doc_id").alias("b")).where("a <> b").distinct())
+    as_first = lambda c: equal.select(F.col("b").alias(c), F.col("a").alias(f"{c}_first"))
     members = found.where("b is null").select(F.col("a").alias("doc"), "key", "size", "place").join(as_first("doc"), "doc", "left")
     members = written(members.select(F.coalesce("doc_first", "doc").alias("doc"), "key", "size", "place").distinct())
-    members = written(different_groups(members))
-    pivots = pivots_of(members, ["key"], 0).select("key", *[F.col(c).alias(f"{c}2") for c in ("doc", "size", "place")])
-    star = members.join(pivots, "key").where((F.col("doc") != F.col("doc2")) & passes("size", "place", "size2", "place2", percent)).select(*pair_columns("doc", "doc2"))
+    some = written(different_groups(members))
     small = found.where("b is not null").select("a", "b").join(as_first("a"), "a", "left").join(as_first("b"), "b", "left")
     small = small.select(F.coalesce("a_first", "a").alias("a"), F.coalesce("b_first", "b").alias("b")).where("a <> b").select(*pair_columns("a", "b"))
-    pairs = written(small.union(star).distinct())
-    edges = written(verified(texts, pairs, percent).union(stand_in))
-    if members.limit(1).count():
-        edges = link_crowded(texts, members, edges, percent)
-    named = components(edges).withColumnRenamed("node", "doc_id")
-    return sets.join(named, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    pairs = written(may_be_near(small.union(star_pairs(some, percent)).distinct(), sketches, percent))
+    discard(found, members)
+    edges = written(verified(texts, pairs, percent).union(equal))
+    named = written(components(edges))
+    # pairs that were verified before do not link their components
+    across = may_be_near(pairs_across(some, named, percent), sketches, percent)
+    across = written(across.join(pairs, ["a", "b"], "left_anti"))
+    discard(pairs, edges, some)
+    if not across.isEmpty():
+        name = lambda c: named.select(F.col("node").alias(c), F.col("component").alias(f"{c}_name"))
+        more = written(verified(texts, across, percent))
+        joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("a_name", "a").alias("a"), F.coalesce("b_name", "b").alias("b"))
+        wider = components(joined).select(F.col("node").alias("component"), F.col("component").alias("wider"))
+        alone = joined.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("component"))
+        both = named.union(alone.join(named.select("node"), "node", "left_anti"))
+        named = both.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
+    of = named.withColumnRenamed("node", "doc_id")
+    return sets.join(of, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row for each component, that of its smallest id, with the columns of
-    ``docs``; rows with a null id stay."""
-    first = near_duplicates(docs, **options).where("doc_id = component_id")
-    return keep_input_columns(docs, first).dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    ``docs``; of rows that repeat that id, the one whose text comes first. Rows with a
+    null id stay. Only rows that may go, or whose id is repeated, are shuffled."""
+    found = written(near_duplicates(docs, **options).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows")))
+    unsure = found.where("doc_id <> component_id or rows > 1").select(F.col("doc_id").alias("id"))
+    bits = bits_of(unsure)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"))
+    null = F.col("id").isNull()
+    sure = marked(rows.where(~null), bits, wanted=False).select("document.*")
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("id"))
+    turn = F.row_number().over(Window.partitionBy("id").orderBy("document.text"))
+    rest = marked(rows.where(~null), bits).join(first, "id", "left_semi").withColumn("turn", turn).where("turn = 1").select("document.*")
+    return sure.unionByName(rest).unionByName(docs.where(F.col("doc_id").isNull()))
