@@ -11,13 +11,17 @@ Words repeat, so each Python worker keeps the encodings of words it has met, up
 to ``CACHED_WORDS``; a text is then the concatenation of its words' ids.
 
 Defined cases: a null text counts as empty and has no ids; special-token strings
-in a text become their single ids, as the library does by default; repeated rows
-give repeated results. The vocabulary file's path is a parameter.
+in a text become their single ids, as the library does by default; texts and words of
+any length are taken whole, in time linear but for a logarithm; equal ranks merge from
+the left; repeated rows give repeated results; null ids stay null and ids pass through
+unchanged; an empty table gives no rows; columns other than doc_id and text are not
+read. The vocabulary file's path is a parameter.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -25,14 +29,15 @@ from collections.abc import Iterator
 from struct import pack
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from chronopix.llm._common import documents
+from chronopix.llm._common import documents, small_batches
+from chronopix.session import ship_code
 
-#: Words whose encodings a Python worker keeps before it starts anew.
-CACHED_WORDS = 600_000
+#: Words whose encodings a Python worker keeps before it starts anew, and the letters
+#: beyond which a word is not kept and is merged through a heap.
+CACHED_WORDS, LONG_WORD = 600_000, 64
 #: Texts whose new words are tested together.
 TEXTS_AT_ONCE = 256
 NEVER = 1 << 40
@@ -80,6 +85,7 @@ class WordBPE:
         self.simple = re.compile(f"[ \\t-\\r{kinds['L']}{kinds['N']}{kinds['PSMC']}]*").fullmatch
         self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[{kinds['PSMC']}]+").findall
         self.prefixes = {t[:k]: -1 for t in self.vocab if not t.endswith(self.end) for k in range(1, len(t))} | {t: i for t, i in self.vocab.items() if not t.endswith(self.end)}
+        self.longest = max(map(len, self.vocab))
         self.cache: dict[str, bytes] = {s: i.to_bytes(4, "little") for s, i in self.special.items()}
         self.text: dict[bytes, bytes] = {}
 
@@ -157,10 +163,11 @@ class WordBPE:
         """Greedy longest match; the last token carries the end-of-word mark."""
         vocab, follow, out, at, n = self.vocab.get, self.prefixes.get, [], 0, len(word)
         while True:
-            t = vocab(word[at:] + self.end)
-            if t is not None:
-                out.append(t)
-                return out
+            if n - at <= self.longest:
+                t = vocab(word[at:] + self.end)
+                if t is not None:
+                    out.append(t)
+                    return out
             best, stop = None, at + 1
             while stop < n:
                 t = follow(word[at:stop])
@@ -176,6 +183,8 @@ class WordBPE:
         """Exact encoding: the pair of lowest rank first, leftmost on ties."""
         vocab, merges, none = self.vocab, self.merges, (NEVER, -1)
         ids = [vocab[c] for c in word[:-1]] + [vocab[word[-1] + self.end]]
+        if len(ids) > LONG_WORD:
+            return self.merge_long(ids)
         pair = [merges.get(p, none) for p in zip(ids, ids[1:])]
         while pair:
             low = min(pair)
@@ -190,6 +199,27 @@ class WordBPE:
                 pair[i - 1] = merges.get((ids[i - 1], ids[i]), none)
         return ids
 
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """The same through a heap of ranks and places; tokens are linked to their neighbours."""
+        merges, end = self.merges, len(ids)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        heap = [(merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            found = merges.get((ids[i], ids[j])) if j < end else None
+            if found is None or found[0] != rank:
+                continue  # one of the two has been merged since
+            ids[i], ids[j], after[i] = found[1], -1, after[j]
+            if after[i] < end:
+                before[after[i]] = i
+                if (right := merges.get((ids[i], ids[after[i]]))) is not None:
+                    heapq.heappush(heap, (right[0], i))
+            if before[i] >= 0 and (left := merges.get((ids[before[i]], ids[i]))) is not None:
+                heapq.heappush(heap, (left[0], before[i]))
+        return [t for t in ids if t >= 0]
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Encodings of words given in byte letters."""
         found = [self.propose(w) for w in words]
@@ -236,6 +266,9 @@ class WordBPE:
             get = self.cache.__getitem__
             for w in words:
                 yield list(map(get, w))
+            for w in new:
+                if len(w) > LONG_WORD:
+                    del self.cache[w]
 
     def decode(self, ids: bytes) -> bytes:
         """Token strings joined by spaces, in UTF-8."""
@@ -244,10 +277,14 @@ class WordBPE:
 
     def decode_runs(self, runs: list[bytes]) -> bytes:
         text = self.text
-        for r in set(runs):
-            if r not in text:
-                text[r] = self.decode(r)
-        return b" ".join([text[r] for r in runs])
+        new = [r for r in set(runs) if r not in text]
+        for r in new:
+            text[r] = self.decode(r)
+        whole = b" ".join([text[r] for r in runs])
+        for r in new:
+            if len(r) > 4 * LONG_WORD:
+                del text[r]
+        return whole
 
 
 #: Runs without the white space of ASCII; the library splits at any other.
@@ -266,18 +303,20 @@ def encode_decode(docs: DataFrame, path: str | None = None, keep_ids: bool = Fal
     """doc_id, n_tokens, digests of the ids and of the decoded text; with ``keep_ids``
     also the ids and the decoded text themselves."""
     path = path or default_vocabulary()
+    ship_code(docs.sparkSession)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if keep_ids else [])]
+    kinds = [pa.int64(), pa.string(), pa.string(), *([pa.list_(pa.int32()), pa.string()] if keep_ids else [])]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
+        for batch in (part for b in batches for part in small_batches(b)):
             rows = []
-            for runs in bpe.encode_batch(batch["text"].tolist()):
+            for runs in bpe.encode_batch(batch.column("text").to_pylist()):
                 ids, text = b"".join(runs), bpe.decode_runs(runs)
                 row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest())
-                rows.append((*row, np.frombuffer(ids, "<u4").tolist(), text.decode()) if keep_ids else row)
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if keep_ids else [])])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+                rows.append((*row, np.frombuffer(ids, "<u4").astype(np.int32), text.decode()) if keep_ids else row)
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
     more = ", ids array<int>, decoded string" if keep_ids else ""
-    return documents(docs).select(F.col("doc_id"), F.col("text")).mapInPandas(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    return documents(docs).mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
