@@ -4,13 +4,15 @@ Each task tokenises its documents, cuts longer ones into pieces, and packs the
 pieces while at most ``open_bins`` sequences are open. The open sequences are
 found through a bitset keyed by free space: a piece goes where it leaves the least
 space; if a new sequence would exceed the bound, the fullest open one closes
-first. Pieces are packed in windows, long ones first. No shuffle is needed: only
-the few sequences open at the end of a task stay partly filled. A sequence's id
-holds the task's partition number, so a task that is run again gives the same ids.
+first. Each piece is placed as it comes. No shuffle is needed: only the sequences open
+at the end of a task stay partly filled. A sequence's id holds the task's partition
+number, so a task that is run again gives the same ids.
 
 Defined cases: a null text counts as empty and still has its end token; a document
-of exactly ``capacity`` tokens is one piece; repeated rows are packed as separate
-documents; an empty table gives no rows.
+of exactly ``capacity`` tokens is one piece; texts of any length are taken whole; of
+sequences with equal free space the one that reached it last is taken; repeated rows
+are packed as separate documents; null ids stay null; an empty table gives no rows;
+columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -18,16 +20,13 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from chronopix.llm._common import documents
+from chronopix.llm._common import documents, small_batches
 from chronopix.llm.bpe import default_vocabulary, load
-
-#: Pieces that are sorted together before they are packed.
-WINDOW = 65_536
+from chronopix.session import ship_code
 
 
 class BestFit:
@@ -63,41 +62,28 @@ class BestFit:
         return sequence, offset
 
 
-COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+KINDS = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
+NAMES = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, *, capacity: int = 4096, end_id: int = 1, open_bins: int = 1024) -> DataFrame:
     """One row for each piece with its sequence and its offset there."""
     path = path or default_vocabulary()
     end = end_id.to_bytes(4, "little")
+    ship_code(docs.sparkSession)
 
-    def placed(pieces: list[tuple], bins: BestFit, first: int) -> pd.DataFrame:
-        out = pd.DataFrame(pieces, columns=COLUMNS)
-        lengths = out["length"].to_numpy()
-        order = np.argsort(-lengths, kind="stable")
-        put = np.empty((len(out), 2), np.int64)
-        for i, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
-            put[i] = bins.put(n)
-        out["sequence_id"], out["offset"] = put[:, 0] + first, put[:, 1]
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, bins = load(path), BestFit(capacity, open_bins)
         first = TaskContext.get().partitionId() << 36
-        pieces: list[tuple] = []
-        for batch in batches:
-            ids_of = batch["doc_id"].astype("Int64").tolist()
-            for doc_id, words in zip(ids_of, bpe.encode_batch(batch["text"].tolist()), strict=True):
+        for batch in (part for b in batches for part in small_batches(b)):
+            pieces: list[tuple] = []
+            for doc_id, words in zip(batch.column("doc_id").to_pylist(), bpe.encode_batch(batch.column("text").to_pylist()), strict=True):
                 ids = b"".join(words) + end
                 for k, start in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + capacity)]
-                    pieces.append((doc_id, k, start, len(part) // 4, zlib.crc32(part)))
-                if len(pieces) >= WINDOW:
-                    yield placed(pieces, bins, first)
-                    pieces = []
-        if pieces:
-            yield placed(pieces, bins, first)
-
-    return documents(docs).mapInPandas(run, SCHEMA)
+                    sequence, offset = bins.put(len(part) // 4)
+                    pieces.append((doc_id, k, start, len(part) // 4, zlib.crc32(part), first + sequence, offset))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*pieces, strict=True), KINDS, strict=True)], NAMES)
+
+    return documents(docs).mapInArrow(run, SCHEMA)
