@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A column by its name, which may hold dots, blanks or back-ticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """Only the two columns that operators read, so that others can't clash."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -119,3 +124,40 @@ def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[
                 yield b.filter(pa.array(test([t or "" for t in b.column("text").to_pylist()]), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+#: Least and most bits of a table that tells which hashes occur, and the slices in which
+#: it is put together. Beyond the most it says "maybe" more often, never a wrong "no".
+FILTER_BITS, SLICES = (1 << 16, 1 << 28), 16
+
+
+def bits_of(hashes: DataFrame) -> np.ndarray:
+    """A bit for each of the hashes ``h``, 16 to 32 bits apiece up to the most."""
+    bits = min(max(1 << (16 * hashes.count()).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(bits, bool)
+        for batch in batches:
+            table[batch.column("h").to_numpy() & (bits - 1)] = True
+        slices = {i: np.packbits(p, bitorder="little").tobytes() for i, p in enumerate(np.split(table, SLICES)) if p.any()}
+        yield pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array(list(slices.values()), pa.binary())], ["slice", "bits"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, part in zip(batch.column("slice").to_pylist(), batch.column("bits"), strict=True):
+                one = np.frombuffer(part.as_buffer(), np.uint8)
+                total[i] = total[i] | one if i in total else one
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], ["slice", "bits"])
+
+    marks = hashes.mapInArrow(mark, "slice int, bits binary")
+    table = np.zeros((SLICES, bits // 8 // SLICES), np.uint8)
+    for r in marks.repartition(SLICES, "slice").mapInArrow(unite, "slice int, bits binary").collect():
+        table[r["slice"]] |= np.frombuffer(r["bits"], np.uint8)
+    return table.ravel()
+
+
+def has_bit(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h.astype(np.int64) & (8 * len(table) - 1)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

@@ -13,9 +13,9 @@ so their number bounds the sets' Hamming distance from below. Pairs that pass al
 are verified on the whole sets, each once.
 
 Only components are asked for, so a shingle's group of more than SMALL texts is not
-expanded into all its pairs. First its texts are compared with one of them, that with
-the fewest rare shingles before the shared one: the least changed of a family of
-copies. Of the pairs that are left, only those count whose texts are in different
+expanded into all its pairs. First its texts are compared with CENTRES of them, among
+them that with the fewest rare shingles before the shared one: the least changed of a
+family of copies. Of the pairs that are left, only those count whose texts are in different
 components by then. They are looked for inside tasks, the texts outside the group's
 largest component against all others, in as many turns as there are WORK pairs, and
 only those that pass the filters are listed. Groups of the same texts are looked at
@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import discard, documents, small_batches, written
+from chronopix.llm._common import bits_of, discard, documents, has_bit, quoted, small_batches, written
 from chronopix.llm.components import components
 from chronopix.session import ship_code
 
@@ -52,9 +52,8 @@ SMALL = 8
 #: Prefix entries that a task packs together, and that one partition joins.
 PACKED, JOINED = 1_000_000, 1_000_000
 CACHED_WORDS = 400_000
-#: Least and most bits of the table that tells which documents are in any pair. Beyond
-#: the most it lets more texts through than needed, never fewer.
-FILTER_BITS = (1 << 16, 1 << 28)
+#: Texts of a crowded group that all others are compared with first.
+CENTRES = 4
 #: Pairs of a crowded group that one turn looks at.
 WORK = 4_000_000
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -102,15 +101,24 @@ def sketch_of(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
-def least_difference(x: bytes, y: bytes) -> int:
-    """Suffix filter: at least so many shingles are in one of two sets only. The larger
-    sketch is folded, as its lowest cell bits are those of the smaller one."""
-    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-    if len(a) < len(b):
-        a, b = b, a
-    if len(a) > len(b):
-        a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), 0)
-    return int(np.bitwise_count(a ^ b).sum())
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """Of fewer cells, as their lowest bits tell them apart."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size), 0)
+
+
+def least_differences(sketches: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Suffix filter: for each pair of places, at least so many shingles are in one of the
+    two sets only. The larger sketch is folded."""
+    sizes = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    size, out = np.minimum(sizes[x], sizes[y]), np.zeros(len(x), np.int64)
+    for m in np.unique(size):
+        on = np.flatnonzero(size == m)
+        some = np.unique(np.concatenate([x[on], y[on]]))
+        table = np.stack([folded(sketches[i], m) for i in some])
+        for at in range(0, len(on), 4096):
+            part = on[at : at + 4096]
+            out[part] = np.bitwise_count(table[np.searchsorted(some, x[part])] ^ table[np.searchsorted(some, y[part])]).sum(1)
+    return out
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -284,48 +292,25 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return bool(100 * shared >= percent * (len(x) + len(y) - shared))
 
 
+def near_enough(sizes: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
+    """Sets that reach the similarity have at most (100 - percent) / (100 + percent) of
+    their sizes' sum to themselves."""
+    return (100 + percent) * apart <= (100 - percent) * sizes.astype(np.int64)
+
+
 def may_be_near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` that pass the suffix filter: sets that reach the similarity
-    have at most (100 - percent) / (100 + percent) of their sizes' sum to themselves."""
+    """The pairs ``a``, ``b`` that pass the suffix filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) * (100 - percent)
-            both = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)
-            apart = np.fromiter((least_difference(x, y) for x, y in both), np.int64, batch.num_rows)
-            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * apart <= sizes))
+            sizes, n = batch.column("na").to_numpy() + batch.column("nb").to_numpy(), batch.num_rows
+            both = batch.column("sa").to_pylist() + batch.column("sb").to_pylist()
+            yield batch.select(["a", "b"]).filter(pa.array(near_enough(sizes, least_differences(both, np.arange(n), np.arange(n, 2 * n)), percent)))
 
     side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
-def bits_of(ids: DataFrame) -> np.ndarray:
-    """Bits of the ids ``id``, by a hash: exact in its "no"."""
-    bits = min(max(1 << (8 * ids.count()).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(bits, bool)
-        for batch in batches:
-            table[batch.column("h").to_numpy() & (bits - 1)] = True
-        slices = {i: np.packbits(p, bitorder="little").tobytes() for i, p in enumerate(np.split(table, SLICES)) if p.any()}
-        yield pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array(list(slices.values()), pa.binary())], ["slice", "bits"])
-
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, part in zip(batch.column("slice").to_pylist(), batch.column("bits"), strict=True):
-                one = np.frombuffer(part.as_buffer(), np.uint8)
-                total[i] = total[i] | one if i in total else one
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], ["slice", "bits"])
-
-    marks = ids.select(F.xxhash64("id").alias("h")).mapInArrow(mark, "slice int, bits binary")
-    table = np.zeros((SLICES, bits // 8 // SLICES), np.uint8)
-    for r in marks.repartition(SLICES, "slice").mapInArrow(unite, "slice int, bits binary").collect():
-        table[r["slice"]] |= np.frombuffer(r["bits"], np.uint8)
-    return table.ravel()
-
-
 def marked(rows: DataFrame, bits: np.ndarray, wanted: bool = True) -> DataFrame:
     """The rows whose hash ``h`` of an id has its bit set or, if not ``wanted``, has not;
     without ``h``."""
@@ -335,15 +320,14 @@ def marked(rows: DataFrame, bits: np.ndarray, wanted: bool = True) -> DataFrame:
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            at = batch.column("h").to_numpy() & (8 * len(table) - 1)
-            yield batch.filter(pa.array(((table[at >> 3] >> (at & 7)) & 1 == 1) == wanted)).select(names)
+            yield batch.filter(pa.array(has_bit(table, batch.column("h").to_numpy()) == wanted)).select(names)
 
     return rows.mapInArrow(pick, rows.drop("h").schema)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the similarity. ``pairs`` is a written table."""
-    bits = bits_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    bits = bits_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(F.xxhash64("id").alias("h")))
     some = marked(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), "text", F.xxhash64("doc_id").alias("h")), bits)
     as_side = lambda c: some.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
 
@@ -383,24 +367,31 @@ def different_groups(members: DataFrame) -> DataFrame:
 
 
 def star_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Each text of a group with the group's least changed one, by the share of rarer
-    shingles before the shared one in steps of a sixteenth, then by a hash of its id."""
-    rank = F.struct(F.floor(16 * F.col("place") / F.col("size")).alias("share"), F.xxhash64("doc").alias("h"), "doc", "size", "place")
-    centre = members.groupBy("key").agg(F.min(rank).alias("c")).select("key", *[F.col(f"c.{c}").alias(f"{c}2") for c in ("doc", "size", "place")])
-    pairs = members.join(centre, "key").where((F.col("doc") != F.col("doc2")) & passes("size", "place", "size2", "place2", percent))
+    """Each text of a group with the group's centres: the least changed text, by the share
+    of rarer shingles before the shared one in steps of a sixteenth, and CENTRES - 1 that
+    come first by hashes of their ids."""
+    fields = ["doc", "size", "place"]
+    least = F.struct(F.floor(16 * F.col("place") / F.col("size")).alias("share"), F.xxhash64("doc").alias("h"), *fields)
+    others = [F.struct(F.xxhash64("doc", F.lit(i)).alias("h"), *fields) for i in range(1, CENTRES)]
+    found = members.groupBy("key").agg(F.min(least).alias("c0"), *[F.min(x).alias(f"c{i}") for i, x in enumerate(others, 1)])
+    bare = lambda i: F.struct(*[F.col(f"c{i}.{c}").alias(f"{c}2") for c in fields])
+    centres = found.select("key", F.array_distinct(F.array(*map(bare, range(CENTRES)))).alias("centres"))
+    pairs = members.join(centres, "key").select("doc", "size", "place", F.inline("centres"))
+    pairs = pairs.where((F.col("doc") != F.col("doc2")) & passes("size", "place", "size2", "place2", percent))
     return pairs.select(*pair_columns("doc", "doc2"))
 
 
-def pairs_across(members: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the crowded groups that pass length and positional filter and whose texts
-    are in different components."""
+def pairs_across(members: DataFrame, named: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the crowded groups that pass all filters and whose texts are in different
+    components."""
     rows = members.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     by = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
     groups = by.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("most")).where("all > most.n")
     turns = F.ceil(F.col("all") * (F.col("all") - F.col("most.n")) / WORK).cast("int")
     rows = rows.join(groups.select("key", F.col("most.component").alias("largest"), turns.alias("turns")), "key")
+    rows = rows.join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
     mine = F.when(F.col("component") != F.col("largest"), F.pmod(F.xxhash64("doc", F.lit(5)), F.col("turns")).cast("int"))
-    rows = rows.select("key", "doc", "size", "place", "component", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"))
+    rows = rows.select("key", "doc", "size", "place", "component", "sketch", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by group and turn; texts of the turn meet all of the group."""
@@ -424,16 +415,16 @@ def pairs_across(members: DataFrame, named: DataFrame, percent: int) -> DataFram
     def within(group: pa.Table) -> np.ndarray:
         doc, size, place, component, turn = (group.column(c).to_numpy() for c in ("doc", "size", "place", "component", "turn"))
         mine = group.column("mine").fill_null(-1).to_numpy()
-        out = [np.zeros((0, 2), np.int64)]
-        left = np.flatnonzero(mine == turn)
+        left, found = np.flatnonzero(mine == turn), [np.zeros((0, 2), np.int64)]
         for at in range(0, len(left), 256):
             i = left[at : at + 256, None]
             # two texts outside the largest component would meet twice
-            ok = (component[i] != component) & ((mine < 0) | (doc[i] < doc)) & may_link(size[i], place[i], size, place, percent)
-            x, y = np.nonzero(ok)
-            x = i[x, 0]
-            out.append(np.column_stack([np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])]))
-        return np.concatenate(out)
+            x, y = np.nonzero((component[i] != component) & ((mine < 0) | (doc[i] < doc)) & may_link(size[i], place[i], size, place, percent))
+            found.append(np.column_stack([i[x, 0], y]))
+        x, y = np.concatenate(found).T
+        near = near_enough(size[x] + size[y], least_differences(group.column("sketch").to_pylist(), x, y), percent) if len(x) else np.zeros(0, bool)
+        x, y = doc[x[near]], doc[y[near]]
+        return np.column_stack([np.minimum(x, y), np.maximum(x, y)])
 
     return rows.repartition("key", "turn").sortWithinPartitions("key", "turn").mapInArrow(look, "a long, b long").distinct()
 
@@ -461,8 +452,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
     edges = written(verified(texts, pairs, percent).union(equal))
     named = written(components(edges))
     # pairs that were verified before do not link their components
-    across = may_be_near(pairs_across(some, named, percent), sketches, percent)
-    across = written(across.join(pairs, ["a", "b"], "left_anti"))
+    across = written(pairs_across(some, named, sketches, percent).join(pairs, ["a", "b"], "left_anti"))
     discard(pairs, edges, some)
     if not across.isEmpty():
         name = lambda c: named.select(F.col("node").alias(c), F.col("component").alias(f"{c}_name"))
@@ -482,8 +472,8 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     null id stay. Only rows that may go, or whose id is repeated, are shuffled."""
     found = written(near_duplicates(docs, **options).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows")))
     unsure = found.where("doc_id <> component_id or rows > 1").select(F.col("doc_id").alias("id"))
-    bits = bits_of(unsure)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"))
+    bits = bits_of(unsure.select(F.xxhash64("id").alias("h")))
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("document"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"))
     null = F.col("id").isNull()
     sure = marked(rows.where(~null), bits, wanted=False).select("document.*")
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias("id"))
