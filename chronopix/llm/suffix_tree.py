@@ -1,97 +1,321 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-Symbols are the frequent words (each at least 1/TOP_WORDS of all training tokens),
-the end of a text, and one symbol for all other words. The tree's nodes are contexts
-of up to DEPTH symbols. A context is kept if it stands before at least
-``least_share`` of all training tokens and the distribution of its next symbol
-differs enough from that of the context one symbol shorter (count times
-Kullback-Leibler divergence against ``least_gain`` nats for each symbol seen), or if
-a longer kept context needs it. Distributions are smoothed towards the shorter
-context's, down to add-one. Each token is scored at the longest kept suffix of what
-stands before it; one of the other words gets that symbol's probability times its
-share there, and an unknown word the share of words seen once. So the probabilities
-of all known words and of one unknown word add up to one, as they do in the base
-score.
-
-At most TOP_WORDS words and 1/least_share contexts of a length can reach their
-share, whatever the corpus' size, so the tree is small and is broadcast. Counts of
-words and of contexts cover all training texts, and are summed in each task before
-the shuffle. Counts of single words are broadcast for the words that make up at
-least 1/COMMON_WORDS of all tokens; all rarer ones are joined.
-
-Defined cases: a null or empty text is its end token alone; a null id is trained
-on; repeated rows count repeatedly and are scored alike; without any training text
-all counts are 0 and scores come from add-one alone.
+Every word is a symbol, as are the end of a text and the place before its start. The
+tree's nodes are contexts of up to DEPTH symbols. A node's next symbols are those that
+follow it at least ``least_count`` times; all others share what is left. A context is
+kept if the shorter one (without its first symbol) is, and if its next symbols differ
+enough from those of the shorter one: count times Kullback-Leibler divergence, over the
+node's next symbols and the rest, of ``least_gain`` nats for each of them. Where
+that fails the branch ends, so contexts are as long as the corpus bears out. With n
+occurrences of a context, k next symbols and n(s) for one of them, its probability is
+n(s) / (n + k), and the share of n + k that is left over goes to the shorter context's
+distribution, down to add-one over words. So the probabilities of all known words and
+of one unknown word add up to one, as they do in the base score.
+
+A text's score is the base score and a sum over the runs of up to DEPTH + 1 symbols in
+it: a run that is a context adds the logarithm of the share it hands down, and one that
+is a context with a next symbol adds what that symbol gains over the shorter context.
+The sum is each token's logarithm at its longest suffix state.
+
+Words are counted by 64-bit hashes, contexts by hashes of their symbols, which are the
+lower halves of the words' hashes. Counts are summed in tasks and sent to partitions of
+the hash space in packed arrays. Each length takes a pass, over runs whose context is
+kept by then, told by a table of bits of bounded size that never says a wrong no. Runs
+and words that make up 1/HOT of all tokens, which are at most HOT for each length, are
+broadcast; all others are asked for at the partition that holds them.
+
+Defined cases: a null or empty text is its end token alone; texts of any length are
+taken whole; a null id is trained on; repeated rows count repeatedly and are scored
+alike; a gain that ties with the threshold keeps the context; without any training text
+all counts are 0 and scores come from add-one alone; an empty table gives no rows;
+columns other than doc_id and text are not read. Words with equal lower halves (about
+one pair in four thousand million) share their contexts.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import documents, map_texts, remainder, small_batches, written
+from chronopix.llm._common import bits_of, discard, documents, has_bit, remainder, small_batches, written
 from chronopix.session import ship_code
 
-DEPTH = 2
-TOP_WORDS, COMMON_WORDS = 4096, 200_000
-#: Symbols' bits in a context's code; symbols 0 to 2 are special, words follow.
-BITS, END, OTHER, START = 13, 0, 1, 2
-#: Entries or tokens that a task sums up before it hands them on.
-HELD_WORDS, HELD_TOKENS, HELD_CODES = 200_000, 200_000, 500_000
-LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-CONTROLS = re.compile("[^\x00-\x7f]|[\x1c-\x1f]").search
-WORDS = re.compile("[^ \t-\r]+").findall
+#: Symbols of the longest contexts.
+DEPTH = 5
+#: Runs of at least 1/HOT of all tokens are broadcast.
+HOT = 500_000
+#: Runs that a task sums up, and requests that it gathers, before it hands them on; runs
+#: that one partition of the hash space takes.
+HELD, PART = 2_000_000, 2_000_000
+CACHED_WORDS = 400_000
+END, START = xxhash.xxh3_64_intdigest(b""), xxhash.xxh3_64_intdigest(b" ")
+LOW, MIX, STEP = np.uint64(0xFFFFFFFF), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+PACKED_RUNS = "part int, size int, a binary, b binary, n binary"
 
 
-def words_of(text: str) -> list[str]:
-    """Words between the six separators, with A-Z in lower case."""
-    if CONTROLS(text):
-        return WORDS(text.translate(LOWER))
-    return text.lower().split()
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser: different numbers stay different."""
+    x = (x ^ (x >> np.uint64(32))) * STEP
+    x = (x ^ (x >> np.uint64(29))) * MIX
+    return x ^ (x >> np.uint64(32))
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """Counts of words over all texts; the end token is the null word."""
-    ship_code(docs.sparkSession)
+def run_hash(context: np.ndarray, later: np.ndarray, size: int) -> np.ndarray:
+    """Of a run of ``size`` symbols, from its hashes without the last and without the first."""
+    if size == 2:
+        return mixed(context << np.uint64(32) | later)
+    return mixed(mixed(context * MIX + np.uint64(size)) + later)
 
-    def batch_of(words: list, counts: list[int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
+
+class Words(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+class Reader:
+    """Word hashes of texts: START, words, END for each."""
+
+    def __init__(self):
+        self.known = Words()
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All hashes one after the other, and each one's place in its text."""
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        # of bytes, lower() changes A-Z alone and split() parts at the six separators alone
+        words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+        get = self.known.__getitem__
+        parts = [np.fromiter((START, *map(get, w), END), np.uint64, len(w) + 2) for w in words]
+        return np.concatenate(parts), np.concatenate([np.arange(len(p)) for p in parts])
+
+
+def runs_in(h: np.ndarray, place: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each size from 2 to ``most``: where runs end, and the hashes of their contexts,
+    of their later parts and of themselves."""
+    run = h & LOW
+    for size in range(2, most + 1):
+        at = np.flatnonzero(place >= size - 1)
+        context, later = run[at - 1], run[at]
+        run = np.zeros(len(h), np.uint64)
+        run[at] = run_hash(context, later, size)
+        yield at, context, later, run[at]
+
+
+def packed(size: int, key: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    part = (key >> np.uint64(33)).astype(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    rows = [(int(part[i[0]]), size, a[i].tobytes(), b[i].tobytes(), n[i].astype(np.uint32).tobytes()) for i in np.split(order, cuts)]
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "size", "a", "b", "n"])
+
+
+def count_words(texts: DataFrame, parts: int) -> DataFrame:
+    """Words' hashes ``h`` and counts ``n`` over all texts; START counts the texts."""
+    ship_code(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ends = Counter(), 0
-        for batch in batches:
-            for part in small_batches(batch):
-                for text in part.column("text").to_pylist():
-                    held.update(words_of(text))
-                    ends += 1
-                if len(held) > HELD_WORDS:
-                    yield batch_of(list(held), list(held.values()))
-                    held.clear()
-        if ends:
-            yield batch_of([*held, None], [*held.values(), ends])
+        read, held, size = Reader(), [], 0
+
+        def flush() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            return packed(1, mixed(h), h, np.zeros(len(h), np.uint8), n, parts)
+
+        for batch in (part for b in batches for part in small_batches(b)):
+            held.append(read(batch.column("text").to_pylist())[0])
+            size += len(held[-1])
+            if size > HELD:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, n = gathered(batches, ("a", np.uint64), ("n", np.uint32))
+        if len(h):
+            h, back = np.unique(h, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.bincount(back, n, len(h)).astype(np.int64))], ["h", "n"])
+
+    return texts.select("text").mapInArrow(run, PACKED_RUNS).repartition(parts, "part").mapInArrow(add, "h long, n long")
 
-    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
+def gathered(batches: Iterator[pa.RecordBatch], *columns: tuple[str, type]) -> list[np.ndarray]:
+    held: list[list[np.ndarray]] = [[] for _ in columns]
+    for batch in batches:
+        for (c, kind), into in zip(columns, held, strict=True):
+            into += [np.frombuffer(x.as_buffer(), kind) for x in batch.column(c)]
+    return [np.concatenate([np.zeros(0, k), *into]) for (_, k), into in zip(columns, held, strict=True)]
 
-def contexts_of(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Codes of the ``depth`` symbols before each place; the nearest in the lowest bits.
-    ``symbols`` holds DEPTH start symbols in front of each text."""
-    code = np.zeros(len(symbols), np.int64)
-    for k in range(1, depth + 1):
-        code[k:] |= symbols[: len(symbols) - k] << (BITS * (k - 1))
-    return code
 
+def count_runs(texts: DataFrame, size: int, kept: np.ndarray, parts: int, least: int) -> DataFrame:
+    """Runs of ``size`` symbols that occur ``least`` times and whose contexts are in the
+    table of bits: hash ``g``, those of context ``a`` and later part ``b``, count ``n``."""
+    shared = texts.sparkSession.sparkContext.broadcast(kept)
 
-def symbols_of(index: dict[str, int], texts: list[list[str]]) -> np.ndarray:
-    get, front = index.get, [START] * DEPTH
-    return np.array([s for words in texts for s in (*front, *[get(w, OTHER) for w in words], END)], np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read, held, many = Reader(), [], 0
+
+        def flush() -> pa.RecordBatch:
+            context, later, key = (np.concatenate(c) for c in zip(*held, strict=True))
+            key, first, n = np.unique(key, return_index=True, return_counts=True)
+            return packed(size, key, context[first], later[first], n, parts)
+
+        for batch in (part for b in batches for part in small_batches(b)):
+            h, place = read(batch.column("text").to_pylist())
+            *_, (_, context, later, key) = runs_in(h, place, size)
+            on = has_bit(shared.value, context)
+            held.append((context[on], later[on], key[on]))
+            many += len(held[-1][2])
+            if many > HELD:
+                yield flush()
+                held, many = [], 0
+        if many:
+            yield flush()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b, n = gathered(batches, ("a", np.uint64), ("b", np.uint64), ("n", np.uint32))
+        key, first, back = np.unique(run_hash(a, b, size), return_index=True, return_inverse=True)
+        total = np.bincount(back, n, len(key)).astype(np.int64)
+        on = total >= least
+        if on.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[on].view(np.int64), a[first[on]].view(np.int64), b[first[on]].view(np.int64), total[on])], ["g", "a", "b", "n"])
+
+    return texts.select("text").mapInArrow(run, PACKED_RUNS).repartition(parts, "part").mapInArrow(add, "g long, a long, b long, n long")
+
+
+def grow_tree(texts: DataFrame, words: DataFrame, n_train: int, vocabulary: int, parts: int, least: int, gain: float) -> DataFrame:
+    """``key`` and ``w``: what each run of a text adds to its score. One pass over the
+    texts for each length, until no context is kept."""
+    symbols = words.where(F.col("n") >= least).groupBy(F.col("h").bitwiseAND(0xFFFFFFFF).alias("g")).agg(F.sum("n").alias("n"))
+    # of runs of the length before: count, that of the later part, and the symbol's logarithm at the later part's context
+    before = written(symbols.select("g", "n", F.lit(n_train).cast("long").alias("n_b"), F.log10((F.col("n") + 1) / (n_train + vocabulary + 1)).alias("lp")))
+    contexts = before.where(F.col("g") != END & 0xFFFFFFFF)
+    weights, tables = [], []
+    for depth in range(1, DEPTH + 1):
+        kept_bits = bits_of(contexts.select(F.col("g").alias("h")))
+        runs = written(count_runs(texts, depth + 1, kept_bits, parts, least))
+        tables.append(runs)
+        if runs.isEmpty():
+            break
+        at = contexts.select(F.col("g").alias("a"), F.col("n").alias("n_a"), F.col("n_b").alias("n_short"))
+        later = before.select(F.col("g").alias("b"), F.col("n").alias("n_b"), "lp")
+        nodes = written(runs.join(at, "a").join(later, "b"))
+        # a node's next symbols against those of the shorter context, and the rest against the rest
+        expected = F.col("n_b") / F.col("n_short")
+        sums = nodes.groupBy("a").agg(F.first("n_a").alias("n_a"), F.sum("n").alias("stored"), F.sum(expected).alias("expected"), F.count("*").alias("kinds"), F.sum(F.col("n") * F.log(F.col("n") / F.col("n_a") / expected)).alias("gain"))
+        rest, others = F.col("n_a") - F.col("stored"), F.greatest(1 - F.col("expected"), F.lit(1e-9))
+        total = F.col("gain") + F.when(rest > 0, rest * F.log(rest / F.col("n_a") / others)).otherwise(0.0)
+        share = (rest + F.col("kinds")) / (F.col("n_a") + F.col("kinds"))
+        kept = written(sums.where(total >= gain * F.col("kinds")).select("a", F.col("n_a").alias("n"), (F.col("n_a") + F.col("kinds")).alias("total"), share.alias("share")))
+        if kept.isEmpty():
+            break
+        p = F.col("n") / F.col("total") + F.col("share") * F.pow(F.lit(10.0), "lp")
+        grown = written(nodes.join(kept.drop("n"), "a").select("g", "n", "n_b", F.log10(p).alias("lp"), (F.log10(p) - F.log10("share") - F.col("lp")).alias("w")))
+        weights.append(kept.select(F.col("a").alias("key"), F.log10("share").alias("w"), F.col("n"), F.lit(depth == 1).alias("word")))
+        weights.append(grown.select(F.col("g").alias("key"), "w", "n", F.lit(False).alias("word")))
+        # a longer context is looked at only where the shorter one, without its first symbol, is kept
+        contexts, before = written(nodes.select("g", "n", "n_b", "b").join(kept.select(F.col("a").alias("b")), "b", "left_semi")), grown
+        discard(nodes)
+    discard(*tables)
+    if not weights:
+        return written(before.where(F.lit(False)).select(F.col("g").alias("key"), F.col("lp").alias("w"), "n", F.lit(False).alias("word")))
+    out = weights[0]
+    for more in weights[1:]:
+        out = out.union(more)
+    return written(out.groupBy("key", "word").agg(F.sum("w").alias("w"), F.max("n").alias("n")))
+
+
+ASKED = "part int, kind int, rows binary, at binary, keys binary, logs binary, ws binary, row long, doc_id long, held_out boolean, n_tokens long, n_known long, common double, gained double"
+NAMES = [x.split()[0] for x in ASKED.split(", ")]
+MODEL, TEXT, REQUEST = 0, 1, 2
+
+
+def as_batch(n: int, **columns: pa.Array) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "binary": pa.binary(), "long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
+    return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, kinds[k])) for c, k in (x.split() for x in ASKED.split(", "))], NAMES)
+
+
+def by_part(key: np.ndarray, parts: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The parts that keys go to, and which keys go to each."""
+    part = (mixed(key) >> np.uint64(33)).astype(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    return np.unique(part), np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(key) else []
+
+
+def blobs(groups: list[np.ndarray], values: np.ndarray) -> pa.Array:
+    return pa.array([values[i].tobytes() for i in groups], pa.binary())
+
+
+def model_rows(words: DataFrame, weights: DataFrame, parts: int) -> DataFrame:
+    """The tables of words and runs, packed for the partitions that requests go to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key = batch.column("key").to_numpy().view(np.uint64)
+                part, groups = by_part(key, parts)
+                yield as_batch(len(part), part=pa.array(part, pa.int32()), kind=pa.array([MODEL] * len(part), pa.int32()), keys=blobs(groups, key), logs=blobs(groups, batch.column("log").to_numpy()), ws=blobs(groups, batch.column("w").to_numpy()))
+
+    rows = words.select(F.col("h").alias("key"), F.log10(F.col("n") + 1).alias("log"), "w").union(weights.where(~F.col("word")).select("key", F.lit(0.0).alias("log"), "w"))
+    return rows.mapInArrow(run, ASKED)
+
+
+def text_rows(texts: DataFrame, hot: tuple, parts: int, start: float) -> DataFrame:
+    """One row for each text with what the hot words and runs give, and requests for others."""
+    shared = texts.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (word_keys, word_logs, word_ws), (run_keys, run_ws), bits = shared.value
+        read, rows, at, keys, many = Reader(), [], [], [], 0
+
+        def requests() -> pa.RecordBatch:
+            key, of, row = np.concatenate(keys), np.concatenate(at), np.concatenate(rows)
+            part, groups = by_part(key, parts)
+            return as_batch(len(part), part=pa.array(part, pa.int32()), kind=pa.array([REQUEST] * len(part), pa.int32()), rows=blobs([np.unique(of[i]) for i in groups], row), at=blobs(groups, of), keys=blobs(groups, key))
+
+        for batch in (part for b in batches for part in small_batches(b)):
+            h, place = read(batch.column("text").to_pylist())
+            of, n = np.cumsum(place == 0) - 1, batch.num_rows
+            token = np.flatnonzero(place > 0)
+            found = found_in(word_keys, h[token])
+            hit = found >= 0
+            known, known_at = of[token[hit]], found[hit]
+            common = np.bincount(known, word_logs[known_at], n)
+            gained = start + np.bincount(known, word_ws[known_at], n)
+            asked = [(of[token[~hit]], h[token[~hit]])]
+            live = np.ones(len(h), bool)
+            for ends, _, _, key in runs_in(h, place, DEPTH + 1):
+                # of a run that counts, the later part counts
+                ends, key = ends[live[ends]], key[live[ends]]
+                on = has_bit(bits, key)
+                ends, key = ends[on], key[on]
+                live = np.zeros(len(h), bool)
+                live[ends] = True
+                found = found_in(run_keys, key)
+                gained += np.bincount(of[ends[found >= 0]], run_ws[found[found >= 0]], n)
+                asked.append((of[ends[found < 0]], key[found < 0]))
+            turn = pa.array(np.full(n, hash((int(batch.column("row")[0].as_py()), n)) % parts), pa.int32())
+            yield as_batch(n, part=turn, kind=pa.array([TEXT] * n, pa.int32()), **{c: batch.column(c) for c in ("row", "doc_id", "held_out")}, n_tokens=pa.array(np.bincount(of, minlength=n) - 1, pa.int64()), n_known=pa.array(np.bincount(known, minlength=n), pa.int64()), common=pa.array(common.astype(float)), gained=pa.array(gained.astype(float)))
+            shift = sum(map(len, rows))
+            rows.append(batch.column("row").to_numpy())
+            at += [(x + shift).astype(np.int32) for x, _ in asked]
+            keys += [k for _, k in asked]
+            many += sum(len(k) for _, k in asked)
+            if many > HELD:
+                yield requests()
+                rows, at, keys, many = [], [], [], 0
+        if many:
+            yield requests()
+
+    return texts.select("row", "doc_id", "held_out", "text").mapInArrow(run, ASKED)
 
 
 def found_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -102,194 +326,64 @@ def found_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
-def count_next(docs: DataFrame, index: dict[str, int], frequent: np.ndarray, depth: int) -> DataFrame:
-    """Counts of (context, symbol) for the given contexts of ``depth`` symbols."""
-    ship_code(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((index, frequent))
+def answered(rows: DataFrame, parts: int) -> DataFrame:
+    """Texts' rows, and for each text what a partition's words and runs add to it."""
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "common", "gained"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, frequent = shared.value
-
-        def codes(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-            s = np.concatenate(held)
-            of = contexts_of(s, depth)
-            on = s != START
-            on[on] = found_in(frequent, of[on]) >= 0
-            return np.unique((of[on] << BITS) | s[on], return_counts=True)
-
-        def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-            code, back = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-            return code, np.bincount(back, np.concatenate([n for _, n in parts]), len(code)).astype(np.int64)
-
-        def batch_of(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            code, n = merged(parts)
-            return pa.RecordBatch.from_arrays([pa.array(code >> BITS), pa.array(code & ((1 << BITS) - 1)), pa.array(n)], ["context", "symbol", "n"])
-
-        held, size, parts = [], 0, []
+        model, requests = [], []
         for batch in batches:
-            for part in small_batches(batch):
-                for text in part.column("text").to_pylist():
-                    held.append(symbols_of(index, [words_of(text)]))
-                    size += len(held[-1])
-                    if size > HELD_TOKENS:
-                        parts.append(codes(held))
-                        held, size = [], 0
-                if sum(len(c) for c, _ in parts) > HELD_CODES:
-                    parts = [merged(parts)]
-                    if len(parts[0][0]) > HELD_CODES // 2:
-                        yield batch_of(parts)
-                        parts = []
-        if held:
-            parts.append(codes(held))
-        if parts:
-            yield batch_of(parts)
-
-    return docs.select("text").mapInArrow(run, "context bigint, symbol bigint, n bigint").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class SuffixTree:
-    root: np.ndarray  # probability of each symbol without context
-    contexts: list[np.ndarray]  # kept contexts of each length, sorted
-    shorter_share: list[np.ndarray]  # weight of the shorter context's distribution there
-    entries: list[np.ndarray]  # (context, symbol) codes with counts, sorted
-    values: list[np.ndarray]  # their own share of the probability
-
-    def probability(self, symbols: np.ndarray) -> np.ndarray:
-        """Of each symbol at its longest suffix state."""
-        p = self.root[symbols]
-        for depth in range(1, len(self.contexts) + 1):
-            of = contexts_of(symbols, depth)
-            state = found_in(self.contexts[depth - 1], of)
-            on = np.flatnonzero((state >= 0) & (symbols != START))
-            entry = found_in(self.entries[depth - 1], (of[on] << BITS) | symbols[on])
-            own = np.append(self.values[depth - 1], 0.0)[entry]
-            p[on] = own + self.shorter_share[depth - 1][state[on]] * p[on]
-        return p
-
-
-def grow(tree: SuffixTree, rows: np.ndarray, depth: int, least_gain: float) -> np.ndarray:
-    """Add the contexts of one length. ``rows``: context, symbol, count. Contexts that fail
-    the test stay for now, as longer ones may need them; returns which passed."""
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    contexts, first = np.unique(rows[:, 0], return_index=True)
-    of = np.searchsorted(contexts, rows[:, 0])
-    total, kinds = np.add.reduceat(rows[:, 2], first).astype(float), np.diff(np.append(first, len(rows))).astype(float)
-    # rows read as texts of one context and its next symbol, without the first symbol
-    places = [np.full(len(rows), START)] * DEPTH + [(rows[:, 0] >> (BITS * k)) & ((1 << BITS) - 1) for k in range(depth - 2, -1, -1)] + [rows[:, 1]]
-    short = tree.probability(np.column_stack(places).astype(np.int64).ravel()).reshape(len(rows), -1)[:, -1]
-    gain = np.add.reduceat(rows[:, 2] * np.log(rows[:, 2] / total[of] / short), first)
-    tree.contexts.append(contexts)
-    tree.shorter_share.append(kinds / (total + kinds))
-    tree.entries.append((rows[:, 0] << BITS) | rows[:, 1])
-    tree.values.append(rows[:, 2] / (total + kinds)[of])
-    return gain >= least_gain * kinds
-
-
-def prune(tree: SuffixTree, passed: list[np.ndarray]) -> None:
-    """Drop contexts that failed the test and that no longer kept one ends with."""
-    needed = np.zeros(0, np.int64)
-    for d in range(DEPTH - 1, -1, -1):
-        keep = passed[d] | np.isin(tree.contexts[d], needed)
-        entry = keep[np.searchsorted(tree.contexts[d], tree.entries[d] >> BITS)] if len(tree.entries[d]) else np.zeros(0, bool)
-        tree.contexts[d], tree.shorter_share[d] = tree.contexts[d][keep], tree.shorter_share[d][keep]
-        tree.entries[d], tree.values[d] = tree.entries[d][entry], tree.values[d][entry]
-        needed = np.unique(tree.contexts[d] & ((1 << (BITS * d)) - 1))
-
-
-def fit_tree(texts: DataFrame, index: dict[str, int], root: np.ndarray, least_share: float, least_gain: float) -> SuffixTree:
-    """One pass over the texts for each context length; only contexts that can still
-    reach the least share are counted, a bounded number."""
-    tree, passed = SuffixTree((root + 1) / (root.sum() + len(root)), [], [], [], []), []
-    tree.root[START] = 1.0
-    least = max(1.0, least_share * root.sum())
-    frequent = np.flatnonzero(root >= least)
-    frequent = np.unique(np.append(frequent[frequent != END], START))
-    for depth in range(1, DEPTH + 1):
-        counts = count_next(texts, index, frequent, depth)
-        rows = counts.toPandas()[["context", "symbol", "n"]].to_numpy().astype(np.int64).reshape(-1, 3)
-        total: Counter = Counter()
-        for c, n in zip(rows[:, 0].tolist(), rows[:, 2].tolist(), strict=True):
-            total[c] += n
-        rows = rows[np.array([total[c] >= least for c in rows[:, 0].tolist()], bool)]
-        passed.append(grow(tree, rows, depth, least_gain) if len(rows) else np.zeros(0, bool))
-        if not len(rows):
-            for part in (tree.contexts, tree.entries):
-                part.append(np.zeros(0, np.int64))
-            for part in (tree.shorter_share, tree.values):
-                part.append(np.zeros(0))
-        # a longer context is frequent only if its later part is
-        longer = rows[(rows[:, 2] >= least) & (rows[:, 1] != END)]
-        frequent = np.unique((longer[:, 0] << BITS) | longer[:, 1])
-        if depth == 1 and START in tree.contexts[0]:
-            frequent = np.unique(np.append(frequent, (START << BITS) | START))
-    prune(tree, passed)
-    return tree
-
-
-def score_texts(docs: DataFrame, *, modulus: int = 7, held_out: int = 2, least_share: float = 5e-4, least_gain: float = 2.0) -> DataFrame:
+            kind = batch.column("kind").to_numpy()
+            if (kind == TEXT).any():
+                yield batch.filter(pa.array(kind == TEXT)).select(names)
+            for r in batch.filter(pa.array(kind != TEXT)).select(["kind", "rows", "at", "keys", "logs", "ws"]).to_pylist():
+                key = np.frombuffer(r["keys"], np.uint64)
+                if r["kind"] == MODEL:
+                    model.append((key, np.frombuffer(r["logs"]), np.frombuffer(r["ws"])))
+                else:
+                    requests.append((np.frombuffer(r["rows"], np.int64), np.frombuffer(r["at"], np.int32), key))
+        if not model:
+            return
+        table, logs, ws = (np.concatenate(c) for c in zip(*model, strict=True))
+        order = np.argsort(table)
+        table, logs, ws = table[order], logs[order], ws[order]
+        for row, at, key in requests:
+            found = found_in(table, key)
+            hit = found >= 0
+            of, found = np.searchsorted(np.unique(at), at[hit]), found[hit]
+            known = np.bincount(of, logs[found] > 0, len(row)).astype(np.int64)
+            columns = [pa.array(row), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.bool_()), pa.nulls(len(row), pa.int64()), pa.array(known), pa.array(np.bincount(of, logs[found], len(row)).astype(float)), pa.array(np.bincount(of, ws[found], len(row)).astype(float))]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(np.bincount(of, minlength=len(row)) > 0))
+
+    return rows.repartition(parts, "part").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, common double, gained double")
+
+
+def score_texts(docs: DataFrame, *, modulus: int = 7, held_out: int = 2, least_count: int = 6, least_gain: float = 2.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every text."""
-    spark = docs.sparkSession
-    texts = documents(docs).withColumn("fold", remainder(F.col("doc_id"), modulus))
-    training = texts.where(F.col("fold") != held_out)
-    counts = written(count_words(training))
-    size = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.count_if((F.col("n") == 1) & F.col("word").isNotNull()).alias("once"), F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("ends")).first()
-    n_train, vocabulary, ends, once = size["n"] or 0, size["v"], size["ends"] or 0, max(size["once"], 1)
-    known = {r["word"]: r["n"] for r in counts.where(F.col("word").isNotNull() & (F.col("n") * COMMON_WORDS >= n_train)).collect()}
-    top = sorted(w for w, n in known.items() if n * TOP_WORDS >= n_train)
-    index = {w: i for i, w in enumerate(top, START + 1)}
-    root = np.array([ends, 0, 0, *[known[w] for w in top]], float)
-    root[OTHER] = n_train - root.sum()
-    others = float(np.log10(root[OTHER] + once))
-    tree = spark.sparkContext.broadcast((fit_tree(training, index, root, least_share, least_gain), index, known))
-    floor = float(np.log10(n_train + vocabulary + 1))
-
-    def make():
-        model, index, counted = tree.value
-
-        def per_batch(texts: list[str]) -> dict[str, list]:
-            words = [words_of(t) for t in texts]
-            s = symbols_of(index, words)
-            s_on = np.flatnonzero(s != START)
-            p, s = np.log10(model.probability(s))[s_on], s[s_on]
-            # the end token stands last in each text
-            count = np.array([counted.get(w, 0) for of in words for w in (*of, None)], np.int64)
-            first = np.concatenate([[0], np.cumsum([len(of) + 1 for of in words])])
-            last = first[1:] - 1
-            count[last] = ends
-            rare = count == 0
-            rare[last] = False
-            per_text = lambda x: np.add.reduceat(x, first[:-1])
-            within = np.where((s == OTHER) & ~rare, np.log10(np.maximum(count, 1)) - others, 0.0)
-            at = np.flatnonzero(rare)
-            flat = [w for of in words for w in (*of, None)]
-            return {
-                "n_tokens": np.diff(first).tolist(),
-                "n_common": per_text((count > 0).astype(np.int64)).tolist(),
-                "common": per_text(np.log10(count + 1)).tolist(),
-                "score": per_text(p + within).tolist(),
-                "rare": pa.ListArray.from_arrays(pa.array(np.searchsorted(at, first).astype(np.int32)), pa.array([flat[i] for i in at.tolist()], pa.string())),
-            }
-
-        return per_batch
-
-    scored = map_texts(texts, make, {"n_tokens": "long", "n_common": "long", "common": "double", "score": "double", "rare": "array<string>"})
-    scored = written(scored.withColumn("row", F.monotonically_increasing_id()))
-    rare = scored.select("row", F.explode("rare").alias("word"))
-    found = rare.join(counts.where(F.col("word").isNotNull()), "word", "left")
-    of_rare = found.groupBy("row").agg(
-        F.count("n").alias("n_rare"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("from_rare"), F.sum(F.log10(F.coalesce(F.col("n"), F.lit(once))) - others).alias("score_rare")
-    )
-    return (
-        scored.drop("rare")
-        .join(of_rare, "row", "left")
-        .select(
-            "doc_id",
-            (F.col("fold") == held_out).alias("held_out"),
-            "n_tokens",
-            (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).cast("long").alias("n_known"),
-            F.lit(n_train).cast("long").alias("train_tokens"),
-            (F.col("common") + F.coalesce("from_rare", F.lit(0.0)) - F.col("n_tokens") * floor).alias("base_score"),
-            (F.col("score") + F.coalesce("score_rare", F.lit(0.0))).alias("score"),
-        )
-    )
+    texts = documents(docs).withColumn("held_out", remainder(F.col("doc_id"), modulus) == held_out).withColumn("row", F.monotonically_increasing_id())
+    training = texts.where(~F.col("held_out"))
+    letters = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(64, letters // (6 * PART))
+    counts = written(count_words(training, parts))
+    is_start = F.col("h") == F.lit(START - (1 << 64) if START >> 63 else START)
+    size = counts.where(~is_start).agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    n_train, vocabulary = size["n"] or 0, size["v"]
+    weights = grow_tree(training, counts, n_train, vocabulary, parts, least_count, least_gain)
+    of_words = weights.where("word").select(F.col("key").alias("g"), "w")
+    words = counts.where(~is_start).withColumn("g", F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))).join(of_words, "g", "left")
+    words = written(words.select("h", "n", F.coalesce("w", F.lit(0.0)).alias("w")))
+    frequent = F.col("n") * HOT >= n_train
+    hot_words = words.where(frequent).toPandas()
+    hot_runs = weights.where(~F.col("word") & frequent).select("key", "w").toPandas()
+    first = of_words.where(F.col("g") == F.lit(START & 0xFFFFFFFF)).first()
+
+    def arrays(key, *values) -> tuple[np.ndarray, ...]:
+        key = key.to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(key)
+        return tuple(x[order] for x in (key, *(v.to_numpy(float) for v in values)))
+
+    hot = (arrays(hot_words["h"], np.log10(hot_words["n"].astype(float) + 1), hot_words["w"]), arrays(hot_runs["key"], hot_runs["w"]), bits_of(weights.select(F.col("key").alias("h"))))
+    asked = text_rows(texts, hot, parts, first["w"] if first else 0.0).union(model_rows(words, weights, parts))
+    got = answered(asked, parts).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("common").alias("common"), F.sum("gained").alias("gained"))
+    base = F.col("common") - F.col("n_tokens") * F.log10(F.lit(float(n_train + vocabulary + 1)))
+    return got.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gained")).alias("score"))
