@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from chronopix.session import ship_code
 
@@ -108,7 +108,7 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str
 
     schema = StructType([docs.schema[c] for c, _ in kept])
     for c, t in added.items():
-        schema = schema.add(c, t)
+        schema = schema.add(c, DataType.fromDDL(t))
     return docs.mapInArrow(run, schema)
 
 

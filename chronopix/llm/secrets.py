@@ -3,12 +3,17 @@
 Three plain patterns give the base spans: assignments to a secret-like name,
 access-key ids and long hex strings. Beyond them, base64 and hex candidates are
 decoded and reported only if the bytes are what they look like: DER private keys
-whose nested lengths add up (PKCS#1, PKCS#8, SEC1), OpenSSH private keys, PEM
-blocks around either, and signed tokens whose header and payload are JSON objects
-with a signing algorithm.
+whose nested lengths add up (PKCS#1, PKCS#8 plain or encrypted, SEC1, DSA), OpenSSH
+private keys, PEM blocks around either or around data that its header says is
+encrypted, and signed tokens whose header and payload are JSON objects with a signing
+algorithm and a signature. A key may stand behind other letters of its alphabet and may
+go on over single line breaks; its own lengths tell where it ends.
 
 Defined cases: a null or empty text has no spans (an empty digest input); repeated
-rows are scanned alike; texts are scanned whole; positions are code points.
+rows are scanned alike, null ids stay null; texts of any length are scanned whole;
+positions are code points; spans with equal starts are listed by kind, then by end; an
+empty table gives no rows; columns other than doc_id and text are not read, and stay
+untouched where texts are redacted, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,15 +27,17 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import documents, map_texts
+from chronopix.llm._common import documents, map_texts, quoted
 
 #: Kinds in the order in which equal starts are listed; the first three are the base.
 KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]{16,})-----END \1-----")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----\s*((?:[A-Za-z-]+: [^\n]*\n)*)([A-Za-z0-9+/=\s]{16,})-----END \1-----")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{4,})*={0,2}")
+#: Letters that base64 gives to the first bytes of a DER sequence and of an OpenSSH key.
+KEY_START = re.compile(r"M[A-P][A-Za-z0-9+/_-]{2}|b3BlbnNzaC1rZXktdjE")
 HEX_BYTES = re.compile(r"(?:[0-9a-fA-F]{2}){32,}")
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 SEQUENCE, INTEGER, OCTETS, OBJECT_ID = 0x30, 0x02, 0x04, 0x06
@@ -55,16 +62,29 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
     return items
 
 
+def der_length(data: bytes) -> int | None:
+    """Bytes that a sequence takes by its own header."""
+    if len(data) < 6 or data[0] != SEQUENCE:
+        return None
+    n = data[1] & 0x7F if data[1] & 0x80 else 0
+    return 2 + data[1] if not data[1] & 0x80 else 2 + n + int.from_bytes(data[2 : 2 + n], "big") if 1 <= n <= 4 else None
+
+
 def is_private_der(data: bytes) -> bool:
     outer = der_items(data) if data[:1] == b"\x30" else None
     if not outer or len(outer) != 1:
         return False
     inner = der_items(outer[0][1])
+    if inner and [t for t, _ in inner] == [SEQUENCE, OCTETS] and len(inner[1][1]) >= 32 and len(inner[1][1]) % 8 == 0:
+        algorithm = der_items(inner[0][1])  # PKCS#8, encrypted: algorithm and parameters, then the cipher text
+        return bool(algorithm) and [t for t, _ in algorithm] == [OBJECT_ID, SEQUENCE]
     if not inner or inner[0][0] != INTEGER or len(inner[0][1]) != 1:
         return False
     tags, version = [t for t, _ in inner], inner[0][1][0]
     if tags[:9] == [INTEGER] * 9 and version in (0, 1):
         return True
+    if tags == [INTEGER] * 6 and version == 0:
+        return True  # DSA
     if tags[1:3] == [SEQUENCE, OCTETS] and version in (0, 1):
         algorithm = der_items(inner[1][1])
         return bool(algorithm) and algorithm[0][0] == OBJECT_ID
@@ -97,7 +117,30 @@ def is_signed_token(text: str) -> bool:
         head, body = (json.loads(from_base64(p)) for p in text.split(".")[:2])
     except (ValueError, RecursionError):
         return False
-    return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
+    signed = isinstance(head, dict) and isinstance(head.get("alg"), str) and head["alg"].lower() != "none" and text.rpartition(".")[2] != ""
+    return signed and isinstance(body, dict)
+
+
+def key_spans(text: str, at: int) -> list[tuple[str, int, int]]:
+    """Keys in a run of base64 letters and line breaks that begins at ``at``."""
+    places = [i for i, c in enumerate(text) if not c.isspace()]
+    run, spans, after = "".join(text.split()), [], 0
+    for m in KEY_START.finditer(run):
+        start = m.start()
+        if start < after:
+            continue
+        if run[start] == "M":
+            size = der_length(from_base64(run[start : start + 8]))
+            # the letters of that many bytes, without what fills them up
+            end = start + -(-4 * size // 3) if size and size >= 30 else len(run) + 1
+            if end <= len(run.rstrip("=")) and is_private_der(from_base64(run[start:end])[:size]):
+                end += len(run) - len(run.rstrip("=")) if end == len(run.rstrip("=")) else 0
+                spans.append(("der", at + places[start], at + places[end - 1] + 1))
+                after = end
+        elif is_private_ssh(from_base64(run[start:])):
+            spans.append(("ssh", at + places[start], at + places[-1] + 1))
+            after = len(run)
+    return spans
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -110,15 +153,11 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     spans = []
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
-            data = from_base64(m[2])
-            if is_private_der(data) or is_private_ssh(data):
+            data = from_base64(m[3])
+            if is_private_der(data) or is_private_ssh(data) or "DEK-Info:" in m[2] and data and len(data) % 8 == 0:
                 spans.append(("pem", *m.span()))
     for m in BASE64.finditer(text):
-        data = from_base64(m[0])
-        if is_private_der(data):
-            spans.append(("der", *m.span()))
-        elif is_private_ssh(data):
-            spans.append(("ssh", *m.span()))
+        spans += key_spans(m[0], m.start())
     for m in HEX_BYTES.finditer(text):
         data = bytes.fromhex(m[0])
         if is_private_der(data) or is_private_ssh(data):
@@ -162,10 +201,14 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` and n_chars brought up to date.
     Null texts stay null; all columns of ``docs`` stay."""
 
+    name = "clean"
+    while name in docs.columns:
+        name += "_"
+
     def make():
-        return lambda texts: {"clean": [t if t is None else redacted(t, mark) for t in texts]}
+        return lambda texts: {name: [t if t is None else redacted(t, mark) for t in texts]}
 
-    clean = map_texts(docs, make, {"clean": "string"}).withColumnRenamed("clean", "text")
+    clean = map_texts(docs, make, {name: "string"}).withColumnRenamed(name, "text")
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    return clean.select(*[quoted(c) for c in docs.columns])
