@@ -19,7 +19,10 @@ on either side, goes on to the components of the whole table: no link is lost.
 
 Defined cases: null labels and ids, null, empty or zero vectors and vectors with
 null or non-finite parts link with nothing; vectors of different lengths link with
-nothing; a null id has a null component; an empty table gives no rows.
+nothing; a null id has a null component; each row has a row in the result, also where
+ids repeat: a usable vector that repeats an id counts as another vector, and all with
+that id are in one component; of several components' names the smallest counts; other
+columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronopix.llm._common import materialise, written
@@ -42,6 +45,9 @@ from chronopix.session import ship_code
 BLOCK = 1024
 #: Centroids of each half's codebook for a table of so many vectors per label and cell.
 PER_CELL = 16
+#: Most centroids of a half; a vector's bounds take time with their square. With more
+#: vectors than fill such a grid, cells are fuller and take more shelves.
+MOST_CENTROIDS = 1024
 
 
 @dataclass
@@ -117,14 +123,11 @@ def local_roots(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[
     return np.concatenate([none, *nodes]), np.concatenate([none, *roots])
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """Distinct usable vectors of each label as doubles: vec_id (the smallest), many.
-    Equality is that of the given components."""
+def is_usable() -> Column:
+    """Whether a row's vector can link with any other."""
     e = F.col("embedding")
-    good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & e.isNotNull() & (F.size(e) > 0)
     finite = F.forall(e, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.coalesce(F.isnan(x), F.lit(True)))
-    rows = vectors.where(good).where(finite & F.exists(e, lambda x: x != 0)).select("vec_id", "label", F.transform(e, lambda x: x.cast("double") + F.lit(0.0)).alias("x"))
-    return rows
+    return F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size(e) > 0) & finite & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
 def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int = 20_000, seed: int = 3) -> DataFrame:
@@ -133,8 +136,7 @@ def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int =
     spark = vectors.sparkSession
     ship_code(spark)
     table = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("string").alias("label"))
-    table = table.withColumn("row", F.monotonically_increasing_id())
-    rows = usable(table.drop("row")).withColumn("h", F.xxhash64("label", "x"))
+    rows = table.where(is_usable()).select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0)).alias("x")).withColumn("h", F.xxhash64("label", "x"))
     same = materialise(rows.groupBy("label", "h", "x").agg(F.min("vec_id").alias("first"), F.count("*").alias("many")))
     dims = [r[0] for r in same.select(F.size("x")).distinct().collect()]
     limit = 2 - 2 * least + 1e-9
@@ -145,7 +147,7 @@ def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int =
         sample = one.orderBy("h", "first").limit(sample_size).select("x").toPandas()["x"]
         unit = unit_rows(np.array(sample.tolist(), float))
         labels = max(1, one.select("label").distinct().count())
-        k = int(np.clip(round((count / labels / PER_CELL) ** 0.5), 4, 256))
+        k = int(np.clip(round((count / labels / PER_CELL) ** 0.5), 4, MOST_CENTROIDS))
         cut = max(1, dim // 2)
         halves = (learn_half(unit[:, :cut], k, seed), learn_half(unit[:, cut:] if cut < dim else np.zeros((len(unit), 1)), k, seed + 1))
         kind = "<f4" if "array<float>" in dict(vectors.dtypes)["embedding"] else "<f8"
@@ -203,5 +205,5 @@ def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int =
     # a set of equal vectors stands for all its members
     groups = same.join(sums, "first", "left").join(named, "first", "left").select(F.col("label").alias("g_label"), F.col("h").alias("g_h"), F.col("x").alias("g_x"), (F.col("many") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "first").alias("component_id"))
     got = rows.join(groups, (F.col("label") == F.col("g_label")) & (F.col("h") == F.col("g_h")) & (F.col("x") == F.col("g_x"))).select("vec_id", "n_links", "component_id")
-    rest = table.join(got.select("vec_id").distinct(), "vec_id", "left_anti").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    rest = table.where(~is_usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return got.union(rest).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
