@@ -6,10 +6,10 @@ repeated words, as logarithms). For each language and source the centre and the
 covariance are estimated from the three quarters of its documents that lie closest
 together: starting at medians and median deviations, each concentration step
 refits to the documents of least distance, which never raises the covariance's
-determinant. A document is rejected if its squared Mahalanobis distance is above
-``cutoff``. Groups with fewer than ``least`` documents use their language's
-estimate, languages with fewer that of all documents; tables with fewer keep what
-the fixed rules keep.
+determinant. The estimate of a source counts ``prior`` more documents like its
+language's, and that of a language like all documents, so small groups lean on the wider
+one and large ones stand alone, without a limit in between. A document is rejected if its
+squared Mahalanobis distance is above ``cutoff``.
 
 All of it is DataFrame expressions. Statistics are computed inside each row, so no
 text is shuffled; statistics are kept at multiples of 1/1024, so sums do not depend
@@ -17,8 +17,10 @@ on the order of rows; quantiles come from counts over bins, which are summed bef
 they are shuffled, so a source that holds a third of all rows is no hot spot.
 
 Defined cases: a null or empty text has no words and fails the fixed rules; null
-languages and sources form groups of their own; repeated rows are judged alike;
-an empty table gives no rows. Repeated word windows are found by 64-bit hashes.
+languages and sources form groups of their own; texts of any length are taken whole;
+repeated rows are judged alike, ids may be null or repeat; where distances tie at the
+share, all that tie are taken; an empty table gives no rows; columns other than doc_id,
+text, lang and source are not read. Repeated word windows are found by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import SPACE, materialise
+from chronopix.llm._common import SPACE, quoted, written
 
 WINDOW = 8
 DIM = 4
@@ -145,8 +147,12 @@ def distance(df: DataFrame) -> DataFrame:
     return df.withColumn("d2", sum((F.col(f"y{i}") ** 2 for i in range(1, DIM)), F.col("y0") ** 2)).drop(*[f"y{i}" for i in range(DIM)])
 
 
-def refit(points: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One concentration step: estimates from the SHARE of least distance."""
+MOMENTS = ["n", *[f"m{i}" for i in range(DIM)], *[f"c{i}{j}" for i in range(DIM) for j in range(i + 1)]]
+
+
+def moments(points: DataFrame, estimates: DataFrame) -> DataFrame:
+    """One concentration step: number, means ``m`` and covariances ``c`` of the SHARE of
+    least distance."""
     near = distance(beside(points, estimates)).select(*KEY, *[f"x{i}" for i in range(DIM)], F.floor(F.log1p("d2") * 64).alias("bin"))
     limit = bin_reached(near, F.col("bin"), KEY, SHARE, "limit")
     half = beside(near, limit).where(F.col("bin") <= F.col("limit"))
@@ -154,50 +160,66 @@ def refit(points: DataFrame, estimates: DataFrame) -> DataFrame:
         F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(DIM)], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i in range(DIM) for j in range(i + 1)]
     )
     got = sums.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(DIM)})
-    least = lambda c, i, j: F.greatest(c, F.lit(FLOOR[i] ** 2)) if i == j else c
-    got = got.withColumns({f"c{i}{j}": least(CONSISTENT * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")), i, j) for i in range(DIM) for j in range(i + 1)})
+    return got.select(*KEY, "n", *[f"m{i}" for i in range(DIM)], *[(CONSISTENT * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))).alias(f"c{i}{j}") for i in range(DIM) for j in range(i + 1)])
+
+
+def factored(got: DataFrame) -> DataFrame:
+    """Centres and Cholesky factors of moments, with FLOOR in the place of smaller deviations."""
     for i in range(DIM):
         for j in range(i + 1):
-            rest = F.col(f"c{i}{j}")
+            rest = F.greatest(F.col(f"c{i}{j}"), F.lit(FLOOR[i] ** 2)) if i == j else F.col(f"c{i}{j}")
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             got = got.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOOR[i] ** 2 / 4))) if i == j else rest / F.col(f"l{j}{j}"))
-    return got.select(*KEY, *[f"m{i}" for i in range(DIM)], *[f"l{i}{j}" for i in range(DIM) for j in range(i + 1)])
+    return got.drop(*MOMENTS[1 + DIM :], "n")
+
 
+def shrunk(groups: DataFrame, wider: DataFrame, prior: float) -> DataFrame:
+    """Moments of groups, each together with ``prior`` documents like those of the wider
+    group ``up``: the fewer a group has, the more it is like the wider one."""
+    few = wider.select(F.col("of").alias("up"), *[F.col(c).alias(f"w_{c}") for c in MOMENTS])
+    both = groups.join(few, "up")
+    own = F.col("n") / (F.col("n") + prior)
+    apart = [F.col(f"m{i}") - F.col(f"w_m{i}") for i in range(DIM)]
+    mean = [(own * F.col(f"m{i}") + (1 - own) * F.col(f"w_m{i}")).alias(f"m{i}") for i in range(DIM)]
+    around = [(own * F.col(f"c{i}{j}") + (1 - own) * F.col(f"w_c{i}{j}") + own * (1 - own) * apart[i] * apart[j]).alias(f"c{i}{j}") for i in range(DIM) for j in range(i + 1)]
+    return both.select("of", "n", *mean, *around)
 
-def estimated(stats: DataFrame, least: int, steps: int) -> tuple[DataFrame, DataFrame]:
-    """The rows that pass the fixed rules, once for each level, and the estimates."""
-    passed = with_levels(stats.where(~F.col("base_failed")))
-    points = passed.select(*KEY, *[f"x{i}" for i in range(DIM)])
-    enough = points.groupBy(*KEY).count().where(F.col("count") >= least).select(*KEY)
-    estimates = materialise(start_estimates(beside(points, enough)))
-    for _ in range(steps):
-        estimates = materialise(refit(points, estimates))
-    return passed, estimates
 
+def estimated(stats: DataFrame, prior: float, steps: int) -> DataFrame:
+    """``of`` (language and source), centre and factor for each group of the rows that
+    pass the fixed rules. Groups are in a written table, so that its size is known: if
+    it is small it is broadcast, otherwise Spark splits the groups that are large."""
+    points = with_levels(stats.where(~F.col("base_failed"))).select(*KEY, *[f"x{i}" for i in range(DIM)])
+    estimates = written(start_estimates(points))
+    for _ in range(steps - 1):
+        estimates = written(factored(moments(points, estimates)))
+    found = written(moments(points, estimates))
+    level = lambda n: found.where(F.col("level") == n)
+    languages = shrunk(level(1).withColumn("up", F.lit("")), level(ALL), prior)
+    sources = shrunk(level(0).withColumn("up", F.substring_index("of", "\1", 1)), languages, prior)
+    return written(factored(sources))
 
-def quality_rules(docs: DataFrame, *, cutoff: float = 23.51, least: int = 30, steps: int = 3) -> DataFrame:
+
+def group_of() -> Column:
+    return F.concat(F.coalesce("lang", F.lit("\0")), F.lit("\1"), F.coalesce("source", F.lit("\0"))).alias("of")
+
+
+def quality_rules(docs: DataFrame, *, cutoff: float = 23.51, prior: float = 30.0, steps: int = 3) -> DataFrame:
     """doc_id, the statistics, base_failed, kept and the squared distance ``d2`` (null
-    where no estimate applies). ``cutoff``: the 0.9999 quantile of chi-square in DIM dimensions."""
-    stats = materialise(transformed(text_statistics(docs)).withColumn("row", F.monotonically_increasing_id()))
-    passed, estimates = estimated(stats, least, steps)
-    judged = distance(beside(passed.select("row", *KEY, *[f"x{i}" for i in range(DIM)]), estimates))
-    # a document has at most three distances here: its own group's comes first
-    verdict = judged.groupBy("row").agg(F.min_by("d2", "level").alias("d2"))
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff)
-    return stats.join(verdict, "row", "left").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "d2")
+    where the fixed rules reject). ``cutoff``: the 0.9999 quantile of chi-square in DIM
+    dimensions; ``prior``: how many documents' weight a group's wider group has."""
+    stats = written(transformed(text_statistics(docs)))
+    judged = distance(stats.withColumn("of", group_of()).join(estimated(stats, prior, steps), "of", "left"))
+    d2 = F.when(~F.col("base_failed"), F.col("d2"))
+    kept = ~F.col("base_failed") & (F.coalesce(d2, F.lit(0.0)) <= cutoff)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), d2.alias("d2"))
 
 
-def kept_documents(docs: DataFrame, *, cutoff: float = 23.51, least: int = 30, steps: int = 3) -> DataFrame:
+def kept_documents(docs: DataFrame, *, cutoff: float = 23.51, prior: float = 30.0, steps: int = 3) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns of ``docs``. Statistics are
     computed again beside each text, which is cheaper than shuffling the texts."""
-    stats = materialise(transformed(text_statistics(docs)).select("lang", "source", "base_failed", *[f"x{i}" for i in range(DIM)]))
-    _, estimates = estimated(stats, least, steps)
-    parameters = [c for c in estimates.columns if c not in KEY]
-    level = lambda n: estimates.where(F.col("level") == n).select(F.col("of").alias(f"of{n}"), *[F.col(c).alias(f"{c}_{n}") for c in parameters])
-    rows = transformed(text_statistics(docs, F.struct(*[F.col(c) for c in docs.columns]).alias("document"))).where(~F.col("base_failed"))
-    lang, source = F.coalesce("lang", F.lit("\0")), F.coalesce("source", F.lit("\0"))
-    rows = rows.select("document", *[f"x{i}" for i in range(DIM)], F.concat(lang, F.lit("\1"), source).alias("of0"), lang.alias("of1"))
-    rows = rows.join(level(0), "of0", "left").join(level(1), "of1", "left").join(F.broadcast(level(ALL).drop(f"of{ALL}")), how="left")
-    rows = rows.select("document", *[f"x{i}" for i in range(DIM)], *[F.coalesce(f"{c}_0", f"{c}_1", f"{c}_{ALL}").alias(c) for c in parameters])
+    stats = written(transformed(text_statistics(docs)).select("lang", "source", "base_failed", *[f"x{i}" for i in range(DIM)]))
+    rows = transformed(text_statistics(docs, F.struct(*[quoted(c) for c in docs.columns]).alias("document"))).where(~F.col("base_failed"))
+    rows = rows.select("document", *[f"x{i}" for i in range(DIM)], group_of()).join(estimated(stats, prior, steps), "of", "left")
     return distance(rows).where(F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff).select("document.*")
