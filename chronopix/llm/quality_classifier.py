@@ -8,7 +8,9 @@ text of any length is scored in bounded memory, block by block.
 
 Defined cases: a null text counts as empty; an empty text is scored as one chunk
 of padding; rows without a label, with a null label or with a null id are not
-trained on; repeated rows are scored alike; without any label every score is 0.5.
+trained on, but scored; repeated rows are scored alike; of responses that tie in a chunk
+the first is taken; without any label every score is 0.5; an empty table gives no rows;
+columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -135,15 +137,17 @@ def score_text(model: ByteCNN, tables: np.ndarray, text: str) -> float:
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, limit: int) -> DataFrame:
     """At most ``limit`` labelled texts outside the held-out fold, in the order of a
-    hash of their id. The sample's ids are bounded by ``limit``, so they are broadcast."""
+    hash of their id. The sample's ids are bounded by ``limit``, so they are broadcast. Of
+    labels or texts that conflict for one id the smallest counts."""
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0.0, 1.0) & (remainder(F.col("doc_id"), modulus) != held_out))
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )
-    return documents(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").dropDuplicates(["doc_id"])
+    return documents(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, *, max_train_docs: int = 1500, modulus: int = 4, held_out: int = 2) -> ByteCNN | None:

@@ -14,7 +14,9 @@ value, the passages' total and their number into one probability.
 
 Only the text is an input of a score. Defined cases: null and empty texts have no
 segment and get the curve's value there; unlabelled rows are not learned from;
-without labels of both kinds every score is 0; repeated rows are scored alike.
+without labels of both kinds every score is 0; texts of any length are scanned whole;
+repeated rows are scored alike, null ids are scored but not learned from; segments that
+tie are all kept; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import documents, map_texts, remainder
+from chronopix.llm._common import documents, map_texts, remainder, written
 from chronopix.llm.quality_classifier import sigmoid, training_sample
 
 TOKENS = re.compile(r"[^\W\d_]+").findall
@@ -163,23 +165,35 @@ def feature_rows(docs: DataFrame, model: Model) -> DataFrame:
     return map_texts(docs, make, {f"f{i}": "double" for i in range(4)} | {"score": "double"})
 
 
-def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, *, max_train_docs: int = 9_000, max_tokens: int = 20_000, least_docs: int = 4, prior: float = 50.0, least_z: float = 4.5, least_odds: float = 1.5, share: float = 0.05, modulus: int = 5, held_out: int = 0
-) -> Model | None:
-    """Learn from at most ``max_train_docs`` labelled documents (the documented bound):
-    two thirds give scores to at most ``max_tokens`` entries, the rest fit the curve."""
-    sample = training_sample(docs, labels, "toxic", modulus, held_out, max_train_docs).dropDuplicates(["text"]).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)))
-    words = F.filter(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")), lambda w: w != "")
-    stems = lambda w: F.transform(F.sequence(F.lit(STEM_LENGTHS[0]), F.lit(STEM_LENGTHS[1])), lambda n: F.when(n < F.length(w), F.concat(F.substring(w, F.lit(1), n), F.lit(STEM))))
-    held = sample.where("part < 2").select("label", words.alias("words"))
-    totals = held.agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"), F.avg(F.size("words")).alias("words")).first()
+def entries_of(docs: DataFrame) -> DataFrame:
+    """label, the number of different words, and the different words and stems of each
+    text, by the scorer's own tokens."""
+
+    def make():
+        def run(texts: list[str]) -> dict[str, list]:
+            words = [set(TOKENS(t.lower())) for t in texts]
+            stems = lambda w: {w[:n] + STEM for n in range(STEM_LENGTHS[0], min(STEM_LENGTHS[1], len(w) - 1) + 1)}
+            return {"n_words": [len(w) for w in words], "entries": [sorted(w.union(*map(stems, w))) for w in words]}
+
+        return run
+
+    return map_texts(docs.select("label", "text"), make, {"n_words": "long", "entries": "array<string>"})
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, max_train_docs: int = 9_000, least_docs: int = 4, prior: float = 50.0, least_z: float = 4.5, least_odds: float = 1.5, share: float = 0.05, modulus: int = 5, held_out: int = 0) -> Model | None:
+    """Learn from at most ``max_train_docs`` labelled documents (the documented bound, which
+    bounds the entries as well): two thirds give scores to entries, the rest fit the curve.
+    Equal texts count once, with the label of the smallest id."""
+    sample = training_sample(docs, labels, "toxic", modulus, held_out, max_train_docs).groupBy("text").agg(F.min(F.struct("doc_id", "label")).alias("first"))
+    sample = sample.select("text", "first.doc_id", "first.label", F.pmod(F.xxhash64("first.doc_id", F.lit(7)), F.lit(3)).alias("part"))
+    held = written(entries_of(sample.where("part < 2")))
+    totals = held.agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"), F.avg("n_words").alias("words")).first()
     if not totals["toxic"] or not totals["other"]:
         return None
-    entries = held.select("label", F.explode(F.array_distinct(F.concat("words", F.flatten(F.transform("words", stems))))).alias("entry")).where("entry is not null")
-    table = entries.groupBy("entry").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"))
-    # entries are ranked by how much likelier toxic documents hold them
-    excess = F.col("toxic") - F.col("other") * (totals["toxic"] / totals["other"])
-    counts = table.where(F.col("toxic") >= least_docs).orderBy(F.desc(excess / F.sqrt(F.col("toxic") + F.col("other"))), "entry").limit(max_tokens).collect()
+    table = held.select("label", F.explode("entries").alias("entry")).groupBy("entry").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"))
+    # log-odds are positive only where toxic documents are likelier to hold an entry than others
+    likelier = F.col("toxic") * totals["other"] > F.col("other") * totals["toxic"]
+    counts = sorted(table.where((F.col("toxic") >= least_docs) & likelier).collect())
     model = log_odds([tuple(r) for r in counts], totals["toxic"], totals["other"], totals["words"], prior=prior, least_z=least_z, least_odds=least_odds, share=share)
     rows = feature_rows(sample.where("part = 2").select("doc_id", "label", "text"), model).orderBy("doc_id").collect()
     y = np.array([r["label"] for r in rows])
