@@ -14,8 +14,11 @@ summed before they move. Pairs are formed only of entities and words that can st
 reach support and ratio by their own counts, which loses no pair.
 
 Defined cases: a null or empty text has no spans; repeated rows are documents of
-their own; parts of IP addresses are read as numbers whatever their leading zeros;
-positions are code points, ends exclusive; an empty table gives no rows.
+their own, ids may be null or repeat; texts of any length are taken whole; parts of IP
+addresses are read as numbers whatever their leading zeros; words are compared in lower
+case, as Spark's ``lower`` makes it of the word alone; ratios that tie with the threshold
+count as reaching it; positions are code points, ends exclusive; an empty table gives no
+rows; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -133,36 +136,39 @@ def revealing_terms(found: DataFrame, disclosure: float, support: int) -> DataFr
     return pairs.where((F.col("n_et") >= support) & (known >= disclosure * about)).select("term").distinct()
 
 
-def find_personal_data(docs: DataFrame, *, disclosure: float = 0.9, support: int = 3) -> DataFrame:
-    """doc_id, counts and digest of the base spans, and all spans with the terms that
-    disclose an entity (kind ``term``, listed last)."""
+def with_terms(docs: DataFrame, disclosure: float, support: int) -> DataFrame:
+    """doc_id, text, ``spans`` of entities and ``terms`` that disclose an entity, of every row."""
     texts = documents(docs).withColumn("row", F.monotonically_increasing_id())
     found = written(with_entities(texts))
     revealing = written(revealing_terms(found, disclosure, support))
     holders = found.select("row", F.explode(terms_of(F.col("text"))).alias("term")).join(revealing, "term").groupBy("row").agg(F.collect_set("term").alias("held"))
     free = lambda w: ~F.exists("spans", lambda s: (w["start"] < s["end"]) & (w["start"] + F.length(w["value"]) > s["start"]))
     marked = F.filter(located(F.col("text"), WORD), lambda w: F.array_contains("held", F.lower(w["value"])) & free(w))
-    terms = F.transform(marked, lambda w: F.struct(w["start"].alias("start"), (w["start"] + F.length(w["value"])).alias("end")))
-    extra = found.join(holders, "row").select("row", terms.alias("terms"))
-    every = F.concat("spans", F.transform(F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
+    terms = F.transform(marked, lambda w: F.struct(F.lit("term").alias("kind"), w["start"].alias("start"), (w["start"] + F.length(w["value"])).alias("end")))
+    none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
+    return found.join(holders, "row", "left").select("doc_id", "text", "spans", F.when(F.col("held").isNull(), none).otherwise(terms).alias("terms"))
+
+
+def find_personal_data(docs: DataFrame, *, disclosure: float = 0.9, support: int = 3) -> DataFrame:
+    """doc_id, counts and digest of the base spans, and all spans with the terms that
+    disclose an entity (kind ``term``, listed last)."""
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.join(extra, "row", "left").select(
-        "doc_id", *[count(k) for k in PATTERNS], F.sha2(listed(F.col("spans")), 256).alias("base_sha256"), listed(every).alias("spans"), F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term")
+    return with_terms(docs, disclosure, support).select(
+        "doc_id", *[count(k) for k in PATTERNS], F.sha2(listed(F.col("spans")), 256).alias("base_sha256"), listed(F.concat("spans", "terms")).alias("spans"), F.size("terms").cast("long").alias("n_term")
     )
 
 
-def sanitise(docs: DataFrame, **options) -> DataFrame:
-    """doc_id and text with entities generalised to their kind and disclosing terms removed."""
-    spans = find_personal_data(docs, **options).where(F.col("spans") != "").select("doc_id", "spans").dropDuplicates(["doc_id"])
-
-    def parsed(text: Column) -> Column:
-        parts = F.transform(F.split(text, ","), lambda s: F.split(s, ":"))
-        return F.array_sort(F.transform(parts, lambda p: F.struct(F.get(p, F.lit(1)).cast("long").alias("start"), F.get(p, F.lit(2)).cast("long").alias("end"), F.get(p, F.lit(0)).alias("kind"))))
+def sanitise(docs: DataFrame, *, disclosure: float = 0.9, support: int = 3) -> DataFrame:
+    """doc_id and text of every row, with entities generalised to their kind and disclosing
+    terms removed. Each row is changed by its own spans, so ids may be null or repeat."""
 
     def put(acc: Column, s: Column) -> Column:
         mark = F.when(s["kind"] == "term", "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, mark).alias("out"))).otherwise(acc)
-
-    done = F.aggregate(parsed(F.col("spans")), F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), put, lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.length("text"))))
-    return documents(docs).join(spans, "doc_id", "left").select("doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(done).alias("text"))
+        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (F.greatest(s["start"] - acc["at"], F.lit(0))).cast("int"))
+        # what overlaps a span before it goes too, without a mark of its own
+        over = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
+        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, mark).alias("out"))).otherwise(over)
+
+    by_start = F.array_sort(F.transform(F.concat("spans", "terms"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    done = F.aggregate(by_start, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), put, lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.length("text"))))
+    return with_terms(docs, disclosure, support).select("doc_id", done.alias("text"))
