@@ -64,10 +64,13 @@ def entropy(probabilities: Column) -> Column:
     return F.aggregate(probabilities, F.lit(0.0), lambda a, p: a - F.when(p > 0, p * F.log(p)).otherwise(0.0))
 
 
-def circle_points(x: Column, y: Column, r: Column, n: int = 12) -> Column:
-    """n points on a circle as an array of (x, y), truncated to integers."""
-    turn = lambda i: i * (2 * math.pi / n)
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct((x + r * F.cos(turn(i))).cast("int").alias("x"), (y + r * F.sin(turn(i))).cast("int").alias("y")))
+def circle_arc(x: Column, y: Column, r: Column, height: int, n: int = 12) -> Column:
+    """n points on the part of a circle that an image of that height shows, from one end
+    of the arc to the other, as an array of (x, y), truncated to integers."""
+    first = F.asin((height - y) / r)
+    last = 3 * F.pi() - first
+    turn = lambda i: first + i * (last - first) / (n - 1)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct((x - F.cos(turn(i)) * r).cast("int").alias("x"), (y - F.sin(turn(i)) * r).cast("int").alias("y")))
 
 
 def experiment(name: Column) -> dict[str, Column]:

@@ -10,6 +10,12 @@ TRIAL, PIXEL = "trial_id", ["trial_id", "y", "x"]
 # fixed values: rows of the 3 x 5 stamp around a centre
 SMALL_STAMP = ("010", "111", "111", "111", "010")
 
+# fixed values: rows of the 5 x 9 stamp around a centre
+MEDIUM_STAMP = ("00100", "01110", "01110", "11111", "11111", "11111", "01110", "01110", "00100")
+
+# fixed values: rows of the 7 x 11 stamp around a centre
+LARGE_STAMP = ("0001000", "0011100", "0111110", "0111110", "1111111", "1111111", "1111111", "0111110", "0111110", "0011100", "0001000")
+
 
 def crop(df: DataFrame, y0: int, y1: int, x0: int, x1: int) -> DataFrame:
     """Rows y0..y1 and columns x0..x1 (ends exclusive), counted from 0 again."""

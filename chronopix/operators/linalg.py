@@ -110,3 +110,31 @@ def ridge_nested(df: DataFrame, features: list[str], target: str, outer: str, in
         best = max(alphas, key=lambda a: score[a])
         rows.append((int(o), float(best), explained(fit(add(list(train.values())), best), add([s for f, s in sums.items() if key(f)[0] == o]))))
     return df.sparkSession.createDataFrame(rows, "fold int, alpha double, var_explained double")
+
+
+def variance_ratios(df: DataFrame, vector: str, state: str, half: str) -> DataFrame:
+    """Norms of the covariance between two states, and between the two halves in time of
+    each state, of features standardised over all rows; and their ratio. Only moments of
+    the four groups come to the driver, as many as features by features."""
+    long = df.select(state, half, F.posexplode(vector).alias("i", "x"))
+    rows = long.groupBy(state, half, "i").agg(F.count("*").alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") ** 2).alias("q")).collect()
+    k = 1 + max(r["i"] for r in rows)
+    n, s, q = {}, {}, {}
+    for r in rows:
+        at = (r[state], r[half])
+        n[at] = r["n"]
+        s.setdefault(at, np.zeros(k))[r["i"]], q.setdefault(at, np.zeros(k))[r["i"]] = r["s"], r["q"]
+    total = sum(n.values())
+    mean = sum(s.values()) / total
+    deviation = np.sqrt(sum(q.values()) / total - mean**2)
+    centre = lambda groups: (sum(s[g] for g in groups) / sum(n[g] for g in groups) - mean) / deviation
+
+    def between(a: list, b: list) -> float:
+        """The covariance between two groups is that of their means: of rank one."""
+        na, nb = sum(n[g] for g in a), sum(n[g] for g in b)
+        return float(na * nb / (na + nb) ** 2 * ((centre(a) - centre(b)) ** 2).sum() / k)
+
+    of = {v: [g for g in n if g[0] == v] for v in sorted({g[0] for g in n})}
+    states = between(*of.values())
+    in_time = [between(*[[g] for g in sorted(groups)]) * sum(n[g] for g in groups) / total for groups in of.values()]
+    return df.sparkSession.createDataFrame([(sum(in_time) / states, states, in_time[1], in_time[0])], "ratio double, between_states double, first_in_time double, other_in_time double")

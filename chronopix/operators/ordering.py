@@ -65,3 +65,12 @@ def ready_tasks(todo: DataFrame, needs: DataFrame, done: DataFrame) -> DataFrame
     """Tasks all of whose predecessors are done."""
     missing = todo.join(needs, "task").join(done.select(F.col("task").alias("before"), "dir"), ["dir", "before"], "left_anti")
     return todo.join(missing.select("dir", "task").distinct(), ["dir", "task"], "left_anti")
+
+
+def ready_any_or_all(todo: DataFrame, needs: DataFrame, done: DataFrame) -> DataFrame:
+    """Tasks of a directory whose earlier steps are done there: all of them or, where a
+    task's needs are marked ``any_of``, at least one."""
+    held = todo.join(needs, "task").join(done.withColumn("_done", F.lit(True)), ["dir", "before"], "left")
+    met = F.coalesce("_done", F.lit(False))
+    ready = F.when(F.bool_or("any_of"), F.bool_or(met)).otherwise(F.bool_and(met))
+    return held.groupBy("dir", "task").agg(ready.alias("_ready")).where("_ready").drop("_ready")
