@@ -19,8 +19,8 @@ The sum is each token's logarithm at its longest suffix state.
 
 Words are counted by 64-bit hashes, contexts by hashes of their symbols, which are the
 lower halves of the words' hashes. Counts are summed in tasks and sent to partitions of
-the hash space in packed arrays. Each length takes a pass, over runs whose context is
-kept by then, told by a table of bits of bounded size that never says a wrong no. Runs
+the hash space in packed arrays. Only runs whose shorter runs count are looked at, told by
+a table of bits of bounded size that never says a wrong no. Runs
 and words that make up 1/HOT of all tokens, which are at most HOT for each length, are
 broadcast; all others are asked for at the partition that holds them.
 
@@ -55,7 +55,7 @@ HELD, PART = 2_000_000, 2_000_000
 CACHED_WORDS = 400_000
 END, START = xxhash.xxh3_64_intdigest(b""), xxhash.xxh3_64_intdigest(b" ")
 LOW, MIX, STEP = np.uint64(0xFFFFFFFF), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-PACKED_RUNS = "part int, size int, a binary, b binary, n binary"
+PACKED_RUNS = "part int, size int, symbols binary, n binary"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -97,25 +97,32 @@ class Reader:
         return np.concatenate(parts), np.concatenate([np.arange(len(p)) for p in parts])
 
 
-def runs_in(h: np.ndarray, place: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each size from 2 to ``most``: where runs end, and the hashes of their contexts,
-    of their later parts and of themselves."""
+def runs_in(h: np.ndarray, place: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size from 2 to ``most``: where runs end, and their hashes."""
     run = h & LOW
     for size in range(2, most + 1):
         at = np.flatnonzero(place >= size - 1)
-        context, later = run[at - 1], run[at]
-        run = np.zeros(len(h), np.uint64)
-        run[at] = run_hash(context, later, size)
-        yield at, context, later, run[at]
+        longer = np.zeros(len(h), np.uint64)
+        longer[at] = run_hash(run[at - 1], run[at], size)
+        run = longer
+        yield at, run[at]
 
 
-def packed(size: int, key: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+def hashes_of(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of runs in rows: without the last symbol, without the first, and whole."""
+    level = [c.astype(np.uint64) for c in symbols.T]
+    for size in range(2, symbols.shape[1]):
+        level = [run_hash(x, y, size) for x, y in zip(level, level[1:])]
+    return level[0], level[1], run_hash(level[0], level[1], symbols.shape[1])
+
+
+def packed(size: int, key: np.ndarray, symbols: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
     part = (key >> np.uint64(33)).astype(np.int64) % parts
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1
-    rows = [(int(part[i[0]]), size, a[i].tobytes(), b[i].tobytes(), n[i].astype(np.uint32).tobytes()) for i in np.split(order, cuts)]
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "size", "a", "b", "n"])
+    rows = [(int(part[i[0]]), size, symbols[i].tobytes(), n[i].astype(np.uint32).tobytes()) for i in np.split(order, cuts)]
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 2]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "size", "symbols", "n"])
 
 
 def count_words(texts: DataFrame, parts: int) -> DataFrame:
@@ -127,7 +134,7 @@ def count_words(texts: DataFrame, parts: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(held), return_counts=True)
-            return packed(1, mixed(h), h, np.zeros(len(h), np.uint8), n, parts)
+            return packed(1, mixed(h), h, n, parts)
 
         for batch in (part for b in batches for part in small_batches(b)):
             held.append(read(batch.column("text").to_pylist())[0])
@@ -139,7 +146,9 @@ def count_words(texts: DataFrame, parts: int) -> DataFrame:
             yield flush()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, n = gathered(batches, ("a", np.uint64), ("n", np.uint32))
+        rows = [r for b in batches for r in b.to_pylist()]
+        h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["symbols"], np.uint64) for r in rows)])
+        n = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(r["n"], np.uint32) for r in rows)])
         if len(h):
             h, back = np.unique(h, return_inverse=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.bincount(back, n, len(h)).astype(np.int64))], ["h", "n"])
@@ -147,62 +156,78 @@ def count_words(texts: DataFrame, parts: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, PACKED_RUNS).repartition(parts, "part").mapInArrow(add, "h long, n long")
 
 
-def gathered(batches: Iterator[pa.RecordBatch], *columns: tuple[str, type]) -> list[np.ndarray]:
-    held: list[list[np.ndarray]] = [[] for _ in columns]
-    for batch in batches:
-        for (c, kind), into in zip(columns, held, strict=True):
-            into += [np.frombuffer(x.as_buffer(), kind) for x in batch.column(c)]
-    return [np.concatenate([np.zeros(0, k), *into]) for (_, k), into in zip(columns, held, strict=True)]
-
-
-def count_runs(texts: DataFrame, size: int, kept: np.ndarray, parts: int, least: int) -> DataFrame:
-    """Runs of ``size`` symbols that occur ``least`` times and whose contexts are in the
-    table of bits: hash ``g``, those of context ``a`` and later part ``b``, count ``n``."""
-    shared = texts.sparkSession.sparkContext.broadcast(kept)
+def count_runs(texts: DataFrame, sizes: range, stored: np.ndarray, parts: int, least: int) -> DataFrame:
+    """Runs of the given sizes that occur ``least`` times: size, hash ``g``, those of
+    context ``a`` and later part ``b``, count ``n``. ``stored``: bits of the runs one symbol
+    shorter than the least size; a run counts only if all of those in it are there."""
+    shared = texts.sparkSession.sparkContext.broadcast(stored)
+    base = sizes[0] - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read, held, many = Reader(), [], 0
+        read, stored, held, many = Reader(), shared.value, {k: [] for k in sizes}, 0
 
-        def flush() -> pa.RecordBatch:
-            context, later, key = (np.concatenate(c) for c in zip(*held, strict=True))
-            key, first, n = np.unique(key, return_index=True, return_counts=True)
-            return packed(size, key, context[first], later[first], n, parts)
+        def flush() -> Iterator[pa.RecordBatch]:
+            for size, parts_of in held.items():
+                key, symbols = (np.concatenate(c) for c in zip(*parts_of, strict=True))
+                key, first, n = np.unique(key, return_index=True, return_counts=True)
+                if len(key):
+                    yield packed(size, key, symbols[first], n, parts)
 
         for batch in (part for b in batches for part in small_batches(b)):
             h, place = read(batch.column("text").to_pylist())
-            *_, (_, context, later, key) = runs_in(h, place, size)
-            on = has_bit(shared.value, context)
-            held.append((context[on], later[on], key[on]))
-            many += len(held[-1][2])
+            low = (h & LOW).astype(np.uint32)
+            live = has_bit(stored, h & LOW) if base == 1 else None
+            for size, (at, key) in enumerate(runs_in(h, place, sizes[-1]), 2):
+                if size == base:
+                    live = np.zeros(len(h), bool)
+                    live[at[has_bit(stored, key)]] = True
+                elif size in sizes:
+                    on = live[at]
+                    for back in range(1, size - base + 1):
+                        on &= live[at - back]
+                    at, key = at[on], key[on]
+                    held[size].append((key, np.column_stack([low[at - k] for k in range(size - 1, -1, -1)])))
+                    many += len(key)
             if many > HELD:
-                yield flush()
-                held, many = [], 0
+                yield from flush()
+                held, many = {k: [] for k in sizes}, 0
         if many:
-            yield flush()
+            yield from flush()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, n = gathered(batches, ("a", np.uint64), ("b", np.uint64), ("n", np.uint32))
-        key, first, back = np.unique(run_hash(a, b, size), return_index=True, return_inverse=True)
-        total = np.bincount(back, n, len(key)).astype(np.int64)
-        on = total >= least
-        if on.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[on].view(np.int64), a[first[on]].view(np.int64), b[first[on]].view(np.int64), total[on])], ["g", "a", "b", "n"])
+        rows = [r for b in batches for r in b.to_pylist()]
+        for size in sizes:
+            mine = [r for r in rows if r["size"] == size]
+            if mine:
+                symbols = np.concatenate([np.frombuffer(r["symbols"], np.uint32) for r in mine]).reshape(-1, size)
+                a, b, key = hashes_of(symbols)
+                key, first, back = np.unique(key, return_index=True, return_inverse=True)
+                total = np.bincount(back, np.concatenate([np.frombuffer(r["n"], np.uint32) for r in mine]), len(key)).astype(np.int64)
+                on = total >= least
+                if on.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(on.sum(), size, np.int32)), *[pa.array(x) for x in (key[on].view(np.int64), a[first[on]].view(np.int64), b[first[on]].view(np.int64), total[on])]], ["size", "g", "a", "b", "n"])
+
+    return texts.select("text").mapInArrow(run, PACKED_RUNS).repartition(parts, "part").mapInArrow(add, "size int, g long, a long, b long, n long")
+
 
-    return texts.select("text").mapInArrow(run, PACKED_RUNS).repartition(parts, "part").mapInArrow(add, "g long, a long, b long, n long")
+#: Sizes of runs that are counted in one pass.
+PASSES = (range(2, 3), range(3, 4), range(4, DEPTH + 2))
 
 
 def grow_tree(texts: DataFrame, words: DataFrame, n_train: int, vocabulary: int, parts: int, least: int, gain: float) -> DataFrame:
-    """``key`` and ``w``: what each run of a text adds to its score. One pass over the
-    texts for each length, until no context is kept."""
+    """``key`` and ``w``: what each run of a text adds to its score. Runs are counted in
+    PASSES over the texts, until no context is kept."""
     symbols = words.where(F.col("n") >= least).groupBy(F.col("h").bitwiseAND(0xFFFFFFFF).alias("g")).agg(F.sum("n").alias("n"))
     # of runs of the length before: count, that of the later part, and the symbol's logarithm at the later part's context
     before = written(symbols.select("g", "n", F.lit(n_train).cast("long").alias("n_b"), F.log10((F.col("n") + 1) / (n_train + vocabulary + 1)).alias("lp")))
     contexts = before.where(F.col("g") != END & 0xFFFFFFFF)
     weights, tables = [], []
     for depth in range(1, DEPTH + 1):
-        kept_bits = bits_of(contexts.select(F.col("g").alias("h")))
-        runs = written(count_runs(texts, depth + 1, kept_bits, parts, least))
-        tables.append(runs)
+        for sizes in PASSES:
+            if sizes[0] == depth + 1:
+                stored = bits_of(contexts.select(F.col("g").alias("h")).union(before.select(F.col("g").alias("h"))))
+                tables.append(written(count_runs(texts, sizes, stored, parts, least)))
+        runs = tables[-1].where(F.col("size") == depth + 1)
         if runs.isEmpty():
             break
         at = contexts.select(F.col("g").alias("a"), F.col("n").alias("n_a"), F.col("n_b").alias("n_short"))
@@ -292,7 +317,7 @@ def text_rows(texts: DataFrame, hot: tuple, parts: int, start: float) -> DataFra
             gained = start + np.bincount(known, word_ws[known_at], n)
             asked = [(of[token[~hit]], h[token[~hit]])]
             live = np.ones(len(h), bool)
-            for ends, _, _, key in runs_in(h, place, DEPTH + 1):
+            for ends, key in runs_in(h, place, DEPTH + 1):
                 # of a run that counts, the later part counts
                 ends, key = ends[live[ends]], key[live[ends]]
                 on = has_bit(bits, key)
