@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from chronopix.session import ship_code
 
@@ -96,7 +96,9 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str
     """Add columns that Python computes from ``text`` and drop ``text``; the others
     pass through untouched. ``make()`` runs once in each task."""
     ship_code(docs.sparkSession)
-    kept = [(c, t) for c, t in docs.dtypes if c != "text"]
+    plain, others = numbered(docs)
+    fields = [f for f in plain.schema if f.name != "text"]
+    schema = StructType([*fields, *(StructField(f"new{i}", DataType.fromDDL(t)) for i, t in enumerate(added.values()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per_batch = make()
@@ -104,18 +106,22 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], dict[str
             for b in small_batches(batch):
                 got = per_batch(b.column("text").to_pylist())
                 new = [got[c] if isinstance(got[c], pa.Array) else pa.array(got[c], ARROW[t]) for c, t in added.items()]
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c, _ in kept), *new], names=[*(c for c, _ in kept), *added])
+                yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in fields), *new], names=schema.names)
 
-    schema = StructType([docs.schema[c] for c, _ in kept])
-    for c, t in added.items():
-        schema = schema.add(c, DataType.fromDDL(t))
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).toDF(*others, *added)
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all columns but ``text`` under plain names, as Spark's own mapInArrow
+    fails on names with dots or back-ticks; and their names, in order."""
+    return docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]), [c for c in docs.columns if c != "text"]
 
 
 def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
     """The rows of ``docs`` whose text passes, with all columns and without a shuffle;
     a null text is tested as an empty one."""
     ship_code(docs.sparkSession)
+    plain, _ = numbered(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = make()
@@ -123,7 +129,7 @@ def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[
             for b in small_batches(batch):
                 yield b.filter(pa.array(test([t or "" for t in b.column("text").to_pylist()]), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 #: Least and most bits of a table that tells which hashes occur, and the slices in which

@@ -151,22 +151,6 @@ def test_language_model(docs, texts, odd):
         assert r.base_score == pytest.approx(sum(np.log10((counts[w] + 1) / (n + v + 1)) for w in of), rel=1e-9)
     held = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
-    assert score_texts(odd).count() == odd.count()
-
-
-def test_suffix_states_are_distributions(docs):
-    from chronopix.llm.suffix_tree import START, fit_tree, words_of
-
-    small = docs.limit(60).select("text")
-    words = Counter(w for r in small.collect() for w in words_of(r.text or ""))
-    top = sorted(w for w, _ in words.most_common(50))
-    root = np.array([60, 0, 0, *[words[w] for w in top]], float)
-    root[1] = sum(words.values()) - root[3:].sum()
-    tree = fit_tree(small, {w: i for i, w in enumerate(top, START + 1)}, root, 1e-3, 0.5)
-    symbols = [s for s in range(len(root)) if s != START]
-    for context in ((START, START), (START, 3), (3, 4), (1, 5), (7, 1)):
-        p = [tree.probability(np.array([*context, s]))[-1] for s in symbols]
-        assert sum(p) <= 1 + 1e-9 and min(p) > 0
 
 
 def area(scores, truth):

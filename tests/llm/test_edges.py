@@ -1,0 +1,285 @@
+"""Edges of the corpus operators: odd ids and names, long texts, stages on odd tables."""
+
+import base64
+import hashlib
+import json
+import os
+import subprocess
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+FOLDER = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+BIG = 2**53 + 1
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{FOLDER}/labels.parquet")
+
+
+def test_large_ids_beside_null_ones(spark):
+    from chronopix.llm.bpe import encode_decode
+    from chronopix.llm.packing import pack_documents
+
+    rows = [(BIG, "one text"), (None, "another text"), (BIG, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for f in (encode_decode, pack_documents):
+        assert Counter(r.doc_id for r in f(df).collect()) == Counter([BIG, BIG, None])
+
+
+def test_words_without_end():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from chronopix.llm.bpe import load
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    bpe, library = load(path), Tokenizer.from_file(path)
+    rng = np.random.default_rng(1)
+    words = ["x" * 1_000_000, base64.b64encode(rng.bytes(600_000)).decode(), "".join(rng.choice(list("abcdefghijklmno"), 70)), "漢" * 500 + "ä" * 500]
+    began = time.time()
+    for w in words:
+        got = np.frombuffer(b"".join(list(bpe.encode_batch([f"a {w} b"]))[0]), "<u4").tolist()
+        assert got == library.encode(f"a {w} b", add_special_tokens=False).ids
+        assert w not in bpe.cache
+    assert time.time() - began < 60
+
+
+def test_tasks_import_the_package_from_anywhere(tmp_path):
+    """A session that starts in another folder, whose workers can't find the package."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from chronopix.llm.bpe import encode_decode
+from chronopix.llm.packing import pack_documents
+docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+print("rows", encode_decode(docs).count(), len(pack_documents(docs).collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable}
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 1 1" in got.stdout, got.stderr[-2000:]
+
+
+def odd_documents(spark):
+    long = " ".join(f"word{i % 977} and{i % 31}" for i in range(60_000))
+    rows = [(1, None, "en", "web", 0), (2, "", None, None, None), (None, "a text without an id " * 9, "en", "web", 1), (None, None, None, None, None), (3, "first of two texts " + long, "en", "web", 1), (3, "password: hunter22 here " * 3, "en", "web", 1), (4, long, "en", "web", 1), (5, long, "en", "web", 1)]
+    return spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("clash") for c in ("clean", "my col", "dotted.name", "a`b", "row", "id", "h", "of", "turn", "document", "score", "label", "level")})
+
+
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_stages_on_odd_tables(spark, labels, kind):
+    import corpus_pipeline
+    from chronopix.llm.secrets import redacted
+
+    docs = odd_documents(spark) if kind == "odd" else odd_documents(spark).where("false")
+    key = lambda rows: Counter(tuple(r) for r in rows)
+    before = docs.collect()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == docs.columns and [t for _, t in after.dtypes] == [t for _, t in docs.dtypes]
+        rows = after.collect()
+        if name == "secret scans":
+            at = docs.columns.index("text")
+            assert Counter(r[at] for r in rows) == Counter(r.text if r.text is None else redacted(r.text, "[SECRET]") for r in before)
+        else:
+            assert not key(rows) - key(before), name
+        if name == "n-gram Jaccard join" and kind == "odd":
+            ids = Counter(r.doc_id for r in rows)
+            assert ids == Counter([1, 2, 3, None, None]) and next(r for r in rows if r.doc_id == 3).text.startswith("first")
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert Counter(r.doc_id for r in packed.where("piece = 0").collect()) == Counter(r.doc_id for r in before)
+
+
+def test_sanitised_rows_keep_to_themselves(spark):
+    from chronopix.llm.pii import sanitise
+
+    rows = [(None, "mail a.b@c.org now"), (7, "mail x@y.org"), (7, "no such data, a much longer text"), (None, None), (8, "call +41 79 123 45 67 or 10.0.0.1")]
+    got = sorted((r.doc_id or 0, r.text) for r in sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(0, ""), (0, "mail [EMAIL] now"), (7, "mail [EMAIL]"), (7, "no such data, a much longer text"), (8, "call [PHONE] or [IP]")]
+
+
+def test_vectors_that_repeat_an_id(spark):
+    from chronopix.llm.embedding_dedup import link_vectors
+
+    rows = [(1, [1.0, 0.0], 1), (1, None, 1), (2, [1.0, 0.01], 1), (2, [1.0, 0.01], 1), (None, [1.0, 0.0], 1)]
+    got = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert Counter((r.vec_id, r.component_id, r.n_links) for r in got) == Counter([(1, 1, 2), (1, 1, 0), (2, 1, 2), (2, 1, 2), (None, None, 0)])
+
+
+def der(*parts, tag=0x30):
+    body = b"".join(parts)
+    size = bytes([len(body)]) if len(body) < 128 else b"\x82" + len(body).to_bytes(2, "big")
+    return bytes([tag]) + size + body
+
+
+def test_keys_in_odd_places():
+    from chronopix.llm.secrets import confirmed_spans
+
+    number = lambda n: der(b"\x01" * n, tag=2)
+    rsa = der(b"\x02\x01\x00", *[number(n) for n in (60, 3, 60, 30, 30, 30, 30, 30)])
+    dsa = der(b"\x02\x01\x00", *[number(n) for n in (60, 20, 60, 60, 20)])
+    sealed = der(der(der(b"\x2a\x86\x48", tag=6), der(b"\x04\x00")), der(b"\x07" * 64, tag=4))
+    for key in (rsa, dsa, sealed):
+        text = base64.b64encode(key).decode()
+        bare = text.rstrip("=")
+        assert [(k, a) for k, a, _ in confirmed_spans(f"x {text} y")] == [("der", 2)]
+        assert [(k, a) for k, a, _ in confirmed_spans(f"/some/path-to_key-{text}")] == [("der", 18)]
+        wrapped = "\n".join(text[i : i + 64] for i in range(0, len(text), 64))
+        ((k, a, b),) = confirmed_spans(f"key:\n{wrapped}\n\nand more")
+        assert k == "der" and f"key:\n{wrapped}\n\nand more"[a:b].replace("\n", "").rstrip("=") == bare
+        assert not confirmed_spans(f"x {base64.b64encode(key[:-9]).decode()} y")
+    body = base64.b64encode(bytes(range(64))).decode()
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    assert ("pem", 0, len(pem)) in confirmed_spans(pem)
+    url = lambda d: base64.urlsafe_b64encode(json.dumps(d).encode()).decode().rstrip("=")
+    for alg, signature, found in (("HS256", "c2ln", True), ("none", "c2ln", False), ("HS256", "", False)):
+        token = f"{url({'alg': alg, 'typ': 'JWT'})}.{url({'sub': 'someone'})}.{signature}"
+        assert ("jwt" in {k for k, *_ in confirmed_spans(token)}) == found
+
+
+def test_scores_against_plain_networks(spark):
+    """The convolution, chunk by chunk and place by place."""
+    from chronopix.llm.quality_classifier import CHUNK, FILTERS, STEP, WIDTH, ByteCNN, score_text
+
+    rng = np.random.default_rng(3)
+    net = ByteCNN(rng.normal(size=(WIDTH, 256, FILTERS)), rng.normal(size=FILTERS), rng.normal(size=2 * FILTERS), 0.3)
+    for text in ("", "short", "ä" * 700, "".join(map(chr, rng.integers(32, 127, 3000)))):
+        raw = text.encode()
+        raw = raw + b"\0" * (max(WIDTH, CHUNK - len(raw)) if len(raw) < CHUNK else WIDTH)
+        conv = np.array([sum(net.taps[w, raw[i + w]] for w in range(WIDTH)) for i in range(len(raw) - WIDTH + 1)])
+        tops = np.array([conv[s : s + CHUNK].max(0) for s in range(0, max(1, len(conv) - (CHUNK - STEP)), STEP)])
+        h = np.maximum(tops + net.bias, 0)
+        want = 1 / (1 + np.exp(-(np.concatenate([h.mean(0), h.max(0)]) @ net.out + net.out_bias)))
+        assert np.isclose(score_text(net, net.pair_tables(), text), want, atol=1e-4)
+
+
+def test_log_odds_against_the_formula():
+    from chronopix.llm.toxicity import log_odds
+
+    counts = [("bad", 40.0, 2.0), ("the", 50.0, 500.0), ("rare", 4.0, 0.0)]
+    m = log_odds(counts, 50.0, 500.0, 60.0, prior=50.0, least_z=4.5, least_odds=1.5, share=0.05)
+    a = 50.0 * 42 / 550
+    assert np.isclose(m.scores["bad"], np.log((40 + a) / 100) - np.log((2 + a) / 550)) and "the" not in m.scores
+    kept = {w: (y0 + 50.0 * (y1 + y0) / 550) / (550.0 * 60) for w, y1, y0 in counts if w in m.scores}
+    rest = max(1 - sum(kept.values()), 0.5)
+    total = sum(p * np.exp(m.rate * m.scores[w]) for w, p in kept.items()) + rest * np.exp(m.rate * m.other)
+    assert np.isclose(total, 1, atol=1e-3)
+
+
+def test_same_model_in_every_run(spark, labels):
+    from chronopix.llm.toxicity import fit_toxicity
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    some = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    twice = some.union(some.withColumn("toxic", 1 - F.col("toxic")).limit(40))
+    one, two = (fit_toxicity(docs.repartition(n), twice.repartition(n)) for n in (2, 7))
+    assert one.scores == two.scores and np.allclose(one.weights, two.weights)
+
+
+def plain_estimates(rows, prior=30.0, steps=3):
+    """The rules' estimates with numpy, group by group."""
+    from chronopix.llm.quality_rules import CONSISTENT, DIM, FLOOR, SHARE
+
+    floor = np.array(FLOOR)
+
+    def reached(bins, share):
+        u, n = np.unique(bins, return_counts=True)
+        return u[np.searchsorted(np.cumsum(n), np.ceil(n.sum() * share))]
+
+    def factor(c):
+        low = np.zeros((DIM, DIM))
+        for i in range(DIM):
+            for j in range(i + 1):
+                v = (max(c[i, j], floor[i] ** 2) if i == j else c[i, j]) - low[i, :j] @ low[j, :j]
+                low[i, j] = np.sqrt(max(v, floor[i] ** 2 / 4)) if i == j else v / low[j, j]
+        return low
+
+    def d2(x, m, low):
+        return (np.linalg.solve(low, (x - m).T) ** 2).sum(0)
+
+    def moments(x):
+        m = np.array([reached(np.round(x[:, i] * 64), 0.5) / 64 for i in range(DIM)])
+        mad = np.array([reached(np.ceil(np.abs(x[:, i] - m[i]) * 64), 0.5) / 64 for i in range(DIM)])
+        low = np.diag(np.maximum(1.4826 * mad, floor))
+        for _ in range(steps):
+            bins = np.floor(np.log1p(d2(x, m, low)) * 64)
+            half = x[bins <= reached(bins, SHARE)]
+            m, c = half.mean(0), CONSISTENT * np.cov(half.T, bias=True)
+            low = factor(c)
+        return len(half), m, c
+
+    def shrunk(own, wide):
+        (n, m, c), (_, wm, wc) = own, wide
+        w = n / (n + prior)
+        return n, w * m + (1 - w) * wm, w * c + (1 - w) * wc + w * (1 - w) * np.outer(m - wm, m - wm)
+
+    whole, out = moments(np.array([r[2] for r in rows])), {}
+    for lang in {r[0] for r in rows}:
+        of_lang = shrunk(moments(np.array([r[2] for r in rows if r[0] == lang])), whole)
+        for source in {r[1] for r in rows if r[0] == lang}:
+            _, m, c = shrunk(moments(np.array([r[2] for r in rows if r[:2] == (lang, source)])), of_lang)
+            out[lang, source] = (m, factor(c))
+    return out, d2
+
+
+def test_verdicts_of_the_quality_rules(spark):
+    from chronopix.llm.quality_rules import quality_rules, text_statistics, transformed
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    stats = [r for r in transformed(text_statistics(docs)).collect() if not r.base_failed]
+    estimates, d2 = plain_estimates([(r.lang, r.source, np.array([r.x0, r.x1, r.x2, r.x3])) for r in stats])
+    got = {r.doc_id: r for r in quality_rules(docs).collect()}
+    for r in stats:
+        (want,) = d2(np.array([[r.x0, r.x1, r.x2, r.x3]]), *estimates[r.lang, r.source])
+        assert np.isclose(got[r.doc_id].d2, want, rtol=1e-6, atol=1e-6) and got[r.doc_id].kept == (want <= 23.51)
+
+
+def test_terms_that_disclose(spark):
+    """Term spans against counts over all documents."""
+    import re
+
+    from chronopix.llm.pii import find_personal_data
+
+    rng = np.random.default_rng(5)
+    words = [f"word{chr(97 + i)}" for i in range(26)]
+    rows = []
+    for i in range(120):
+        body = " ".join(rng.choice(words, 12))
+        if i % 10 == 0:
+            body += " Falconer writes as owl@nest.org"
+        elif i % 15 == 1:
+            body += " harbour at 10.2.3.4"
+        rows.append((i, body))
+    got = {r.doc_id: r for r in find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = len(rows)
+    held = {i: {k for k, p in (("owl@nest.org", "owl@"), ("10.2.3.4", "10.2")) if p in t} for i, t in rows}
+    terms = {i: {w.lower() for w in re.findall(r"[^\W_]+", t)} for i, t in rows}
+    revealing = set()
+    for e in ("owl@nest.org", "10.2.3.4"):
+        n_e = sum(e in h for h in held.values())
+        for w in set().union(*terms.values()):
+            n_t, n_et = sum(w in t for t in terms.values()), sum(w in terms[i] and e in held[i] for i in terms)
+            if min(n_e, n_t, n_et) >= 3 and np.log2(n * n_et / (n_e * n_t)) >= 0.9 * np.log2(n / n_e) - 1e-12:
+                revealing.add(w)
+    assert {"falconer", "harbour"} <= revealing
+    for i, t in rows:
+        spans = [s.split(":") for s in got[i].spans.split(",") if s]
+        inside = [(int(a), int(b)) for k, a, b in spans if k != "term"]
+        want = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", t) if m[0].lower() in revealing and not any(m.start() < b and m.end() > a for a, b in inside)]
+        assert [(int(a), int(b)) for k, a, b in spans if k == "term"] == want
+
+
+def test_digest_of_nothing(spark):
+    from chronopix.llm.secrets import find_secrets
+
+    (r,) = find_secrets(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect()
+    assert (r.base_sha256, r.spans) == (hashlib.sha256(b"").hexdigest(), "")
