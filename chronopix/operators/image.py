@@ -76,14 +76,28 @@ def region_map(mask: DataFrame, values: DataFrame, grid: DataFrame) -> DataFrame
     return grid.join(mask, ["y", "x"], "left").join(values, "roi_id", "left").select("y", "x", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
-def local_correlation(df: DataFrame) -> DataFrame:
-    """Mean correlation of each pixel with its eight neighbours over time."""
-    w = Window.partitionBy(*PIXEL)
-    z = df.withColumn("z", (F.col("value") - F.avg("value").over(w)) / F.nullif(F.stddev_pop("value").over(w), F.lit(0.0)))
-    around = F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a in (-1, 0, 1) for b in (-1, 0, 1) if a or b])
-    shifted = z.select(TRIAL, "frame", F.col("z").alias("z2"), "y", "x", F.explode(around).alias("o")).select(TRIAL, "frame", "z2", (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), "o")
-    rho = z.join(shifted, [TRIAL, "frame", "y", "x"]).groupBy(*PIXEL, "o").agg(F.avg(F.col("z") * F.col("z2")).alias("rho"))
-    return rho.groupBy(*PIXEL).agg(F.avg("rho").alias("local_corr"), F.count("*").alias("neighbours"))
+def local_correlation(df: DataFrame, height: int, width: int) -> DataFrame:
+    """Mean correlation of each pixel with its eight neighbours over time. Products of
+    neighbours are formed inside each frame's array, in four directions, as the other
+    four are the same pairs; sums over frames are partial sums of so many pairs."""
+    from chronopix.operators.spatial import framed
+
+    moments = df.groupBy(*PIXEL).agg(F.avg("value").alias("m"), F.nullif(F.stddev_pop("value"), F.lit(0.0)).alias("s"))
+    scaled = df.join(moments, PIXEL).select(TRIAL, "frame", "y", "x", ((F.col("value") - F.col("m")) / F.col("s")).alias("value"))
+    size, steps = height * width, ((0, 1), (1, -1), (1, 0), (1, 1))
+    places = F.sequence(F.lit(0), F.lit(size - 1))
+
+    def beside(dy: int, dx: int) -> Column:
+        inside = lambda p: (F.floor(p / width) + dy < height) & (p % width + dx).between(0, width - 1)
+        return F.transform(places, lambda p: F.when(inside(p), F.get("image", p) * F.get("image", p + dy * width + dx)))
+
+    products = F.flatten(F.array(*[beside(dy, dx) for dy, dx in steps]))
+    long = framed(scaled, [TRIAL, "frame"], width).select(TRIAL, F.posexplode(products).alias("pair", "p")).where(F.col("p").isNotNull())
+    rho = long.groupBy(TRIAL, "pair").agg(F.avg("p").alias("rho"))
+    step = F.element_at(F.array(*[F.lit(dy * width + dx) for dy, dx in steps]), F.expr(f"cast(pair div {size} as int)") + 1)
+    ends = F.explode(F.array(F.col("pair") % size, F.col("pair") % size + step))
+    at = rho.select(TRIAL, ends.alias("_p"), "rho").groupBy(TRIAL, "_p").agg(F.avg("rho").alias("local_corr"), F.count("*").alias("neighbours"))
+    return at.select(TRIAL, F.expr(f"cast(_p div {width} as int)").alias("y"), (F.col("_p") % width).alias("x"), "local_corr", "neighbours")
 
 
 def background(df: DataFrame, rows: int, height: int) -> DataFrame:

@@ -8,9 +8,18 @@ from pyspark.sql import functions as F
 TRIAL = "trial_id"
 
 
-def by_priority(df: DataFrame, priority: Column, *then: str) -> DataFrame:
-    """Ranks by falling priority; equal ones in the given order."""
-    return df.withColumn("priority", priority).withColumn("place", F.row_number().over(Window.orderBy(F.desc("priority"), *then)).cast("long"))
+def numbered(df: DataFrame, keys: list[str], order: list[str], by: Column, buckets: int = 64) -> DataFrame:
+    """Places from 1 within ``keys``, by ``order``. Rows are dealt to buckets of ``by``, a
+    number that never falls along the order, and are ranked within their bucket after
+    the rows of earlier ones, so a key of any size is ranked by many tasks. Only the
+    buckets' bounds come to the driver."""
+    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    bounds = sorted(set(df.agg(F.percentile_approx(by, shares, 10_000)).first()[0] or []))
+    placed = df.withColumn("_bucket", F.size(F.filter(F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<double>"), lambda c: c <= by)))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    earlier = placed.groupBy(*keys, "_bucket").agg(F.count("*").alias("n")).select(*keys, "_bucket", before.alias("_before"))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
+    return placed.join(earlier, [*keys, "_bucket"]).withColumn("place", (F.col("_before") + rank).cast("long")).drop("_bucket", "_before")
 
 
 def argmax_first(df: DataFrame, value: str) -> DataFrame:
@@ -47,9 +56,13 @@ def still_to_do(wanted: DataFrame, done: DataFrame, keys: list[str]) -> DataFram
 
 
 def picked_by_prefix(df: DataFrame, column: str, prefixes: DataFrame) -> DataFrame:
-    """The one name that each prefix begins; prefixes of several names give none."""
-    found = df.join(F.broadcast(prefixes), F.col(column).startswith(F.col("prefix")))
-    return found.withColumn("_n", F.count("*").over(Window.partitionBy("prefix"))).where("_n = 1").drop("_n")
+    """The one name that each prefix begins; prefixes of several names give none. Names are
+    cut to each length that prefixes have, so the join is one of equal strings."""
+    lengths = sorted(r[0] for r in prefixes.select(F.length("prefix")).distinct().collect())
+    cut = F.explode(F.array(*[F.substring(column, 1, n) for n in lengths])) if lengths else F.lit("")
+    found = df.withColumn("prefix", cut).join(prefixes.distinct(), "prefix").dropDuplicates(["prefix", column]) if lengths else df.withColumn("prefix", cut).where("false")
+    alone = found.groupBy("prefix").agg(F.count("*").alias("_n")).where("_n = 1")
+    return found.join(alone.select("prefix"), "prefix", "left_semi")
 
 
 def parsed_worklist(lines: DataFrame) -> DataFrame:

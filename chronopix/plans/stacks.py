@@ -57,7 +57,7 @@ def roi_map(spark: SparkSession, sf_dir: str) -> DataFrame:
  r AS (SELECT a.trial_id, a.y, a.x, b.y - a.y AS dy, b.x - a.x AS dx, avg(a.z * b.z) AS rho FROM z a JOIN z b ON a.trial_id = b.trial_id AND a.frame = b.frame AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND (a.y <> b.y OR a.x <> b.x) GROUP BY ALL)
  SELECT trial_id, y, x, round(avg(rho), 6) + 0.0 AS local_corr, count(*) AS neighbours FROM r GROUP BY ALL""")
 def local_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return image.local_correlation(pixels(spark, sf_dir)).withColumn("local_corr", tidy(F.col("local_corr")))
+    return image.local_correlation(pixels(spark, sf_dir), SIZE, SIZE).withColumn("local_corr", tidy(F.col("local_corr")))
 
 
 BASE = f"""{P}, r AS (SELECT trial_id, y, x, avg(value) OVER w AS m, sum(value) OVER w AS s, count(*) OVER w AS n FROM pixels WINDOW w AS (PARTITION BY trial_id, y, x ORDER BY frame ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),

@@ -94,10 +94,9 @@ def prefix_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS place FROM orders""")
 def priority_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places within each priority; ordering by (priority, place) is the global order."""
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy("o_orderpriority").orderBy("o_orderdate", "o_orderkey")).cast("long")
-    return table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", place.alias("place"))
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderdate", "o_orderkey")
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
+    return ordering.numbered(orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], day).select("o_orderpriority", "o_orderkey", "place")
 
 
 @query("""SELECT s_suppkey, CASE WHEN TRY_CAST(substr(s_name, 1, 6) AS INTEGER) IS NULL THEN 123456 ELSE TRY_CAST(substr(s_name, 1, 6) AS INTEGER) END AS date,
@@ -107,10 +106,10 @@ def experiment_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", *[c.alias(n) for n, c in got.items()])
 
 
-@query("""SELECT c_mktsegment AS cohort, string_agg(c_name, ',' ORDER BY c_name) AS trials FROM customer WHERE NOT contains(c_name, '7') GROUP BY ALL""")
+@query("""SELECT c_mktsegment AS cohort, c_name AS trial FROM customer WHERE NOT contains(c_name, '7')""")
 def discover_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(~F.col("c_name").contains("7"))
-    return c.groupBy(F.col("c_mktsegment").alias("cohort")).agg(F.array_join(F.array_sort(F.collect_list("c_name")), ",").alias("trials"))
+    """A cohort's trials, one row each."""
+    return table(spark, sf_dir, "customer").where(~F.col("c_name").contains("7")).select(F.col("c_mktsegment").alias("cohort"), F.col("c_name").alias("trial"))
 
 
 @query("""SELECT 'a' AS dir, 'all' AS trials, 'tif' AS task, false AS forced, '' AS arguments UNION ALL SELECT 'a', 'all', 'dff', true, '' UNION ALL SELECT 'b', 't1,t2', 'df', false, 'x=1'""")
