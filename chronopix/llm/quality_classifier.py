@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import documents, filter_texts, map_texts, remainder
+from chronopix.llm._common import documents, filter_texts, map_texts, remainder, written
 
 #: Filter width in bytes (even), number of filters, and size of a byte's embedding.
 WIDTH, FILTERS, EMBED = 6, 16, 6
@@ -150,10 +150,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     return documents(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, *, max_train_docs: int = 1500, modulus: int = 4, held_out: int = 2) -> ByteCNN | None:
-    """Train on at most ``max_train_docs`` labelled documents (the documented bound)."""
-    rows = training_sample(docs, labels, "quality", modulus, held_out, max_train_docs).collect()
-    rows.sort(key=lambda r: r.doc_id)
+def fit_quality(docs: DataFrame, labels: DataFrame, *, max_train_docs: int = 1500, max_train_letters: int = 64_000_000, modulus: int = 4, held_out: int = 2) -> ByteCNN | None:
+    """Train on at most ``max_train_docs`` labelled documents with ``max_train_letters``
+    letters in all (the documented bounds); a document that would exceed them is left out
+    whole."""
+    sample = written(training_sample(docs, labels, "quality", modulus, held_out, max_train_docs))
+    chosen, left = [], max_train_letters
+    for r in sorted(sample.select("doc_id", F.length("text").alias("n")).collect()):
+        if r.n <= left:
+            chosen.append(r.doc_id)
+            left -= r.n
+    rows = sorted(sample.where(F.col("doc_id").isin(chosen)).collect()) if chosen else []
     if not rows:
         return None
     return train([r.text for r in rows], np.array([r.label for r in rows]))
