@@ -73,6 +73,13 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Ask the driver's JVM to collect its garbage. Spark deletes shuffle files that no
+    table needs any more only when the objects behind them are collected, and a driver
+    with memory to spare may not do so for long."""
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Arrow types of the columns that ``map_texts`` may add, by their Spark names.
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
 

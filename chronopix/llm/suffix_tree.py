@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import bits_of, discard, documents, has_bit, remainder, small_batches, written
+from chronopix.llm._common import bits_of, discard, documents, has_bit, release, remainder, small_batches, written
 from chronopix.session import ship_code
 
 #: Symbols of the longest contexts.
@@ -227,6 +227,7 @@ def grow_tree(texts: DataFrame, words: DataFrame, n_train: int, vocabulary: int,
             if sizes[0] == depth + 1:
                 stored = bits_of(contexts.select(F.col("g").alias("h")).union(before.select(F.col("g").alias("h"))))
                 tables.append(written(count_runs(texts, sizes, stored, parts, least)))
+                release(texts.sparkSession)
         runs = tables[-1].where(F.col("size") == depth + 1)
         if runs.isEmpty():
             break
@@ -390,6 +391,7 @@ def score_texts(docs: DataFrame, *, modulus: int = 7, held_out: int = 2, least_c
     letters = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(64, letters // (6 * PART))
     counts = written(count_words(training, parts))
+    release(docs.sparkSession)
     is_start = F.col("h") == F.lit(START - (1 << 64) if START >> 63 else START)
     size = counts.where(~is_start).agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_train, vocabulary = size["n"] or 0, size["v"]
@@ -397,6 +399,8 @@ def score_texts(docs: DataFrame, *, modulus: int = 7, held_out: int = 2, least_c
     of_words = weights.where("word").select(F.col("key").alias("g"), "w")
     words = counts.where(~is_start).withColumn("g", F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))).join(of_words, "g", "left")
     words = written(words.select("h", "n", F.coalesce("w", F.lit(0.0)).alias("w")))
+    discard(counts)
+    release(docs.sparkSession)
     frequent = F.col("n") * HOT >= n_train
     hot_words = words.where(frequent).toPandas()
     hot_runs = weights.where(~F.col("word") & frequent).select("key", "w").toPandas()
