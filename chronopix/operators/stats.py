@@ -60,6 +60,16 @@ def common_baseline(baselines: DataFrame, keys: list[str]) -> DataFrame:
 BASELINES = {"convolve": minimum_baseline, "quantile": quantile_baseline}
 
 
+def baseline(df: DataFrame, column: str, keys: list[str], mode: str = "convolve", n: int = 10, quantile: float = 0.05, given: DataFrame | None = None) -> DataFrame:
+    """``f0`` for each of ``keys`` by the named way, or as given; values under 0 count as 0."""
+    clipped = df.withColumn(column, F.greatest(F.col(column), F.lit(0.0)))
+    if mode == "given" and given is not None:
+        return given
+    if mode not in BASELINES:
+        raise NotImplementedError(f"no such baseline: {mode}")
+    return BASELINES[mode](clipped, column, n, keys) if mode == "convolve" else BASELINES[mode](clipped, column, n, quantile, keys)
+
+
 def relative_to_baseline(df: DataFrame, column: str, baseline: DataFrame, keys: list[str], scale: float) -> DataFrame:
     return df.join(baseline, keys).withColumn("dff", relative_change(F.col(column), F.col("f0"), scale))
 

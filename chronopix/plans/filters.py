@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronopix.functions.scalar import circle_arc, tidy
-from chronopix.operators import image, linalg, ordering, spatial, trends
+from chronopix.operators import align, image, linalg, ordering, spatial, stats, trends
 from chronopix.plans.stacks import SIZE, centres
 from chronopix.registry import query
 from chronopix.sources.roles import FRAMES, PIXELS, frames, pixels, table
@@ -236,3 +234,44 @@ def ready_any_or_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     todo = o.where("o_orderpriority < '3'").select(F.col("o_custkey").alias("dir"), F.col("o_orderpriority").alias("task")).distinct()
     needs = spark.createDataFrame([("1-URGENT", "F", True), ("1-URGENT", "P", True), ("2-HIGH", "F", False), ("2-HIGH", "O", False)], "task string, before string, any_of boolean")
     return ordering.ready_any_or_all(todo, needs, o.select(F.col("o_custkey").alias("dir"), F.col("o_orderstatus").alias("before")).distinct())
+
+
+CLIPPED_SQL = """clipped AS (SELECT trial_id, frame, y, x, greatest(value, 0) AS value FROM pixels), r AS (SELECT trial_id, y, x, avg(value) OVER w AS m, sum(value) OVER w AS s, count(*) OVER w AS n FROM clipped WINDOW w AS (PARTITION BY trial_id, y, x ORDER BY frame ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING))"""
+
+
+@query(f"""{P}, {CLIPPED_SQL} SELECT 'convolve' AS mode, trial_id, y, x, round(min(m), 6) + 0.0 AS f0 FROM r WHERE n = 5 GROUP BY ALL
+ UNION ALL SELECT 'quantile', trial_id, y, x, round(quantile_cont(s, 0.1), 6) + 0.0 FROM r WHERE n = 5 GROUP BY ALL""")
+def baseline_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, keys = pixels(spark, sf_dir), ["trial_id", "y", "x"]
+    of = lambda mode: stats.baseline(p, "value", keys, mode, 5, 0.1).select(F.lit(mode).alias("mode"), *keys, tidy(F.col("f0")).alias("f0"))
+    return of("convolve").union(of("quantile"))
+
+
+@query(f"""{P}, {CLIPPED_SQL}, {MASK_SQL}, box AS (SELECT trial_id, min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1 FROM mask WHERE v = 1 GROUP BY ALL),
+ base AS (SELECT trial_id, y, x, min(m) AS f0 FROM r WHERE n = 5 GROUP BY ALL) SELECT p.trial_id, frame, p.y - y0 AS y, p.x - x0 AS x, CASE WHEN v = 1 AND f0 > 0.01 THEN round((value - f0) / f0 * 100, 3) + 0.0 ELSE 0 END AS dff
+ FROM pixels p JOIN mask USING (trial_id, y, x) JOIN base USING (trial_id, y, x) JOIN box ON box.trial_id = p.trial_id AND p.y BETWEEN y0 AND y1 AND p.x BETWEEN x0 AND x1""")
+def dff_masked_cropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change against the baseline inside a trial's mask, cut to the mask's box."""
+    p, keys = pixels(spark, sf_dir), ["trial_id", "y", "x"]
+    inside = spatial.pixelled(masks(spark, sf_dir), ["trial_id"], SIZE, "inside")
+    box = inside.where("inside = 1").groupBy("trial_id").agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"))
+    base = stats.baseline(p, "value", keys, "convolve", 5)
+    cut = p.join(inside, keys).join(base, keys).join(box, "trial_id").where("y between y0 and y1 and x between x0 and x1")
+    change = F.when((F.col("inside") == 1) & (F.col("f0") > 0.01), tidy((F.col("value") - F.col("f0")) / F.col("f0") * 100, 3)).otherwise(0.0)
+    return cut.select("trial_id", "frame", (F.col("y") - F.col("y0")).alias("y"), (F.col("x") - F.col("x0")).alias("x"), change.alias("dff"))
+
+
+@query(f"WITH {FRAMES} SELECT trial_id, frame, value, k FROM frames WHERE frame < 10")
+def strict_zip_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two channels of equal length side by side, up to a greatest length."""
+    f = frames(spark, sf_dir)
+    return align.zip_join(f.select("trial_id", "frame", "value"), f.select("trial_id", "frame", "k"), tolerance=0).where("frame < 10")
+
+
+@query(f"""WITH {FRAMES}, m AS (SELECT trial_id, frame, avg(CAST(value * 0.1 > 3 AS INTEGER)) OVER w AS share_fast, avg(CAST(abs(k - 50) < 10 AS INTEGER)) OVER w AS share_still FROM frames WINDOW w AS (PARTITION BY trial_id ORDER BY frame ROWS BETWEEN 4 PRECEDING AND 3 FOLLOWING)) SELECT trial_id, frame, share_fast >= 0.75 AS walk, share_still >= 0.75 AS rest FROM m""")
+def tracker_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Walking and resting by a tracker's speed: the share of frames around that are fast,
+    or still."""
+    w = Window.partitionBy("trial_id").orderBy("frame").rowsBetween(-4, 3)
+    share = lambda c: F.avg(c.cast("int")).over(w) >= 0.75
+    return frames(spark, sf_dir).select("trial_id", "frame", share(F.col("value") * 0.1 > 3).alias("walk"), share(F.abs(F.col("k") - 50) < 10).alias("rest"))
