@@ -168,16 +168,25 @@ def count_runs(texts: DataFrame, sizes: range, stored: np.ndarray, parts: int, l
 
         def flush() -> Iterator[pa.RecordBatch]:
             for size, parts_of in held.items():
-                key, symbols = (np.concatenate(c) for c in zip(*parts_of, strict=True))
-                key, first, n = np.unique(key, return_index=True, return_counts=True)
+                if size == 2:  # both symbols are the key, which is sorted faster by itself
+                    pair, n = np.unique(np.concatenate(parts_of), return_counts=True)
+                    key, symbols = mixed(pair), np.column_stack([pair >> np.uint64(32), pair & LOW]).astype(np.uint32)
+                else:
+                    key, symbols = (np.concatenate(c) for c in zip(*parts_of, strict=True))
+                    key, first, n = np.unique(key, return_index=True, return_counts=True)
+                    symbols = symbols[first]
                 if len(key):
-                    yield packed(size, key, symbols[first], n, parts)
+                    yield packed(size, key, symbols, n, parts)
 
         for batch in (part for b in batches for part in small_batches(b)):
             h, place = read(batch.column("text").to_pylist())
+            if base == 1:
+                live = has_bit(stored, h & LOW)
+                at = np.flatnonzero((place > 0) & live & np.concatenate([live[:1], live[:-1]]))
+                held[2].append(h[at - 1] << np.uint64(32) | h[at] & LOW)
+                many += len(at)
             low = (h & LOW).astype(np.uint32)
-            live = has_bit(stored, h & LOW) if base == 1 else None
-            for size, (at, key) in enumerate(runs_in(h, place, sizes[-1]), 2):
+            for size, (at, key) in enumerate(runs_in(h, place, sizes[-1]) if base > 1 else (), 2):
                 if size == base:
                     live = np.zeros(len(h), bool)
                     live[at[has_bit(stored, key)]] = True
