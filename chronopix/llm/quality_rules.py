@@ -6,10 +6,10 @@ repeated words, as logarithms). For each language and source the centre and the
 covariance are estimated from the three quarters of its documents that lie closest
 together: starting at medians and median deviations, each concentration step
 refits to the documents of least distance, which never raises the covariance's
-determinant. The estimate of a source counts ``prior`` more documents like its
-language's, and that of a language like all documents, so small groups lean on the wider
-one and large ones stand alone, without a limit in between. A document is rejected if its
-squared Mahalanobis distance is above ``cutoff``.
+determinant. The estimate of a source is mixed with its language's, and that of a language
+with that of all documents, half and half at ``prior`` documents, so small groups lean on
+the wider one and large ones stand alone, without a limit in between. A document is
+rejected if its squared Mahalanobis distance is above ``cutoff``.
 
 All of it is DataFrame expressions. Statistics are computed inside each row, so no
 text is shuffled; statistics are kept at multiples of 1/1024, so sums do not depend
@@ -175,11 +175,12 @@ def factored(got: DataFrame) -> DataFrame:
 
 
 def shrunk(groups: DataFrame, wider: DataFrame, prior: float) -> DataFrame:
-    """Moments of groups, each together with ``prior`` documents like those of the wider
-    group ``up``: the fewer a group has, the more it is like the wider one."""
+    """Moments of groups, mixed with those of the wider group ``up``: half and half at
+    ``prior`` documents. The weight falls with the square of fewer ones, as in a group of a
+    few documents the share that is left out is too small to keep an outlier away."""
     few = wider.select(F.col("of").alias("up"), *[F.col(c).alias(f"w_{c}") for c in MOMENTS])
     both = groups.join(few, "up")
-    own = F.col("n") / (F.col("n") + prior)
+    own = F.col("n") ** 2 / (F.col("n") ** 2 + prior**2)
     apart = [F.col(f"m{i}") - F.col(f"w_m{i}") for i in range(DIM)]
     mean = [(own * F.col(f"m{i}") + (1 - own) * F.col(f"w_m{i}")).alias(f"m{i}") for i in range(DIM)]
     around = [(own * F.col(f"c{i}{j}") + (1 - own) * F.col(f"w_c{i}{j}") + own * (1 - own) * apart[i] * apart[j]).alias(f"c{i}{j}") for i in range(DIM) for j in range(i + 1)]
@@ -208,7 +209,7 @@ def group_of() -> Column:
 def quality_rules(docs: DataFrame, *, cutoff: float = 23.51, prior: float = 30.0, steps: int = 3) -> DataFrame:
     """doc_id, the statistics, base_failed, kept and the squared distance ``d2`` (null
     where the fixed rules reject). ``cutoff``: the 0.9999 quantile of chi-square in DIM
-    dimensions; ``prior``: how many documents' weight a group's wider group has."""
+    dimensions; ``prior``: at how many documents a group weighs as much as the wider one."""
     stats = written(transformed(text_statistics(docs)))
     judged = distance(stats.withColumn("of", group_of()).join(estimated(stats, prior, steps), "of", "left"))
     d2 = F.when(~F.col("base_failed"), F.col("d2"))

@@ -219,7 +219,7 @@ def plain_estimates(rows, prior=30.0, steps=3):
 
     def shrunk(own, wide):
         (n, m, c), (_, wm, wc) = own, wide
-        w = n / (n + prior)
+        w = n**2 / (n**2 + prior**2)
         return n, w * m + (1 - w) * wm, w * c + (1 - w) * wc + w * (1 - w) * np.outer(m - wm, m - wm)
 
     whole, out = moments(np.array([r[2] for r in rows])), {}
