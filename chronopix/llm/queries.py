@@ -12,8 +12,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(f):
+def query(f, sql: str | None = None):
     QUERIES[f.__name__] = f
+    if sql:
+        ORACLE_SQL[f.__name__] = sql
     return f
 
 
@@ -85,3 +87,26 @@ def op7_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     from chronopix.llm.embedding_dedup import link_vectors
 
     return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.centroids import lloyd
+
+    return lloyd(table(spark, sf_dir, "embeddings"))
+
+
+#: Every vector's nearest centroid c{r}, and the centroids after that.
+_ROUND = """, d{r} AS (SELECT v.id, c.cluster, sum((v.x - c.x) * (v.x - c.x)) AS distance FROM v JOIN c{r} c USING (pos) GROUP BY ALL),
+ a{r} AS (SELECT id, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM d{r} GROUP BY ALL)"""
+_MOVE = """, c{n} AS (SELECT c.cluster, c.pos, coalesce((s - ((s % n) + n) % n) // n, c.x) AS x FROM c{r} c
+ LEFT JOIN (SELECT cluster, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{r} USING (id) GROUP BY ALL) m ON m.cluster = c.cluster AND m.pos = c.pos)"""
+query(
+    op13_centroid_clusters,
+    f"""WITH k AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+ v AS MATERIALIZED (SELECT id, vec_id, generate_subscripts(embedding, 1) AS pos, CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM k),
+ f AS (SELECT id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM k ORDER BY sha256('1:' || vec_id) LIMIT 16), c0 AS (SELECT f.cluster, v.pos, v.x FROM f JOIN v USING (id))
+ {"".join(_ROUND.format(r=r) + (_MOVE.format(r=r, n=r + 1) if r < 3 else "") for r in range(4))},
+ h AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY pos)) AS centroid_sha256 FROM c3 GROUP BY ALL)
+ SELECT k.vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(a.distance AS BIGINT) AS distance, CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(a.distance) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+ FROM a3 a JOIN k USING (id) JOIN h ON h.cluster = a.cluster""",
+)
