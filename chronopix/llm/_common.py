@@ -56,11 +56,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, **options: str | int) -> DataFrame:
     """Like ``materialise``, as a Parquet table in the shared folder: smaller on disk, and
-    of a size that the optimiser knows."""
+    of a size that the optimiser knows. ``options`` are the writer's."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

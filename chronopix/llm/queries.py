@@ -112,8 +112,27 @@ query(
 )
 
 
-@query
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronopix.llm.resampling import resample
 
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+query(
+    op12_importance_resampling,
+    rf"""WITH m AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+ texts AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w, true AS own FROM documents UNION ALL SELECT -row_number() OVER (), item_id, {_WORDS}, false FROM benchmark),
+ words AS (SELECT id, own, unnest(w) AS w, generate_subscripts(w, 1) AS pos FROM texts),
+ runs AS (SELECT id, own, unnest([w, w || ' ' || lead(w) OVER o, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o]) AS f FROM words WINDOW o AS (PARTITION BY id ORDER BY pos)),
+ uses AS (SELECT id, own, f, count(*) AS n FROM runs WHERE f IS NOT NULL GROUP BY ALL),
+ crc AS MATERIALIZED (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(encode(f))), lambda i: CAST('0x' || hex(encode(f))[2 * i + 1 : 2 * i + 2] AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM (SELECT DISTINCT f FROM uses), m),
+ cells AS MATERIALIZED (SELECT id, own, bucket, sum(n) AS n FROM uses JOIN crc USING (f) GROUP BY ALL),
+ totals AS (SELECT sum(n) FILTER (own) AS s, sum(n) FILTER (NOT own) AS t FROM cells),
+ gain AS (SELECT bucket, floor(1000 * ln((coalesce(sum(n) FILTER (NOT own), 0) + 1)::DOUBLE * (any_value(totals.s) + 10000)::DOUBLE / ((coalesce(sum(n) FILTER (own), 0) + 1)::DOUBLE * (coalesce(any_value(totals.t), 0) + 10000)::DOUBLE))) AS g FROM cells, totals GROUP BY bucket),
+ sums AS (SELECT id, sum(n) AS n_features, sum(n * g) AS weight FROM cells JOIN gain USING (bucket) WHERE own GROUP BY id),
+ scored AS (SELECT doc_id, len(w) >= 20 AS able, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+ CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM texts LEFT JOIN sums USING (id) WHERE own),
+ placed AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) FILTER (able) OVER () AS n FROM scored)
+ SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * n // 100 THEN place END AS rank FROM placed""",
+)

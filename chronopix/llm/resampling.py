@@ -8,8 +8,8 @@ matrix with the gains is read from the same blocks and is each document's weight
 without replacement in proportion to the weights takes the greatest sums of a weight and
 a Gumbel noise made of the id.
 
-Columns in a row rise, so a block holds their steps, most of which fit in a byte; Parquet
-compresses them. A task holds one block of about BLOCK entries, or one document's columns,
+Columns in a row rise, so a block holds their steps, as numbers of as few bytes as hold them,
+like the counts; Parquet compresses both. A task holds one block of about BLOCK entries, or one document's columns,
 whose number has a bound; long texts are cut at word ends while they are counted. Ranks come
 from a range partition by score, of which only the partitions' sizes come to the driver.
 
@@ -38,7 +38,9 @@ from chronopix.session import ship_code
 #: Bytes of a text as they count: capitals as small letters, what is in no word as a blank.
 BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 #: Entries of a block, beyond a single document, and bytes of text that are cut into words at once.
-BLOCK, PIECE = 1 << 20, 1 << 20
+BLOCK, PIECE = 1 << 18, 1 << 20
+#: Bytes of blocks that Parquet's reader holds at once.
+ROW_GROUP = 4 << 20
 
 BLOCKS = "ids binary, known binary, words binary, starts binary, steps binary, counts binary"
 
@@ -99,27 +101,25 @@ class Block:
 
     def packed(self) -> pa.RecordBatch:
         starts = np.cumsum([0, *map(len, self.rows)]).astype("<i8")
-        steps = np.concatenate([np.diff(r, prepend=0) for r in self.rows]).astype("<i4")
-        counts = np.concatenate(self.counts).astype("<i8")
-        # bytes of equal weight side by side: those above the lowest are nearly all zero
-        planes = lambda a: np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
-        values = [np.array(self.ids, "<i8").tobytes(), np.array(self.known, bool).tobytes(), np.array(self.words, "<i8").tobytes(), starts.tobytes(), planes(steps), planes(counts)]
-        return pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], [f.split()[0] for f in BLOCKS.split(", ")])
+        steps, counts = np.concatenate([np.diff(r, prepend=0) for r in self.rows]), np.concatenate(self.counts)
+        values = [np.array(self.ids, "<i8"), np.array(self.known, bool), np.array(self.words, "<i8"), starts, narrow(steps), narrow(counts)]
+        return pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], [f.split()[0] for f in BLOCKS.split(", ")])
 
 
-def opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """ids, known, words, starts, columns and counts of each block."""
+def narrow(a: np.ndarray) -> np.ndarray:
+    """Numbers from 0 in as few bytes as hold the greatest."""
+    return a.astype(next(k for k in ("<u1", "<u2", "<u4", "<i8") if not len(a) or a.max() <= np.iinfo(k).max))
 
-    def numbers(planes: bytes, kind: str) -> np.ndarray:
-        size = np.dtype(kind).itemsize
-        return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
+def opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """ids, known, words, starts, columns and counts of each block."""
     for i in range(batch.num_rows):
-        ids, known, words, starts, steps, counts = (c[i].as_py() for c in batch.columns)
-        starts, steps = np.frombuffer(starts, "<i8"), numbers(steps, "<i4").astype(np.int64)
+        ids, known, words, starts, steps, counts = (np.frombuffer(c[i].as_buffer(), np.uint8) for c in batch.columns)
+        starts = starts.view("<i8")
+        wide = lambda a, n=int(starts[-1]): a.view({1: "<u1", 2: "<u2", 4: "<u4", 8: "<i8"}[len(a) // n]).astype(np.int64) if n else np.zeros(0, np.int64)
         # steps summed over the whole block, less what stood before each row
-        upto = np.concatenate([[0], np.cumsum(steps)])
-        yield np.frombuffer(ids, "<i8"), np.frombuffer(known, bool), np.frombuffer(words, "<i8"), starts, upto[1:] - np.repeat(upto[starts[:-1]], np.diff(starts)), numbers(counts, "<i8")
+        upto = np.concatenate([[0], np.cumsum(wide(steps))])
+        yield ids.view("<i8"), known.view(bool), words.view("<i8"), starts, upto[1:] - np.repeat(upto[starts[:-1]], np.diff(starts)), wide(counts)
 
 
 def count_matrix(docs: DataFrame, doc_id: str, columns: int) -> DataFrame:
@@ -138,7 +138,7 @@ def count_matrix(docs: DataFrame, doc_id: str, columns: int) -> DataFrame:
         if block.ids:
             yield block.packed()
 
-    return written(docs.select(F.col(doc_id).cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS))
+    return written(docs.select(F.col(doc_id).cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS), **{"parquet.block.size": ROW_GROUP, "parquet.enable.dictionary": "false"})
 
 
 def column_sums(matrix: DataFrame, columns: int) -> np.ndarray:
