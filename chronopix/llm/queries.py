@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chronopix.llm._common import table
 
@@ -136,3 +137,41 @@ query(
  placed AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) FILTER (able) OVER () AS n FROM scored)
  SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * n // 100 THEN place END AS rank FROM placed""",
 )
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronopix.llm.url_rules import judge
+
+    # labels go by a document's id: a page takes those of the document with its own
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("blocked"))
+    return judge(table(spark, sf_dir, "pages"), labels)
+
+
+_AFTER = "CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END"
+_ALPHABETS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_ITEMS = ["a.token", "a.token || ' ' || b.token", "a.token || ' ' || b.token || ' ' || c.token"]
+_JOINED = ["", " JOIN basket b ON b.id = a.id AND a.token < b.token", " JOIN basket b ON b.id = a.id AND a.token < b.token JOIN basket c ON c.id = a.id AND b.token < c.token"]
+query(
+    op11_url_rules,
+    rf"""WITH p0 AS (SELECT row_number() OVER () AS id, page_id, coalesce(url, '') AS url, coalesce({_AFTER}, '') AS rest FROM pages),
+ p AS MATERIALIZED (SELECT id, page_id, url, translate(regexp_extract(rest, '^[^/?#]*', 0), {_ALPHABETS}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p0),
+ fixed AS MATERIALIZED (SELECT p.*, CASE WHEN '.' || host LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/' WHEN '.' || host LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+ WHEN '.' || host LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/' WHEN '.' || host LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM p),
+ tokens AS MATERIALIZED (SELECT DISTINCT id, token FROM (SELECT id, 'scheme:' || CASE WHEN strpos(url, '://') > 1 THEN url[:strpos(url, '://') - 1] END AS token FROM fixed UNION ALL SELECT id, 'host:' || h FROM (SELECT id, unnest(string_split(host, '.')) AS h FROM fixed) WHERE h <> ''
+ UNION ALL SELECT id, 'path:' || h FROM (SELECT id, unnest(string_split(regexp_replace(path, '\.([A-Za-z0-9]+)$', ''), '/')) AS h FROM fixed) WHERE h <> '' UNION ALL SELECT id, 'ending:' || h FROM (SELECT id, regexp_extract(path, '\.([A-Za-z0-9]+)$', 1) AS h FROM fixed) WHERE h <> ''
+ UNION ALL SELECT id, 'query:' || h FROM (SELECT id, string_split(unnest(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&')), '=')[1] AS h FROM fixed) WHERE h <> '') WHERE token IS NOT NULL),
+ told AS (SELECT doc_id, max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS blocked FROM labels WHERE ((quality = 0) OR (toxic = 1)) IS NOT NULL GROUP BY ALL),
+ examples AS MATERIALIZED (SELECT id, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END AS verdict FROM fixed LEFT JOIN told ON doc_id = page_id WHERE rule IS NOT NULL OR blocked IS NOT NULL),
+ need AS (SELECT greatest(5, CAST(ceil(0.002 * count(*)) AS BIGINT)) AS least FROM examples),
+ common AS (SELECT token, count(*) AS n FROM tokens JOIN examples USING (id) GROUP BY token HAVING count(*) >= (SELECT least FROM need) ORDER BY n DESC, token LIMIT 10000),
+ basket AS MATERIALIZED (SELECT id, token FROM tokens JOIN examples USING (id) JOIN common USING (token) QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, token) <= 12),
+ sets AS ({" UNION ALL ".join(f"SELECT a.id, {i} AS items, {k + 1} AS size FROM basket a{j}" for k, (i, j) in enumerate(zip(_ITEMS, _JOINED)))}),
+ counts AS (SELECT items, size, verdict, count(*) AS k FROM sets JOIN examples USING (id) GROUP BY ALL), sums AS (SELECT items, sum(k) AS n FROM counts GROUP BY ALL),
+ sure AS MATERIALIZED (SELECT items, size, verdict, n, CAST(k AS DOUBLE) / CAST(n AS DOUBLE) AS share FROM counts JOIN sums USING (items), need WHERE k >= least AND CAST(k AS DOUBLE) / CAST(n AS DOUBLE) >= 0.75),
+ inside AS (SELECT items, verdict, share, unnest(CASE size WHEN 1 THEN [] WHEN 2 THEN s ELSE s || [s[1] || ' ' || s[2], s[1] || ' ' || s[3], s[2] || ' ' || s[3]] END) AS part FROM (SELECT *, string_split(items, ' ') AS s FROM sure)),
+ rules AS MATERIALIZED (SELECT row_number() OVER (ORDER BY share DESC, n DESC, items) AS place, * FROM sure WHERE (items, verdict) NOT IN (SELECT (i.items, i.verdict) FROM inside i JOIN sure s ON s.items = i.part AND s.verdict = i.verdict WHERE s.share >= i.share)),
+ needed AS (SELECT place, size, unnest(string_split(items, ' ')) AS token FROM rules), fits AS (SELECT id, place FROM needed JOIN tokens USING (token) GROUP BY id, place, size HAVING count(*) = size), first AS (SELECT id, min(place) AS place FROM fits GROUP BY id)
+ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' ELSE coalesce(verdict, 'allow') END AS verdict,
+ CASE WHEN rule IS NULL THEN items END AS mined, CASE WHEN rule IS NULL THEN share END AS share FROM fixed LEFT JOIN first USING (id) LEFT JOIN rules USING (place)""",
+)
