@@ -164,8 +164,9 @@ query(
  told AS (SELECT doc_id, max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS blocked FROM labels WHERE ((quality = 0) OR (toxic = 1)) IS NOT NULL GROUP BY ALL),
  examples AS MATERIALIZED (SELECT id, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END AS verdict FROM fixed LEFT JOIN told ON doc_id = page_id WHERE rule IS NOT NULL OR blocked IS NOT NULL),
  need AS (SELECT greatest(5, CAST(ceil(0.002 * count(*)) AS BIGINT)) AS least FROM examples),
- common AS (SELECT token, count(*) AS n FROM tokens JOIN examples USING (id) GROUP BY token HAVING count(*) >= (SELECT least FROM need) ORDER BY n DESC, token LIMIT 10000),
- basket AS MATERIALIZED (SELECT id, token FROM tokens JOIN examples USING (id) JOIN common USING (token) QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, token) <= 12),
+ whole AS (SELECT count(*) AS many, count(*) FILTER (verdict = 'block') AS whole FROM examples),
+ common AS (SELECT token, n, abs(CAST(k AS DOUBLE) * many - CAST(n AS DOUBLE) * whole) AS beyond FROM (SELECT token, count(*) AS n, count(*) FILTER (verdict = 'block') AS k FROM tokens JOIN examples USING (id) GROUP BY token), need, whole WHERE n >= least ORDER BY beyond DESC, n DESC, token LIMIT 10000),
+ basket AS MATERIALIZED (SELECT id, token FROM tokens JOIN examples USING (id) JOIN common USING (token) QUALIFY row_number() OVER (PARTITION BY id ORDER BY beyond DESC, n DESC, token) <= 12),
  sets AS ({" UNION ALL ".join(f"SELECT a.id, {i} AS items, {k + 1} AS size FROM basket a{j}" for k, (i, j) in enumerate(zip(_ITEMS, _JOINED)))}),
  counts AS (SELECT items, size, verdict, count(*) AS k FROM sets JOIN examples USING (id) GROUP BY ALL), sums AS (SELECT items, sum(k) AS n FROM counts GROUP BY ALL),
  sure AS MATERIALIZED (SELECT items, size, verdict, n, CAST(k AS DOUBLE) / CAST(n AS DOUBLE) AS share FROM counts JOIN sums USING (items), need WHERE k >= least AND CAST(k AS DOUBLE) / CAST(n AS DOUBLE) >= 0.75),
