@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronopix.functions.reducers import REDUCERS
+from chronopix.session import ship_code
 
 TRIAL = "trial_id"
 
@@ -30,6 +34,59 @@ def reduce_groups(df: DataFrame, reducers: dict[str, str], keys: tuple[str, ...]
     return present.groupBy(*keys).agg(*[REDUCERS[how](F.col(c), F.col(order)).alias(c) for c, how in reducers.items()])
 
 
+@dataclass
+class Reducer:
+    """A function of a user's own over a column's values in a group, a pandas Series in
+    any order and without nulls, and the type of what it returns. ``whole`` takes all values of a
+    group at once. Where groups can be large, give ``partial`` instead, which makes a list
+    of numbers of some of the values, and ``finish``, which takes the sums of these lists over
+    the group; another ``merge`` than adding takes two such lists."""
+
+    kind: str
+    whole: Callable[[pd.Series], object] | None = None
+    partial: Callable[[pd.Series], list[float]] | None = None
+    finish: Callable[[list[float]], object] | None = None
+    merge: Callable[[list[float], list[float]], list[float]] = lambda a, b: [x + y for x, y in zip(a, b, strict=True)]
+
+
+def reduce_by(df: DataFrame, reducers: dict[str, Reducer], keys: tuple[str, ...] = (TRIAL, "slow_index")) -> DataFrame:
+    """One row for each group, each column by its user's reducer; rows without a group drop
+    out, and groups without a value are null. Partial reducers see a group's values batch
+    by batch before the shuffle, and only their lists move."""
+    ship_code(df.sparkSession)
+    present = df.where(F.col(keys[-1]).isNotNull())
+    out = present.select(*keys).distinct()
+    parts = {c: r for c, r in reducers.items() if r.partial}
+    for c, r in reducers.items():
+        if not r.partial:
+            out = out.join(present.where(F.col(c).isNotNull()).groupBy(*keys).agg(F.pandas_udf(r.whole, r.kind, F.PandasUDFType.GROUPED_AGG)(c).alias(c)), list(keys), "left")
+    if parts:
+        kinds = ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys)
+
+        def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = []
+                for own, group in batch.groupby(list(keys), sort=False):
+                    rows.append((*own, *[r.partial(v) if len(v := group[c].dropna()) else None for c, r in parts.items()]))
+                yield pd.DataFrame(rows, columns=[*keys, *parts])
+
+        lists = present.select(*keys, *parts).mapInPandas(shrink, f"{kinds}, {', '.join(f'`{c}` array<double>' for c in parts)}")
+
+        def united(r: Reducer):
+            def unite(lists: pd.Series) -> object:
+                total = None
+                for one in lists:
+                    if one is not None:
+                        total = list(one) if total is None else r.merge(total, list(one))
+                return None if total is None else r.finish(total)
+
+            unite.__annotations__ = {"lists": pd.Series, "return": float}
+            return F.pandas_udf(unite, r.kind, F.PandasUDFType.GROUPED_AGG)
+
+        out = out.join(lists.groupBy(*keys).agg(*[united(r)(c).alias(c) for c, r in parts.items()]), list(keys), "left")
+    return out.select(*keys, *reducers)
+
+
 def most_frequent(df: DataFrame, column: str, threshold: float, default, keys: tuple[str, ...] = (TRIAL, "slow_index")) -> DataFrame:
     """The most frequent value of each group, the smallest on ties; ``default`` where it
     makes up less than ``threshold`` of the group."""
