@@ -6,13 +6,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# fixed values: the columns of an optic-flow sensor's output, in the order of the file
 SENSOR_COLUMNS = ["sens0X", "sens0Y", "sens1X", "sens1Y", "OpflowTime"]
 
 # fixed values: the columns of a ball tracker's output, in the order of the file
@@ -91,20 +89,12 @@ def write_labels(labels: DataFrame, path: str, trial: str = "trial_id") -> None:
 def raw_frames(spark: SparkSession, path: str, width: int, height: int, channels: int = 1, planes: int = 1, kept_planes: int | None = None) -> DataFrame:
     """frame, channel, plane and values (row by row) of a raw file of unsigned 16-bit
     numbers. A time step holds all planes, a plane its rows, and a pixel its channels side
-    by side; planes from ``kept_planes`` on are fly-back and are dropped. The file is split
-    at whole time steps, so one of any size is read by many tasks."""
-    size = 2 * width * height * channels * planes
-    steps = spark.sparkContext.binaryRecords(path, size).zipWithIndex().map(lambda x: (x[1], bytearray(x[0])))
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for frame, data in zip(batch.column("frame").to_pylist(), batch.column("data"), strict=True):
-                values = np.frombuffer(data.as_buffer(), "<u2").reshape(planes, height * width, channels)[:kept_planes]
-                rows = [(frame, c, p, values[p, :, c].astype(np.int32)) for c in range(channels) for p in range(len(values))]
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["frame", "channel", "plane", "values"])
-
-    return spark.createDataFrame(steps, "frame long, data binary").mapInArrow(split, "frame long, channel int, plane int, values array<int>")
+    by side; planes from ``kept_planes`` on are fly-back and are dropped. A file of any size
+    is read by many tasks."""
+    from chronopix.sources.stacks import raw_recordings
+
+    got = raw_recordings(spark, path, width=width, height=height, channels=channels, planes=planes, kept_planes=planes if kept_planes is None else kept_planes, order="pixels")
+    return got.select("frame", "channel", "plane", "values")
 
 
 def discovered(paths: DataFrame, path: str, parent: str, *, startswith: str = "", endswith: str = "", contains: str = "", exclude: str | None = None) -> DataFrame:
