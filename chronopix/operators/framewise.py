@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from chronopix.operators.windows import gaussian_weights
 from chronopix.session import ship_code
 
 #: Pixels that a task handles at once, beyond a single frame.
@@ -41,15 +42,9 @@ def map_frames(df: DataFrame, height: int, width: int, f: Callable[..., np.ndarr
     return df.select(*[c.name for c in kept], *doubles).mapInArrow(run, schema)
 
 
-def weights(sigma: float, truncate: float = 4.0) -> np.ndarray:
-    reach = int(truncate * sigma + 0.5)
-    w = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
-    return w / w.sum()
-
-
 def blurred(frames: np.ndarray, sigma: float, truncate: float = 4.0) -> np.ndarray:
     """Gaussian filter along rows and columns; borders are reflected and count twice."""
-    w = weights(sigma, truncate)
+    w = gaussian_weights(sigma, truncate)
     for axis in (2, 1):
         wide = np.pad(frames, [(len(w) // 2,) * 2 if i == axis else (0, 0) for i in range(3)], mode="symmetric")
         n = frames.shape[axis]

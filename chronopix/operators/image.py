@@ -139,13 +139,17 @@ def shifted_back(df: DataFrame, offsets: DataFrame, height: int, width: int, bor
     return grid.join(moved, [TRIAL, "frame", "y", "x"], "left").withColumn("value", F.coalesce("value", F.lit(border)))
 
 
-def local_maxima(image: DataFrame, keys: list[str], value: str, reach: int, least: float) -> DataFrame:
-    """Pixels that no other within ``reach`` exceeds."""
-    near = F.sequence(F.lit(-reach), F.lit(reach))
-    around = image.select(*keys, "y", "x", F.col(value).alias("v"), F.explode(near).alias("dy")).select("*", F.explode(near).alias("dx"))
-    around = around.select(*keys, (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"), "v")
-    top = around.groupBy(*keys, "y", "x").agg(F.max("v").alias("top"))
-    return image.join(top, [*keys, "y", "x"]).where((F.col(value) == F.col("top")) & (F.col(value) >= least)).drop("top")
+def local_maxima(image: DataFrame, keys: list[str], value: str, reach: int, least: float, height: int, width: int) -> DataFrame:
+    """Pixels that no other within ``reach`` rows and columns exceeds. Each image is one
+    array, whose greatest values around are taken along rows and then along columns."""
+    from chronopix.operators import framewise
+    from chronopix.operators.spatial import framed, pixelled
+
+    own = framed(image, keys, width, value).withColumn("_top", F.col("image"))
+    top = framewise.map_frames(own, height, width, lambda v: framewise.box_maxima(v, reach), ["_top"], "_top")
+    both = top.select(*keys, F.arrays_zip("image", "_top").alias("image"))
+    long = pixelled(both, keys, width, "_v").select(*keys, "y", "x", F.col("_v.image").alias(value), "_v._top")
+    return long.where((F.col(value) == F.col("_top")) & (F.col(value) >= least)).drop("_top")
 
 
 def best_shift(df: DataFrame, most: int, width: int) -> DataFrame:

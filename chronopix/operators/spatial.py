@@ -4,11 +4,11 @@ neighbours."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronopix.operators.windows import gaussian_weights
+
 
 def framed(df: DataFrame, keys: list[str], width: int, value: str = "value") -> DataFrame:
     """Each frame's values, row by row, as the array ``image``."""
@@ -26,12 +26,6 @@ def mirrored(i: Column, n: int) -> Column:
     return F.when(i < 0, -1 - i).when(i >= n, 2 * n - 1 - i).otherwise(i)
 
 
-def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
-    reach = int(truncate * sigma + 0.5)
-    raw = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)]
-    return [w / sum(raw) for w in raw]
-
-
 def blurred(image: Column, height: int, width: int, sigma: float, truncate: float = 4.0) -> Column:
     """Gaussian filter along rows and along columns. Each image is filtered as a whole
     array twice, so the inner array is computed once."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chronopix.functions.scalar import tidy
 from chronopix.operators import align, clusters, framewise, image, selection, trends, wavelets
+from chronopix.operators.windows import gaussian_weights
 from chronopix.plans.filters import BLURRED_SQL, FRAME, MIRROR, P
 from chronopix.plans.recordings import GROUPED, on_slow_clock
 from chronopix.plans.stacks import SIZE, vectors
@@ -151,7 +152,7 @@ def mask_of(own: DataFrame, reach: int) -> DataFrame:
     return selection.selection_mask(own, SIZE, SIZE, local=1.0, smooth=1.0, reach=reach)
 
 
-_LOG_WEIGHTS = ", ".join(f"({i - 4}, {float(w)!r}::DOUBLE)" for i, w in enumerate(framewise.weights(1.0)))
+_LOG_WEIGHTS = ", ".join(f"({i - 4}, {w!r}::DOUBLE)" for i, w in enumerate(gaussian_weights(1.0)))
 
 
 @query(f"""{P}, own AS (SELECT y, x, round(avg(std), 9) AS std FROM (SELECT trial_id, y, x, stddev_pop(value) AS std FROM pixels GROUP BY ALL) GROUP BY ALL), l AS (SELECT y, x, CASE WHEN std > 0 THEN log10(std) ELSE -30 END AS v FROM own), w AS (SELECT * FROM (VALUES {_LOG_WEIGHTS}) v(o, w)),

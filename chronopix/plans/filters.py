@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronopix.functions.scalar import circle_arc, tidy
-from chronopix.operators import align, image, linalg, ordering, spatial, stats, trends
+from chronopix.operators import align, framewise, image, linalg, ordering, spatial, stats, trends
 from chronopix.plans.stacks import SIZE, centres
 from chronopix.registry import query
 from chronopix.sources.roles import FRAMES, PIXELS, frames, pixels, table
@@ -31,10 +31,14 @@ WEIGHTS = spatial.gaussian_weights(1.0, 2.0)
 @query(f"""{P}, w AS (SELECT * FROM (VALUES {", ".join(f"({k - 2}, {w!r}::DOUBLE)" for k, w in enumerate(WEIGHTS))}) v(o, w)), n AS (SELECT p.trial_id, p.frame, p.y, p.x, q.value * a.w * b.w AS v FROM pixels p, w a, w b JOIN pixels q
  ON q.trial_id = p.trial_id AND q.frame = p.frame AND q.y = {MIRROR("p.y + a.o")} AND q.x = {MIRROR("p.x + b.o")}) SELECT trial_id, frame, y, x, round(sum(v), 6) + 0.0 AS value FROM n GROUP BY ALL""")
 def spatial_gaussian(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = spatial.framed(pixels(spark, sf_dir), FRAME, SIZE).withColumn("image", spatial.blurred(F.col("image"), SIZE, SIZE, 1.0, 2.0))
+    got = blurred_frames(spark, sf_dir)
     return spatial.pixelled(got, FRAME, SIZE).withColumn("value", tidy(F.col("value")))
 
 
+def blurred_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return framewise.map_frames(spatial.framed(pixels(spark, sf_dir), FRAME, SIZE), SIZE, SIZE, lambda v: framewise.blurred(v, 1.0, 2.0), ["image"], "image")
+
+
 BLURRED_SQL = f"""w AS (SELECT * FROM (VALUES {", ".join(f"({k - 2}, {w!r}::DOUBLE)" for k, w in enumerate(WEIGHTS))}) v(o, w)), blurred AS (SELECT p.trial_id, p.frame, p.y, p.x, round(sum(q.value * a.w * b.w), 9) AS value FROM pixels p, w a, w b JOIN pixels q
  ON q.trial_id = p.trial_id AND q.frame = p.frame AND q.y = {MIRROR("p.y + a.o")} AND q.x = {MIRROR("p.x + b.o")} GROUP BY ALL)"""
 
@@ -43,11 +47,10 @@ BLURRED_SQL = f"""w AS (SELECT * FROM (VALUES {", ".join(f"({k - 2}, {w!r}::DOUB
  SELECT trial_id, frame, CAST(trunc(dy) AS INTEGER) AS dy, CAST(trunc(dx) AS INTEGER) AS dx FROM m""")
 def com_offsets_blurred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centre of what is above a quantile of the blurred frame, less the image's centre."""
-    got = spatial.framed(pixels(spark, sf_dir), FRAME, SIZE).withColumn("image", F.transform(spatial.blurred(F.col("image"), SIZE, SIZE, 1.0, 2.0), lambda v: F.round(v, 9)))
-    blurred = spatial.pixelled(got, FRAME, SIZE)
-    limit = blurred.groupBy(*FRAME).agg(F.percentile("value", F.lit(0.75)).alias("q"))
-    away = blurred.join(limit, FRAME).where(F.col("value") > F.col("q")).groupBy(*FRAME).agg((F.avg("y") - SIZE / 2).alias("dy"), (F.avg("x") - SIZE / 2).alias("dx"))
-    return away.select(*FRAME, F.col("dy").cast("int").alias("dy"), F.col("dx").cast("int").alias("dx"))
+    images = spatial.framed(pixels(spark, sf_dir), FRAME, SIZE)
+    away = framewise.map_frames(images, SIZE, SIZE, lambda v: framewise.bright_offsets(framewise.blurred(v, 1.0, 2.0).round(9), 0.75), ["image"], "away")
+    whole = lambda i: F.col("away")[i].cast("int")
+    return away.select(*FRAME, whole(0).alias("dy"), whole(1).alias("dx"))
 
 
 @query(f"""{P}, off AS (SELECT DISTINCT trial_id, frame, CAST(frame % 3 AS INTEGER) - 1 AS dy, CAST(frame % 2 AS INTEGER) AS dx FROM pixels), m AS (SELECT trial_id, frame, y - dy AS y, x - dx AS x, value FROM pixels JOIN off USING (trial_id, frame)),
@@ -83,7 +86,8 @@ def masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels above a share of the Otsu threshold, closed: trial_id and ``image`` of 0 and 1."""
     means = trial_means(spark, sf_dir)
     above = means.join(spatial.otsu(means, "value", ["trial_id"]), "trial_id").withColumn("value", (F.col("value") > 0.9 * F.col("threshold")).cast("int"))
-    return spatial.framed(above, ["trial_id"], SIZE).withColumn("image", spatial.closed(F.col("image"), SIZE, SIZE, 2))
+    closed = framewise.map_frames(spatial.framed(above, ["trial_id"], SIZE), SIZE, SIZE, lambda m: framewise.closed(m, 2), ["image"], "image")
+    return closed.withColumn("image", F.col("image").cast("array<int>"))
 
 
 @query(f"{P}, {MASK_SQL} SELECT trial_id, y, x, v AS inside FROM mask")

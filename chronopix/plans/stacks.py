@@ -187,7 +187,7 @@ def apply_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT a.trial_id, a.y, a.x, a.std FROM s a JOIN s b ON a.trial_id = b.trial_id AND abs(a.y - b.y) <= 2 AND abs(a.x - b.x) <= 2 WHERE a.std >= 0.01 GROUP BY ALL HAVING a.std = max(b.std)""")
 def local_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = image.summary(pixels(spark, sf_dir)).select(*PIXEL, F.round("std", 9).alias("std"))
-    return image.local_maxima(s, ["trial_id"], "std", 2, 0.01)
+    return image.local_maxima(s, ["trial_id"], "std", 2, 0.01, SIZE, SIZE)
 
 
 @query(f"""{P}, l AS (SELECT trial_id, frame, x, avg(value) AS v FROM pixels GROUP BY ALL), sh AS (SELECT unnest(range(-2, 3)) AS shift),
