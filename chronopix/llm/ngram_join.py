@@ -16,10 +16,10 @@ Only components are asked for, so a shingle's group of more than SMALL texts is
 expanded into all its pairs. First its texts are compared with CENTRES of them, among
 them that with the fewest rare shingles before the shared one: the least changed of a
 family of copies. Of the pairs that are left, only those count whose texts are in different
-components by then. They are looked for inside tasks, the texts outside the group's
-largest component against all others, in as many turns as there are WORK pairs, and
-only those that pass the filters are listed. Groups of the same texts are looked at
-once. No link between components is lost.
+components by then. A group's texts are put into lots by size, those that the length and
+positional filters leave no partner in a lot are dropped, and the rest meets in blocks of two
+sides inside tasks, where only pairs that pass the filters are listed. Groups of the same
+texts are looked at once. No link between components is lost.
 
 Defined cases: null and empty texts have empty sets and link with nothing; fewer
 than five words make one shingle; texts of any length are taken whole; rows with a
@@ -54,8 +54,8 @@ PACKED, JOINED = 1_000_000, 1_000_000
 CACHED_WORDS = 400_000
 #: Texts of a crowded group that all others are compared with first.
 CENTRES = 4
-#: Pairs of a crowded group that one turn looks at.
-WORK = 4_000_000
+#: Texts on a side of a block of a crowded group.
+BLOCK = 2048
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -381,20 +381,59 @@ def star_pairs(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(*pair_columns("doc", "doc2"))
 
 
-def pairs_across(members: DataFrame, named: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the crowded groups that pass all filters and whose texts are in different
-    components."""
+def blocks_across(members: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """Members of crowded groups that may still have a partner in another component, dealt
+    to blocks: key, lot, kind, left, right (which name a block), side (0 for those that ask, 1
+    for those that are asked), doc, size, place, component.
+
+    A text asks for partners that are no larger than itself (of equal size, with a smaller id).
+    By the length and positional filters their sizes lie between two bounds, so sizes are put
+    into lots by their logarithm and a text asks in three lots at most. Of the group's
+    largest component only texts outside it are asked for (kind 1), by all others everyone is
+    (kind 0). Texts that no size on the other side suits go before anything is copied. What is
+    left of a lot is split on both sides into blocks of BLOCK, so a text is copied as often as
+    there are blocks on the other side."""
     rows = members.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     by = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
     groups = by.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("most")).where("all > most.n")
-    turns = F.ceil(F.col("all") * (F.col("all") - F.col("most.n")) / WORK).cast("int")
-    rows = rows.join(groups.select("key", F.col("most.component").alias("largest"), turns.alias("turns")), "key")
-    rows = rows.join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
-    mine = F.when(F.col("component") != F.col("largest"), F.pmod(F.xxhash64("doc", F.lit(5)), F.col("turns")).cast("int"))
-    rows = rows.select("key", "doc", "size", "place", "component", "sketch", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"))
+    rows = rows.join(groups.select("key", F.col("most.component").alias("largest")), "key").withColumn("out", F.col("component") != F.col("largest")).drop("largest")
+    least = F.ceil(percent * F.col("size") / 100)
+    most = F.floor((100 * F.col("size").cast("long") - (100 + percent) * F.col("place").cast("long")) / percent)
+    rows = rows.withColumns({"least": least, "most": most}).where("most >= least")
+    lot = lambda n: F.floor(F.log(n.cast("double")) / np.log(100 / percent)).cast("int")
+    asking = rows.withColumn("kind", F.when(F.col("out"), 0).otherwise(1)).withColumn("lot", F.explode(F.sequence(lot(F.col("least")), lot(F.least("most", "size")))))
+    asked = rows.withColumn("lot", lot(F.col("size"))).withColumn("kind", F.explode(F.when(F.col("out"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    fields = ["key", "lot", "kind", "doc", "size", "place", "component", "least", "most"]
+    both = asking.where("least <= most").select(*fields, F.lit(0).alias("side")).unionByName(asked.select(*fields, F.lit(1).alias("side")))
+    own = ["key", "lot", "kind"]
+
+    def suited(both: DataFrame) -> DataFrame:
+        """Without rows that no row of the other side can suit, by its extreme sizes."""
+        of = lambda side: F.col("side") == side
+        ends = both.groupBy(*own).agg(*[f(F.when(of(1 - s), F.col(c))).alias(f"{c}_{name}_{s}") for s in (0, 1) for c, f, name in (("size", F.min, "lo"), ("size", F.max, "hi"), ("most", F.max, "hi"))])
+        there = lambda c: F.when(of(0), F.col(f"{c}_0")).otherwise(F.col(f"{c}_1"))
+        fits = (F.col("most") >= there("size_lo")) & (F.col("least") <= there("size_hi")) & (there("most_hi") >= F.col("size"))
+        return both.join(ends, own).where(fits).select(*fields, "side")
+
+    left = suited(suited(both))
+    count = lambda side: F.ceil(F.count_if(F.col("side") == side) / BLOCK).cast("int")
+    many = left.groupBy(*own).agg(count(0).alias("lefts"), count(1).alias("rights")).where("lefts > 0 and rights > 0")
+    deal = lambda salt, n: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(n)).cast("int")
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    asks = F.col("side") == 0
+    dealt = left.join(many, own).withColumn("left", F.explode(F.when(asks, F.array(deal(6, "lefts"))).otherwise(each("lefts"))))
+    dealt = dealt.withColumn("right", F.explode(F.when(asks, each("rights")).otherwise(F.array(deal(7, "rights")))))
+    return dealt.select(*own, "left", "right", "side", "doc", "size", "place", "component")
+
+
+def pairs_across(members: DataFrame, named: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the crowded groups that pass all filters and whose texts are in different
+    components."""
+    own = ["key", "lot", "kind", "left", "right"]
+    rows = blocks_across(members, named, percent).join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by group and turn; texts of the turn meet all of the group."""
+        """Rows come sorted by block, and those that ask first."""
         rest: pa.Table | None = None
         for batch in chain(batches, [None]):
             if batch is not None:
@@ -402,31 +441,30 @@ def pairs_across(members: DataFrame, named: DataFrame, sketches: DataFrame, perc
                 rest = table if rest is None else pa.concat_tables([rest, table])
             if rest is None or not rest.num_rows:
                 continue
-            key, turn = rest.column("key").to_numpy(), rest.column("turn").to_numpy()
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (turn[1:] != turn[:-1])) + 1).tolist(), len(key)]
+            names = np.stack([rest.column(c).to_numpy() for c in own], 1)
+            cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1).tolist(), len(names)]
             if batch is not None:
-                cuts.pop()  # the last group may go on in the next batch
+                cuts.pop()  # the last block may go on in the next batch
             found = [within(rest.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])]
             rest = rest.slice(cuts[-1])
             if found:
                 p = np.unique(np.concatenate(found), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], ["a", "b"])
 
-    def within(group: pa.Table) -> np.ndarray:
-        doc, size, place, component, turn = (group.column(c).to_numpy() for c in ("doc", "size", "place", "component", "turn"))
-        mine = group.column("mine").fill_null(-1).to_numpy()
-        left, found = np.flatnonzero(mine == turn), [np.zeros((0, 2), np.int64)]
-        for at in range(0, len(left), 256):
-            i = left[at : at + 256, None]
-            # two texts outside the largest component would meet twice
-            x, y = np.nonzero((component[i] != component) & ((mine < 0) | (doc[i] < doc)) & may_link(size[i], place[i], size, place, percent))
-            found.append(np.column_stack([i[x, 0], y]))
+    def within(block: pa.Table) -> np.ndarray:
+        side, doc, size, place, component = (block.column(c).to_numpy() for c in ("side", "doc", "size", "place", "component"))
+        asks, asked, found = np.flatnonzero(side == 0), np.flatnonzero(side == 1), [np.zeros((0, 2), np.int64)]
+        for at in range(0, len(asks), 256):
+            i, j = asks[at : at + 256, None], asked[None]
+            later = (size[j] < size[i]) | ((size[j] == size[i]) & (doc[j] < doc[i]))
+            x, y = np.nonzero(later & (component[i] != component[j]) & may_link(size[i], place[i], size[j], place[j], percent))
+            found.append(np.column_stack([i[x, 0], asked[y]]))
         x, y = np.concatenate(found).T
-        near = near_enough(size[x] + size[y], least_differences(group.column("sketch").to_pylist(), x, y), percent) if len(x) else np.zeros(0, bool)
+        near = near_enough(size[x] + size[y], least_differences(block.column("sketch").to_pylist(), x, y), percent) if len(x) else np.zeros(0, bool)
         x, y = doc[x[near]], doc[y[near]]
         return np.column_stack([np.minimum(x, y), np.maximum(x, y)])
 
-    return rows.repartition("key", "turn").sortWithinPartitions("key", "turn").mapInArrow(look, "a long, b long").distinct()
+    return rows.repartition(*own).sortWithinPartitions(*own, "side").mapInArrow(look, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
