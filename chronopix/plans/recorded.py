@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronopix.functions.scalar import tidy
 from chronopix.operators import framewise
 from chronopix.registry import query
-from chronopix.sources import poses, stacks, stores
+from chronopix.session import ship_code
+from chronopix.sources import containers, poses, stacks, stores
 from chronopix.sources.files import shared_scratch
 from chronopix.sources.roles import FRAMES, PIXELS, frames, pixels, table
 
@@ -112,3 +115,53 @@ def nested_poses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs.select(F.col("trial_id").cast("string").alias("trial"), angles.alias("angles"), joints.alias("joints"), points.alias("points3d")).write.json(path)
     got = poses.flat_poses(poses.read_poses(spark, path), abdomen={m: i + 1 for i, m in enumerate(poses.ABDOMEN)})
     return got.select("trial", "frame", *[tidy(F.col(c)).alias(c) for c in got.columns[2:]])
+
+
+LINES = ["Capture On", "Frame Counter", "Basler"]
+
+
+def written_lines(spark: SparkSession, sf_dir: str) -> str:
+    """A container for each trial: its lines in groups, in chunks for even trials."""
+    path, f = shared_scratch(spark), frames(spark, sf_dir)
+    ship_code(spark)
+
+    def one(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("frame")
+        k, value = rows.column("k").to_numpy(), rows.column("value").to_numpy()
+        trial = key[0].as_py()
+        lines = {"DI/Capture On": (k >= 10).astype("u1"), "CI/Frame Counter": np.where(k < 30, -1, k).astype("<i4").reshape(-1, 1), "DI/Basler": (k % 2).astype("<u4")}
+        content = containers.container_of(lines | ({"AI/pid": value} if trial % 3 else {}), None if trial % 2 else (16, 1) if trial % 4 else (16,))
+        return pa.table({"file": [f"t{trial}/sync.h5"], "part": pa.array([0], pa.int64()), "content": pa.array([content], pa.binary())})
+
+    # a container is written as a whole: as much as a trial's lines
+    stores.write_files(f.groupBy("trial_id").applyInArrow(one, "file string, part long, content binary"), path)
+    return path
+
+
+@query(f"""WITH {FRAMES}, l AS (SELECT 't' || trial_id AS trial, frame AS tick, CAST(k >= 10 AS INTEGER)::DOUBLE AS capture, CASE WHEN k < 30 THEN -1 ELSE k END::DOUBLE AS counter, (k % 2)::DOUBLE AS basler, CASE WHEN trial_id % 3 <> 0 THEN value END AS pid FROM frames),
+ i AS (SELECT *, capture > 0 AND counter >= 0 AS inside FROM l), w AS (SELECT trial, min(tick) AS first FROM i WHERE inside GROUP BY ALL) SELECT trial, tick, capture, counter, basler, pid, round((row_number() OVER (PARTITION BY trial ORDER BY tick) - 1) / 50.0::DOUBLE, 6) + 0.0 AS time
+ FROM i JOIN w USING (trial) WHERE inside OR tick = first - 1""")
+def sync_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of containers, of which a third lacks one, while the microscope was recording."""
+    got = containers.sync_lines(spark, written_lines(spark, sf_dir), LINES, optional=["pid", "odor"], ticks=40)
+    kept = containers.clipped(got, "Capture On", "Frame Counter", 50.0).where("odor IS NULL")
+    return kept.select(F.regexp_replace("file", "/.*", "").alias("trial"), "tick", F.col("Capture On").alias("capture"), F.col("Frame Counter").alias("counter"), F.col("Basler").alias("basler"), "pid", tidy(F.col("time")).alias("time"))
+
+
+@query(f"""WITH {FRAMES} SELECT 't' || trial_id AS trial, n.node, frame, CASE WHEN k % 7 <> 0 THEN value + n.i END AS x, CASE WHEN k % 7 <> 0 THEN k * 1.0::DOUBLE - n.i END AS y FROM frames, (SELECT * FROM (VALUES ('neck', 0), ('tail', 1), ('claw', 2)) v(node, i)) n""")
+def keypoint_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks of three nodes; frames in which an animal wasn't seen are null."""
+    path, f = shared_scratch(spark), frames(spark, sf_dir)
+    ship_code(spark)
+
+    def one(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("frame")
+        k, value = rows.column("k").to_numpy(), rows.column("value").to_numpy()
+        nodes = np.arange(3)[:, None]
+        both = np.where(k % 7 == 0, np.nan, np.stack([value + nodes, k - 1.0 * nodes]))[None]
+        content = containers.container_of({"tracks": both, "node_names": np.array([b"neck", b"tail", b"claw"])}, (1, 2, 2, 20))
+        return pa.table({"file": [f"t{key[0].as_py()}/tracks.h5"], "part": pa.array([0], pa.int64()), "content": pa.array([content], pa.binary())})
+
+    stores.write_files(f.groupBy("trial_id").applyInArrow(one, "file string, part long, content binary"), path)
+    got = containers.tracks(spark, path, ticks=25).where("track = 0")
+    return got.select(F.regexp_replace("file", "/.*", "").alias("trial"), "node", "frame", "x", "y")
