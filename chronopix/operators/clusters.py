@@ -161,6 +161,42 @@ def cluster_order(df: DataFrame, vector: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature int, cluster int, place int")
 
 
+def named(df: DataFrame) -> DataFrame:
+    """Places of features as names: f0, f1, and so on."""
+    name = lambda c: F.concat(F.lit("f"), F.col(c).cast("string")).alias(c)
+    return df.select(*[name(c) if c in ("a", "b") else c for c in df.columns])
+
+
+def pair_sums(df: DataFrame, vector: str, key: str | None) -> DataFrame:
+    """key, a <= b, and ``n``, ``sa``, ``sb`` and ``p`` of two features: count, sums and sum of
+    products."""
+    sums = moment_sums(df, vector, key)
+    n = sums.where("row = 0 AND column = 0").select(F.col("key").alias("_k"), F.col("s").alias("n"))
+    one = lambda c: sums.where("row = 0 AND column > 0").select(F.col("key").alias(f"_k{c}"), F.col("column").alias(c), F.col("s").alias(f"s{c}"))
+    pairs = sums.where("row > 0 AND row <= column").select("key", F.col("row").alias("a"), F.col("column").alias("b"), F.col("s").alias("p"))
+    same = lambda c: F.col("key").eqNullSafe(F.col(c))
+    for c in ("a", "b"):
+        other = one(c).withColumnRenamed(c, "_f")
+        pairs = pairs.join(other, same(f"_k{c}") & (F.col(c) == F.col("_f"))).drop(f"_k{c}", "_f")
+    return pairs.join(n, same("_k")).select("key", (F.col("a") - 1).alias("a"), (F.col("b") - 1).alias("b"), "n", "sa", "sb", "p")
+
+
+def covariances(df: DataFrame, vector: str, key: str) -> DataFrame:
+    """key, a, b and ``cov``: population covariance of all pairs of features of each key."""
+    cov = F.col("p") / F.col("n") - F.col("sa") * F.col("sb") / F.col("n") / F.col("n")
+    return named(pair_sums(df, vector, key).select(F.col("key").alias(key), "a", "b", cov.alias("cov")))
+
+
+def split_covariances(df: DataFrame, vector: str, key: str) -> DataFrame:
+    """a, b, ``total``, ``intra`` and ``inter``: the covariance of all rows, its part within
+    the keys and its part between them."""
+    sums = pair_sums(df, vector, key).withColumn("within", F.col("p") - F.col("sa") * F.col("sb") / F.col("n"))
+    all_of = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "p", "within")])
+    total = F.col("p") / F.col("n") - F.col("sa") * F.col("sb") / F.col("n") / F.col("n")
+    got = all_of.select("a", "b", total.alias("total"), (F.col("within") / F.col("n")).alias("intra"))
+    return named(got).withColumn("inter", F.col("total") - F.col("intra"))
+
+
 def pair_covariances(df: DataFrame, vector: str, key: str) -> DataFrame:
     """first, second, a, b, ``total``, ``intra`` and ``inter``: for every two keys, of their
     rows standardised together, the covariance matrix (a <= b), the part of it within the two

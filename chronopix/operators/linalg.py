@@ -5,10 +5,15 @@ not depend on the rows, are solved on the driver."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronopix.session import ship_code
+
 
 def covariance(df: DataFrame, features: list[str], keys: list[str]) -> DataFrame:
     """Population covariance of every pair i <= j of features, in long form."""
@@ -138,3 +143,31 @@ def variance_ratios(df: DataFrame, vector: str, state: str, half: str) -> DataFr
     states = between(*of.values())
     in_time = [between(*[[g] for g in sorted(groups)]) * sum(n[g] for g in groups) / total for groups in of.values()]
     return df.sparkSession.createDataFrame([(sum(in_time) / states, states, in_time[1], in_time[0])], "ratio double, between_states double, first_in_time double, other_in_time double")
+
+
+def ridge_weights(df: DataFrame, features: list[str], target: str, alpha: float, key: str) -> DataFrame:
+    """key and ``weights``, one for each feature: ridge regression without an intercept, of each
+    key's rows. Sums of products are all that a key's equations need; they are solved in tasks,
+    so there may be any number of keys. A key whose equations have no solution has null weights."""
+    ship_code(df.sparkSession)
+    k = len(features)
+    products = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")) for a in features for b in features] + [F.sum(F.col(a).cast("double") * F.col(target).cast("double")) for a in features]
+    sums = df.groupBy(key).agg(F.array(*products).alias("sums"))
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            weights = []
+            for s in batch["sums"]:
+                try:
+                    weights.append(np.linalg.solve(np.reshape(s[: k * k], (k, k)) + alpha * np.eye(k), s[k * k :]).tolist())
+                except np.linalg.LinAlgError:
+                    weights.append(None)
+            yield pd.DataFrame({key: batch[key], "weights": pd.Series(weights, dtype=object)})
+
+    return sums.mapInPandas(solve, f"{key} {dict(df.dtypes)[key]}, weights array<double>")
+
+
+def ridge_predict(df: DataFrame, features: list[str], weights: DataFrame, key: str) -> DataFrame:
+    """``df`` with ``fitted``."""
+    fitted = sum((F.col(f).cast("double") * F.get("weights", F.lit(i)) for i, f in enumerate(features)), F.lit(0.0))
+    return df.join(weights, key).withColumn("fitted", fitted).drop("weights")

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronopix.functions.scalar import tidy
-from chronopix.operators import align, clusters, framewise, image, selection, trends, wavelets
+from chronopix.operators import align, clusters, framewise, image, linalg, selection, stats, trends, wavelets
 from chronopix.operators.windows import gaussian_weights
 from chronopix.plans.filters import BLURRED_SQL, FRAME, MIRROR, P
 from chronopix.plans.recordings import GROUPED, on_slow_clock
-from chronopix.plans.stacks import SIZE, vectors
+from chronopix.plans.stacks import BASE, SIZE, STAMP_SQL, vectors
 from chronopix.registry import query
-from chronopix.sources.roles import FRAMES, frames, pixels, table
+from chronopix.sources.roles import FRAMES, KEYPOINTS, frames, keypoints, pixels, table
 
 CHANNELS = ["value", "k"]
 _SPREAD = f"({wavelets.CYCLES} + sqrt(2 + {wavelets.CYCLES}::DOUBLE * {wavelets.CYCLES})) / (4 * pi() * pow(50, i / 24.0::DOUBLE))"
@@ -163,3 +163,48 @@ _LOG_WEIGHTS = ", ".join(f"({i - 4}, {w!r}::DOUBLE)" for i, w in enumerate(gauss
 def selection_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels that vary more than their surroundings and more than most, without the border."""
     return mask_of(deviation(spark, sf_dir), reach=1)
+
+
+@query(f"""{P}, {BASE.removeprefix(f"{P}, ")}, common AS (SELECT y, x, min(f0) AS f0 FROM base GROUP BY ALL)
+ SELECT trial_id, frame, y, x, CASE WHEN f0 > 0.01 THEN round((value - f0) / f0 * 100, 3) + 0.0 ELSE 0 END AS dff FROM pixels JOIN common USING (y, x)""")
+def dff_common_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trials' change against the one baseline that is lowest over them."""
+    p = pixels(spark, sf_dir)
+    common = stats.common_baseline(stats.minimum_baseline(p, "value", 5, ["trial_id", "y", "x"]), ["y", "x"])
+    change = F.when(F.col("f0") > 0.01, tidy((F.col("value") - F.col("f0")) / F.col("f0") * 100, 3)).otherwise(0.0)
+    return p.join(common, ["y", "x"]).select("trial_id", "frame", "y", "x", change.alias("dff"))
+
+
+@query(f"""{P}, s AS (SELECT trial_id, y, x, round(stddev_pop(value), 9) AS std FROM pixels GROUP BY ALL), c AS (SELECT trial_id + 1 AS roi_id, arg_max(y, (std, -y, -x)) AS cy, arg_max(x, (std, -y, -x)) AS cx, max(std) AS std FROM s GROUP BY ALL), {STAMP_SQL[STAMP_SQL.index("o AS (") :]}
+ SELECT g.y, g.x, mask.roi_id, round(coalesce(c.std, 0), 6) + 0.0 AS value FROM (SELECT DISTINCT y, x FROM pixels) g LEFT JOIN mask USING (y, x) LEFT JOIN c ON c.roi_id = mask.roi_id""")
+def stamped_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions around the pixel of each trial that varies most, without where two overlap,
+    and what it varies by on the map."""
+    p = pixels(spark, sf_dir)
+    own = image.summary(p).withColumn("std", F.round("std", 9))
+    best = F.max(F.struct("std", (-F.col("y")).alias("y"), (-F.col("x")).alias("x")))
+    centres = own.groupBy("trial_id").agg(best.alias("b")).select((F.col("trial_id") + 1).alias("roi_id"), (-F.col("b.y")).alias("y"), (-F.col("b.x")).alias("x"), F.col("b.std").alias("value"))
+    mask, grid = image.stamp_mask(centres, SIZE, SIZE), p.select("y", "x").distinct()
+    values = image.region_map(mask, centres.select("roi_id", "value"), grid)
+    return values.join(mask, ["y", "x"], "left").select("y", "x", "roi_id", tidy(F.col("value")).alias("value"))
+
+
+LINE_SQL = """CASE WHEN o_orderkey % 7 = 0 THEN '# fly || all || tif' WHEN o_orderkey % 7 = 1 THEN '' ELSE ' fly' || o_custkey || '|| t1,t2 ||' || CASE WHEN o_orderstatus = 'F' THEN '!' ELSE '' END || o_orderpriority || ', tif'
+ || CASE WHEN o_orderkey % 2 = 0 THEN ' || x=' || o_orderkey ELSE '' END || CASE WHEN o_orderkey % 5 = 0 THEN ' # later' ELSE '' END END"""
+
+
+@query("""SELECT 'fly' || o_custkey AS dir, 't1,t2' AS trials, unnest([o_orderpriority, 'tif']) AS task, unnest([o_orderstatus = 'F', false]) AS forced, CASE WHEN o_orderkey % 2 = 0 THEN 'x=' || o_orderkey ELSE '' END AS arguments FROM orders WHERE o_orderkey % 7 > 1""")
+def worklist_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worklists as text, one line for each order, as tasks."""
+    from chronopix.operators.ordering import parsed_worklist
+
+    return parsed_worklist(table(spark, sf_dir, "orders").select(F.expr(LINE_SQL).alias("value")))
+
+
+@query(f"""WITH {KEYPOINTS}, s AS (SELECT trial_id, sum(ay * ay) + 0.5 AS aa, sum(ay * "by") AS ab, sum("by" * "by") + 0.5 AS bb, sum(ay * ax) AS ta, sum("by" * ax) AS tb FROM keypoints GROUP BY ALL)
+ SELECT trial_id, frame, round(ay * (ta * bb - tb * ab) / (aa * bb - ab * ab) + "by" * (tb * aa - ta * ab) / (aa * bb - ab * ab), 6) + 0.0 AS fitted FROM keypoints JOIN s USING (trial_id)""")
+def ridge_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trial's values fitted by two regressors, with a penalty."""
+    k = keypoints(spark, sf_dir)
+    weights = linalg.ridge_weights(k, ["ay", "by"], "ax", 0.5, "trial_id")
+    return linalg.ridge_predict(k, ["ay", "by"], weights, "trial_id").select("trial_id", "frame", tidy(F.col("fitted")).alias("fitted"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronopix.functions import scalar
 from chronopix.functions.scalar import tidy
-from chronopix.operators import image, linalg, ordering, stats
+from chronopix.operators import clusters, image, linalg, ordering, stats
 from chronopix.registry import query
 from chronopix.sources.roles import PIXELS, pixels, table
 
@@ -148,25 +148,19 @@ def entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_sum.select("vec_id", tidy(scalar.entropy(F.transform("e", lambda x: x / F.col("s")))).alias("entropy"))
 
 
-FEATURES = [f"f{i}" for i in range(4)]
-
-
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("trial_id"), *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(4)])
-
-
-PAIRS_SQL = "e AS (SELECT label AS trial_id, label < 5 AS g, list_transform(embedding[1:4], lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), ij AS (SELECT i.i, j.j FROM (SELECT unnest(range(1, 5)) AS i) i JOIN (SELECT unnest(range(1, 5)) AS j) j ON i.i <= j.j)"
+PAIRS_SQL = "e AS (SELECT label AS trial_id, label < 5 AS g, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), ij AS (SELECT i.i, j.j FROM (SELECT unnest(range(1, 65)) AS i) i JOIN (SELECT unnest(range(1, 65)) AS j) j ON i.i <= j.j)"
 
 
 @query(f"WITH {PAIRS_SQL} SELECT trial_id, 'f' || (i - 1) AS a, 'f' || (j - 1) AS b, round(covar_pop(v[i], v[j]), 8) + 0.0 AS cov FROM e, ij GROUP BY trial_id, i, j")
 def trial_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linalg.covariance(features(spark, sf_dir), FEATURES, ["trial_id"]).withColumn("cov", tidy(F.col("cov"), 8))
+    return clusters.covariances(vectors(spark, sf_dir), "v", "trial_id").withColumn("cov", tidy(F.col("cov"), 8))
 
 
 @query(f"""WITH {PAIRS_SQL}, t AS (SELECT i, j, covar_pop(v[i], v[j]) AS total FROM e, ij GROUP BY ALL), c AS (SELECT g, i, j, covar_pop(v[i], v[j]) AS cov, count(*) AS n FROM e, ij GROUP BY ALL),
  w AS (SELECT i, j, sum(cov * n) / sum(n) AS intra FROM c GROUP BY ALL) SELECT 'f' || (i - 1) AS a, 'f' || (j - 1) AS b, round(total, 8) + 0.0 AS total, round(intra, 8) + 0.0 AS intra, round(total - intra, 8) + 0.0 AS inter FROM t JOIN w USING (i, j)""")
 def trial_pairs_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linalg.split_covariance(features(spark, sf_dir), FEATURES, F.col("trial_id") < 5).withColumns({c: tidy(F.col(c), 8) for c in ("total", "intra", "inter")})
+    of = vectors(spark, sf_dir).withColumn("first", F.col("trial_id") < 5)
+    return clusters.split_covariances(of, "v", "first").withColumns({c: tidy(F.col(c), 8) for c in ("total", "intra", "inter")})
 
 
 @query(f"""{P}, q AS (SELECT trial_id, frame, quantile_cont(value, 0.75) AS q FROM pixels GROUP BY ALL), m AS (SELECT trial_id, frame, sum(y * value) / sum(value) - 4 AS dy, sum(x * value) / sum(value) - 4 AS dx FROM pixels JOIN q USING (trial_id, frame) WHERE value > q GROUP BY ALL)
