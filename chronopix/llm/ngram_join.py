@@ -394,35 +394,38 @@ def blocks_across(members: DataFrame, named: DataFrame, percent: int) -> DataFra
     left of a lot is split on both sides into blocks of BLOCK, so a text is copied as often as
     there are blocks on the other side."""
     rows = members.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    by = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
-    groups = by.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("most")).where("all > most.n")
-    rows = rows.join(groups.select("key", F.col("most.component").alias("largest")), "key").withColumn("out", F.col("component") != F.col("largest")).drop("largest")
     least = F.ceil(percent * F.col("size") / 100)
     most = F.floor((100 * F.col("size").cast("long") - (100 + percent) * F.col("place").cast("long")) / percent)
     rows = rows.withColumns({"least": least, "most": most}).where("most >= least")
+    extremes = {"size_lo": ("size", F.min), "size_hi": ("size", F.max), "most_hi": ("most", F.max)}
+    # by component and then by key, with and without the largest component: what all and what those outside it reach
+    by = rows.groupBy("key", "component").agg(F.count("*").alias("n"), *[f(c).alias(name) for name, (c, f) in extremes.items()])
+    largest = by.groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
+    by = by.join(largest, "key")
+    outside = F.col("component") != F.col("largest")
+    groups = by.groupBy("key", "largest").agg(*[f(name).alias(f"all_{name}") for name, (_, f) in extremes.items()], *[f(F.when(outside, F.col(name))).alias(f"out_{name}") for name, (_, f) in extremes.items()]).where("out_size_lo IS NOT NULL")
+    fits = lambda of: (F.col("most") >= F.col(f"{of}_size_lo")) & (F.col("least") <= F.col(f"{of}_size_hi")) & (F.col(f"{of}_most_hi") >= F.col("size"))
+    rows = rows.join(groups, "key").withColumns({"out": outside, "suits_all": fits("all"), "suits_out": fits("out")})
     lot = lambda n: F.floor(F.log(n.cast("double")) / np.log(100 / percent)).cast("int")
-    asking = rows.withColumn("kind", F.when(F.col("out"), 0).otherwise(1)).withColumn("lot", F.explode(F.sequence(lot(F.col("least")), lot(F.least("most", "size")))))
-    asked = rows.withColumn("lot", lot(F.col("size"))).withColumn("kind", F.explode(F.when(F.col("out"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    asks = F.when(F.col("out") & F.col("suits_all"), 0).when(~F.col("out") & F.col("suits_out"), 1)
+    asking = rows.withColumn("kind", asks).where("kind IS NOT NULL AND least <= size").withColumn("lot", F.explode(F.sequence(lot(F.col("least")), lot(F.least("most", "size")))))
+    told = F.array_compact(F.array(F.when(F.col("suits_out"), 0), F.when(F.col("out") & F.col("suits_all"), 1)))
+    asked = rows.withColumn("lot", lot(F.col("size"))).withColumn("kind", F.explode(told))
     fields = ["key", "lot", "kind", "doc", "size", "place", "component", "least", "most"]
-    both = asking.where("least <= most").select(*fields, F.lit(0).alias("side")).unionByName(asked.select(*fields, F.lit(1).alias("side")))
+    both = asking.select(*fields, F.lit(0).alias("side")).unionByName(asked.select(*fields, F.lit(1).alias("side")))
     own = ["key", "lot", "kind"]
-
-    def suited(both: DataFrame) -> DataFrame:
-        """Without rows that no row of the other side can suit, by its extreme sizes."""
-        of = lambda side: F.col("side") == side
-        ends = both.groupBy(*own).agg(*[f(F.when(of(1 - s), F.col(c))).alias(f"{c}_{name}_{s}") for s in (0, 1) for c, f, name in (("size", F.min, "lo"), ("size", F.max, "hi"), ("most", F.max, "hi"))])
-        there = lambda c: F.when(of(0), F.col(f"{c}_0")).otherwise(F.col(f"{c}_1"))
-        fits = (F.col("most") >= there("size_lo")) & (F.col("least") <= there("size_hi")) & (there("most_hi") >= F.col("size"))
-        return both.join(ends, own).where(fits).select(*fields, "side")
-
-    left = suited(suited(both))
-    count = lambda side: F.ceil(F.count_if(F.col("side") == side) / BLOCK).cast("int")
+    # the same once more in each lot, of the other side
+    side = lambda s: F.col("side") == s
+    ends = both.groupBy(*own).agg(*[f(F.when(side(1 - s), F.col(c))).alias(f"{name}_{s}") for s in (0, 1) for name, (c, f) in extremes.items()])
+    there = lambda c: F.when(side(0), F.col(f"{c}_0")).otherwise(F.col(f"{c}_1"))
+    suits = (F.col("most") >= there("size_lo")) & (F.col("least") <= there("size_hi")) & (there("most_hi") >= F.col("size"))
+    left = written(both.join(ends, own).where(suits).select(*fields, "side"))
+    count = lambda s: F.ceil(F.count_if(side(s)) / BLOCK).cast("int")
     many = left.groupBy(*own).agg(count(0).alias("lefts"), count(1).alias("rights")).where("lefts > 0 and rights > 0")
     deal = lambda salt, n: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(n)).cast("int")
     each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    asks = F.col("side") == 0
-    dealt = left.join(many, own).withColumn("left", F.explode(F.when(asks, F.array(deal(6, "lefts"))).otherwise(each("lefts"))))
-    dealt = dealt.withColumn("right", F.explode(F.when(asks, each("rights")).otherwise(F.array(deal(7, "rights")))))
+    dealt = left.join(many, own).withColumn("left", F.explode(F.when(side(0), F.array(deal(6, "lefts"))).otherwise(each("lefts"))))
+    dealt = dealt.withColumn("right", F.explode(F.when(side(0), each("rights")).otherwise(F.array(deal(7, "rights")))))
     return dealt.select(*own, "left", "right", "side", "doc", "size", "place", "component")
 
 
