@@ -85,3 +85,20 @@ def experiment(name: Column) -> dict[str, Column]:
 def condition_label(name: Column) -> Column:
     """A cohort's condition by what its name holds, in order of priority."""
     return F.when(name.contains("high caff"), "high caff").when(name.contains("low caff"), "low caff").when(name.contains("sucr"), "sucr").when(name.contains("starv"), "starv").otherwise("none")
+
+
+# fixed values: what notes of an experiment hold, in the order in which it counts, and the condition it means
+CONDITIONS = (("high caff", "high caffeine"), ("low caff", "low caffeine"), ("sucr", "sucrose"), ("starv", "starved"))
+
+
+def cohort_condition(notes: Column) -> Column:
+    """The condition that notes tell, empty for none."""
+    found = F.lit("")
+    for word, condition in reversed(CONDITIONS):
+        found = F.when(notes.contains(word), condition).otherwise(found)
+    return found
+
+
+def joined_each(paths: Column, *parts: str) -> Column:
+    """Every path of a list with the same parts below it."""
+    return F.transform(paths, lambda p: F.concat_ws("/", p, *map(F.lit, parts)))

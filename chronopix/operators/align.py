@@ -34,6 +34,18 @@ def reduce_groups(df: DataFrame, reducers: dict[str, str], keys: tuple[str, ...]
     return present.groupBy(*keys).agg(*[REDUCERS[how](F.col(c), F.col(order)).alias(c) for c, how in reducers.items()])
 
 
+def mapped_groups(slow: DataFrame, fast: DataFrame, columns: dict[str, tuple[str, str]], keys: tuple[str, ...] = (TRIAL, "slow_index")) -> DataFrame:
+    """Every row of ``slow`` with columns of ``fast`` reduced to it, by a map from a column's
+    name to its name there and its reducer. Columns that ``fast`` lacks are skipped; a row
+    without fast ones gets 0, false or an empty text."""
+    known = {c: to for c, to in columns.items() if c in fast.columns}
+    renamed = fast.select(*keys, "frame", *[F.col(c).alias(name) for c, (name, _) in known.items()])
+    reduced = reduce_groups(renamed, dict(known.values()), keys)
+    empty = lambda kind: F.lit("") if kind == "string" else F.lit(False) if kind == "boolean" else F.lit(0)
+    kinds = dict(reduced.dtypes)
+    return slow.join(reduced, list(keys), "left").select(*slow.columns, *[F.coalesce(F.col(n), empty(kinds[n]).cast(kinds[n])).alias(n) for n, _ in known.values()])
+
+
 @dataclass
 class Reducer:
     """A function of a user's own over a column's values in a group, a pandas Series in

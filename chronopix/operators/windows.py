@@ -36,6 +36,11 @@ def resting(*velocities: Column, threshold: float = 0.01, size: int = 400) -> Co
     return held_state(still, size)
 
 
+def without_last(df: DataFrame) -> DataFrame:
+    """All rows but each trial's last."""
+    return df.withColumn("_last", F.max("frame").over(Window.partitionBy(TRIAL))).where(F.col("frame") < F.col("_last")).drop("_last")
+
+
 def with_islands(df: DataFrame, state: str, name: str = "island") -> DataFrame:
     """Number the runs of equal ``state``: frame number minus rank in the state."""
     rank = F.row_number().over(Window.partitionBy(TRIAL, state).orderBy("frame"))

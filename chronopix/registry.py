@@ -25,4 +25,4 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Import all modules that register queries."""
-    from chronopix.plans import analysis, files, filters, recorded, recordings, stacks, tables  # noqa: F401
+    from chronopix.plans import analysis, behaviour, files, filters, recorded, recordings, stacks, tables  # noqa: F401

@@ -30,4 +30,5 @@ def test_entry_points(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert entry.entry(spark).columns
+    flagship = entry.entry(spark)
+    assert rows(flagship.toPandas()) == rows(database(FOLDER).sql(registry.ORACLE_SQL[registry.FLAGSHIP]).df())
