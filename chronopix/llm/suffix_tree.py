@@ -308,7 +308,7 @@ def text_rows(texts: DataFrame, hot: tuple, parts: int, start: float) -> DataFra
     shared = texts.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (word_keys, word_logs, word_ws), (run_keys, run_ws), bits = shared.value
+        (word_keys, word_logs, word_ws), (run_keys, run_ws), bits, word_bits = shared.value
         read, rows, at, keys, many = Reader(), [], [], [], 0
 
         def requests() -> pa.RecordBatch:
@@ -325,7 +325,10 @@ def text_rows(texts: DataFrame, hot: tuple, parts: int, start: float) -> DataFra
             known, known_at = of[token[hit]], found[hit]
             common = np.bincount(known, word_logs[known_at], n)
             gained = start + np.bincount(known, word_ws[known_at], n)
-            asked = [(of[token[~hit]], h[token[~hit]])]
+            # words that training has never seen give nothing, however often they are met
+            other = token[~hit]
+            other = other[has_bit(word_bits, h[other])]
+            asked = [(of[other], h[other])]
             live = np.ones(len(h), bool)
             for ends, key in runs_in(h, place, DEPTH + 1):
                 # of a run that counts, the later part counts
@@ -420,7 +423,7 @@ def score_texts(docs: DataFrame, *, modulus: int = 7, held_out: int = 2, least_c
         order = np.argsort(key)
         return tuple(x[order] for x in (key, *(v.to_numpy(float) for v in values)))
 
-    hot = (arrays(hot_words["h"], np.log10(hot_words["n"].astype(float) + 1), hot_words["w"]), arrays(hot_runs["key"], hot_runs["w"]), bits_of(weights.select(F.col("key").alias("h"))))
+    hot = (arrays(hot_words["h"], np.log10(hot_words["n"].astype(float) + 1), hot_words["w"]), arrays(hot_runs["key"], hot_runs["w"]), bits_of(weights.select(F.col("key").alias("h"))), bits_of(words.select("h")))
     asked = text_rows(texts, hot, parts, first["w"] if first else 0.0).union(model_rows(words, weights, parts))
     got = answered(asked, parts).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("common").alias("common"), F.sum("gained").alias("gained"))
     base = F.col("common") - F.col("n_tokens") * F.log10(F.lit(float(n_train + vocabulary + 1)))
