@@ -48,7 +48,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 @query(f"WITH {RAW_SQL} SELECT trial, colour, frame, plane, y, x, value FROM raw")
 def raw_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files whose metadata tell sizes, planes that count and channels that were on."""
-    got = stacks.raw_recordings(spark, written_recordings(spark, sf_dir), metadata="Experiment.xml", split=4096)
+    got = stacks.raw_recordings(spark, written_recordings(spark, sf_dir), metadata="Experiment.xml")
     return spread(got.withColumn("trial", F.regexp_replace("file", "/.*", "")), "trial", "colour", "frame", "plane")
 
 
@@ -71,11 +71,11 @@ def latest_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {PIXELS} SELECT 'trial' || trial_id AS stack, frame, y, x, value FROM pixels")
 def page_stacks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stacks written as files of pages and read again, each file by several tasks."""
+    """Stacks written as files of pages and read again."""
     path = shared_scratch(spark)
     images = framewise.frames_of(pixels(spark, sf_dir), ["trial_id", "frame"], SIZE, ["value"])
-    stacks.write_stacks(images.select(F.concat(F.lit("trial"), F.col("trial_id").cast("string")).alias("stack"), "frame", F.lit(SIZE).alias("height"), F.lit(SIZE).alias("width"), F.col("value").alias("values")), path, pages=25)
-    return spread(stacks.read_stacks(spark, path, split=4096), "stack", "frame")
+    stacks.write_stacks(images.select(F.concat(F.lit("trial"), F.col("trial_id").cast("string")).alias("stack"), "frame", F.lit(SIZE).alias("height"), F.lit(SIZE).alias("width"), F.col("value").alias("values")), path)
+    return spread(stacks.read_stacks(spark, path), "stack", "frame")
 
 
 @query("""SELECT '2' || s_nationkey % 2 || '0301' AS date, 'Fly' || s_nationkey AS fly, s_name AS trial, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_name) - 1 AS position FROM supplier
@@ -143,7 +143,7 @@ def written_lines(spark: SparkSession, sf_dir: str) -> str:
  FROM i JOIN w USING (trial) WHERE inside OR tick = first - 1""")
 def sync_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of containers, of which a third lacks one, while the microscope was recording."""
-    got = containers.sync_lines(spark, written_lines(spark, sf_dir), LINES, optional=["pid", "odor"], ticks=40)
+    got = containers.sync_lines(spark, written_lines(spark, sf_dir), LINES, optional=["pid", "odor"])
     kept = containers.clipped(got, "Capture On", "Frame Counter", 50.0).where("odor IS NULL")
     return kept.select(F.regexp_replace("file", "/.*", "").alias("trial"), "tick", F.col("Capture On").alias("capture"), F.col("Frame Counter").alias("counter"), F.col("Basler").alias("basler"), "pid", tidy(F.col("time")).alias("time"))
 
@@ -163,5 +163,5 @@ def keypoint_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pa.table({"file": [f"t{key[0].as_py()}/tracks.h5"], "part": pa.array([0], pa.int64()), "content": pa.array([content], pa.binary())})
 
     stores.write_files(f.groupBy("trial_id").applyInArrow(one, "file string, part long, content binary"), path)
-    got = containers.tracks(spark, path, ticks=25).where("track = 0")
+    got = containers.tracks(spark, path).where("track = 0")
     return got.select(F.regexp_replace("file", "/.*", "").alias("trial"), "node", "frame", "x", "y")
