@@ -26,6 +26,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import repeat
 from struct import pack
 
 import numpy as np
@@ -75,6 +76,9 @@ class WordBPE:
             left, right, whole = self.vocab[a], self.vocab[b], self.vocab[a + b]
             self.merges[left, right] = (rank, whole)
             made.setdefault(whole, (rank, left, right))
+        # ranks alone, as small numbers compare fastest, and what each of them makes.
+        self.ranks = {pair: rank for pair, (rank, _) in self.merges.items()}
+        self.wholes = [self.vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
         self._spines(made)
         library = Tokenizer.from_file(path)
         self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
@@ -161,42 +165,41 @@ class WordBPE:
 
     def propose(self, word: str) -> list[int]:
         """Greedy longest match; the last token carries the end-of-word mark."""
-        vocab, follow, out, at, n = self.vocab.get, self.prefixes.get, [], 0, len(word)
+        vocab, follow, out, at, n, longest, end = self.vocab.get, self.prefixes.get, [], 0, len(word), self.longest, self.end
         while True:
-            if n - at <= self.longest:
-                t = vocab(word[at:] + self.end)
-                if t is not None:
-                    out.append(t)
-                    return out
-            best, stop = None, at + 1
-            while stop < n:
+            if n - at <= longest and (t := vocab(word[at:] + end)) is not None:
+                out.append(t)
+                return out
+            # a letter is always a token; what begins with two is known by them
+            best, after = -1, at + 1
+            for stop in range(at + 2, n):
                 t = follow(word[at:stop])
                 if t is None:
                     break
                 if t >= 0:
                     best, after = t, stop
-                stop += 1
-            out.append(best)
+            out.append(best if best >= 0 else follow(word[at]))
             at = after
 
     def merge(self, word: str) -> list[int]:
         """Exact encoding: the pair of lowest rank first, leftmost on ties."""
-        vocab, merges, none = self.vocab, self.merges, (NEVER, -1)
-        ids = [vocab[c] for c in word[:-1]] + [vocab[word[-1] + self.end]]
+        vocab, get, wholes, never = self.vocab, self.ranks.get, self.wholes, len(self.wholes)
+        ids = [vocab[c] for c in word[:-1]]
+        ids.append(vocab[word[-1] + self.end])
         if len(ids) > LONG_WORD:
             return self.merge_long(ids)
-        pair = [merges.get(p, none) for p in zip(ids, ids[1:])]
+        pair = list(map(get, zip(ids, ids[1:]), repeat(never)))
         while pair:
             low = min(pair)
-            if low[0] == NEVER:
+            if low == never:
                 break
             i = pair.index(low)
-            ids[i : i + 2] = [low[1]]
-            del pair[i]
+            ids[i] = wholes[low]
+            del ids[i + 1], pair[i]
             if i < len(pair):
-                pair[i] = merges.get((ids[i], ids[i + 1]), none)
+                pair[i] = get((ids[i], ids[i + 1]), never)
             if i:
-                pair[i - 1] = merges.get((ids[i - 1], ids[i]), none)
+                pair[i - 1] = get((ids[i - 1], ids[i]), never)
         return ids
 
     def merge_long(self, ids: list[int]) -> list[int]:
