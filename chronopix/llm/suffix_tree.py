@@ -34,6 +34,7 @@ one pair in four thousand million) share their contexts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +53,6 @@ HOT = 500_000
 #: Runs that a task sums up, and requests that it gathers, before it hands them on; runs
 #: that one partition of the hash space takes.
 HELD, PART = 2_000_000, 2_000_000
-CACHED_WORDS = 400_000
 END, START = xxhash.xxh3_64_intdigest(b""), xxhash.xxh3_64_intdigest(b" ")
 LOW, MIX, STEP = np.uint64(0xFFFFFFFF), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 PACKED_RUNS = "part int, size int, symbols binary, n binary"
@@ -72,29 +72,82 @@ def run_hash(context: np.ndarray, later: np.ndarray, size: int) -> np.ndarray:
     return mixed(mixed(context * MIX + np.uint64(size)) + later)
 
 
-class Words(dict):
-    """Hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+#: Which bytes part words: the six separators alone.
+PARTS = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+#: A number for each byte, capitals like small letters, and the base in whose powers they are added up.
+DIGITS = mixed(np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64) + MIX)
+DIGITS[PARTS] = 0
+BASE = int(STEP) | 1
+#: Bytes that are hashed at once, and those of a word that is hashed by itself.
+PIECE, GIANT = 1 << 20, 1 << 16
+SEPARATOR = re.compile(rb"[ \t-\r]")
 
 
 class Reader:
-    """Word hashes of texts: START, words, END for each."""
+    """Word hashes of texts: START, words, END for each. Words are hashed where they stand:
+    digits times falling powers of a base are summed up over all bytes, a word's hash is the
+    difference of two sums, taken back to its start, mixed with its length."""
 
     def __init__(self):
-        self.known = Words()
+        size = PIECE + GIANT
+        self.up = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(size, BASE, np.uint64))])
+        self.down = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(size, pow(BASE, -1, 1 << 64), np.uint64))])
+
+    def hashed(self, piece: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words of a piece begin, and their hashes."""
+        raw = np.frombuffer(piece, np.uint8)
+        inside = np.zeros(len(raw) + 2, np.int8)
+        inside[1:-1] = ~PARTS[raw]
+        edge = np.diff(inside)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(DIGITS[raw] * self.down[: len(raw)], out=sums[1:])
+        h = mixed((sums[end] - sums[start]) * self.up[start] + (end - start).astype(np.uint64) * MIX)
+        for i in np.flatnonzero(end - start > GIANT).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(piece[start[i] : end[i]].lower())
+        return start, h
+
+    def pieces(self, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same of data of any length, cut between words; a giant word is alone."""
+        at = 0
+        while at < len(data):
+            stop = at + PIECE
+            if stop < len(data):
+                found = SEPARATOR.search(data, stop, stop + GIANT)
+                if not found:  # no separator near: the word that stands there is cut out
+                    before = max((data.rfind(c, at, stop) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")), default=-1) + 1
+                    first = max(at, before)
+                    after = SEPARATOR.search(data, stop + GIANT)
+                    end = after.start() if after else len(data)
+                    if first > at:
+                        start, h = self.hashed(data[at:first])
+                        yield start + at, h
+                    if end - first > GIANT:
+                        yield np.array([first]), np.array([xxhash.xxh3_64_intdigest(data[first:end].lower())], np.uint64)
+                    else:
+                        start, h = self.hashed(data[first:end])
+                        yield start + first, h
+                    at = end
+                    continue
+                stop = found.start()
+            start, h = self.hashed(data[at:stop])
+            yield start + at, h
+            at = stop
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All hashes one after the other, and each one's place in its text."""
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        # of bytes, lower() changes A-Z alone and split() parts at the six separators alone
-        words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
-        get = self.known.__getitem__
-        parts = [np.fromiter((START, *map(get, w), END), np.uint64, len(w) + 2) for w in words]
-        return np.concatenate(parts), np.concatenate([np.arange(len(p)) for p in parts])
+        data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, data), np.int64, len(data)) + 1)])
+        found = list(self.pieces(b" ".join(data)))
+        starts = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
+        many = np.diff(np.searchsorted(starts, offsets)) + 2
+        ends = np.cumsum(many)
+        first, inner = ends - many, np.ones(many.sum(), bool)
+        h = np.empty(len(inner), np.uint64)
+        h[first], h[ends - 1] = START, END
+        inner[first] = inner[ends - 1] = False
+        h[inner] = np.concatenate([np.zeros(0, np.uint64), *(x for _, x in found)])
+        return h, np.arange(len(h)) - np.repeat(first, many)
 
 
 def runs_in(h: np.ndarray, place: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
