@@ -101,3 +101,28 @@ def test_empty_and_untrained_tables(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     (got,) = score_texts(spark.createDataFrame([(held, "not learned from")], "doc_id long, text string")).collect()
     assert (got.n_tokens, got.n_known, got.train_tokens, got.base_score, got.score) == (4, 0, 0, 0.0, 0.0)
+
+
+def test_words_have_one_hash_wherever_they_stand(monkeypatch):
+    """Of texts cut into pieces of any size, with words longer than a piece; different words
+    have different hashes."""
+    import random
+
+    from chronopix.llm import suffix_tree
+
+    of, word = {}, {}
+    for piece, giant in ((64, 16), (50, 200), (1 << 20, 1 << 16)):
+        monkeypatch.setattr(suffix_tree, "PIECE", piece)
+        monkeypatch.setattr(suffix_tree, "GIANT", giant)
+        read, rng = suffix_tree.Reader(), random.Random(piece)
+        hashes, seen = {}, {}
+        for _ in range(400):
+            texts = [None if rng.random() < 0.1 else "".join(rng.choice(["a", "B", "é", "\x1c", " ", "\n", "xyz", "q" * rng.choice([1, 5, 17, 40, 90, 200, 700])]) for _ in range(rng.randrange(40))) for _ in range(rng.randrange(1, 4))]
+            h, place = read(texts)
+            want = [w for t in texts for w in (START, *tokens(t), END)]
+            assert len(h) == len(place) == len(want) and [p == 0 for p in place] == [w == START for w in want]
+            for w, x in zip(want, h.tolist(), strict=True):
+                assert hashes.setdefault(w, x) == x and seen.setdefault(x, w) == w
+        short = {w: x for w, x in hashes.items() if len(w.encode()) <= 16}
+        assert all(of.setdefault(w, x) == x and word.setdefault(x, w) == w for w, x in short.items())
+    assert read([])[0].size == 0
