@@ -13,19 +13,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource
 from pyspark.sql.types import StructType
 
 from chronopix.session import ship_code
 from chronopix.sources.sinks import write_missing
-from chronopix.sources.stores import ByteRange, RangeReader, registered, write_files
+from chronopix.sources.stores import ByteRange, RangeReader, read_files, write_files
 
 #: Bytes of images that are handed to Spark at once, beyond a single one.
 AT_ONCE = 8 << 20
 
 
 def names_in(ddl: str) -> list[str]:
-    """Columns of a flat schema; Spark's own parser is on the driver only."""
+    """Columns of a flat schema."""
     return [f.split()[0] for f in ddl.split(", ")]
 
 
@@ -56,7 +55,10 @@ def layout_of(xml: bytes) -> dict:
 
 
 class RawReader(RangeReader):
+    """Raw files of unsigned 16-bit numbers: time steps of planes of channels."""
+
     ending = ".raw"
+    DDL = "file string, frame long, channel int, colour string, plane int, height int, width int, values array<int>"
     fields = ("width", "height", "channels", "planes", "kept_planes")
 
     def layout(self, part: ByteRange) -> dict:
@@ -84,23 +86,7 @@ class RawReader(RangeReader):
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
         of = self.layout(part)
-        return batches(self.steps(part), names_in(RawFrames.DDL), kinds, 4 * of["width"] * of["height"])
-
-
-class RawFrames(DataSource):
-    """Raw files of unsigned 16-bit numbers: time steps of planes of channels."""
-
-    DDL = "file string, frame long, channel int, colour string, plane int, height int, width int, values array<int>"
-
-    @classmethod
-    def name(cls) -> str:
-        return "raw_frames"
-
-    def schema(self) -> str:
-        return self.DDL
-
-    def reader(self, schema: StructType) -> RawReader:
-        return RawReader(self.options)
+        return batches(self.steps(part), names_in(self.DDL), kinds, 4 * of["width"] * of["height"])
 
 
 def raw_recordings(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
@@ -108,8 +94,7 @@ def raw_recordings(spark: SparkSession, path: str, **options: str | int) -> Data
     that tells its sizes and channels; else width, height, channels, planes and kept_planes are
     given. An image's channels follow each other, or with ``order`` "pixels" a pixel's. With
     ``values`` "no" the images are null, and only the files' sizes are looked at."""
-    registered(spark, RawFrames)
-    return spark.read.format("raw_frames").options(**options).load(path)
+    return read_files(spark, RawReader(options | {"path": path}), RawReader.DDL)
 
 
 def latest_step(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
@@ -159,7 +144,10 @@ FILE_HEAD = b"II*\0" + struct.pack("<I", 8)
 
 
 class PageReader(RangeReader):
+    """Multi-page image files: the files in a folder are one stack."""
+
     ending = ".tif"
+    DDL = "stack string, frame long, height int, width int, values array<double>"
 
     def pages(self, part: ByteRange) -> Iterator[tuple]:
         with self.opened(part) as f:
@@ -206,30 +194,13 @@ class PageReader(RangeReader):
         if first is None:
             return iter(())
         chain = (row for rows in ([first], found) for row in rows)
-        return batches(chain, names_in(PageStacks.DDL), kinds, 8 * len(first[-1]))
-
-
-class PageStacks(DataSource):
-    """Multi-page image files: the files in a folder are one stack."""
-
-    DDL = "stack string, frame long, height int, width int, values array<double>"
-
-    @classmethod
-    def name(cls) -> str:
-        return "page_stacks"
-
-    def schema(self) -> str:
-        return self.DDL
-
-    def reader(self, schema: StructType) -> PageReader:
-        return PageReader(self.options)
+        return batches(chain, names_in(self.DDL), kinds, 8 * len(first[-1]))
 
 
 def read_stacks(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
     """stack, frame, height, width and values of all ``.tif`` files below ``path``; a page's
     frame is what its description says, else its place in the file. A missing path is an error."""
-    registered(spark, PageStacks)
-    return spark.read.format("page_stacks").options(**options).load(path)
+    return read_files(spark, PageReader(options | {"path": path}), PageReader.DDL)
 
 
 def write_stacks(df: DataFrame, path: str, *, kind: str = "<f8", pages: int = 1000) -> None:

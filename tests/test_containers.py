@@ -109,3 +109,13 @@ def test_tracks(spark, tmp_path, chunk):
     for r in rows:
         want = x[r.track, :, ["neck", "tail", "claw"].index(r.node), r.frame]
         assert (r.x, r.y) == ((None, None) if np.isnan(want[0]) else tuple(want))
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    """Each was a task of its own, planned one after the other before any ran."""
+    for i in range(40):
+        (tmp_path / f"t{i}").mkdir()
+        (tmp_path / f"t{i}/t.h5").write_bytes(container_of({"tracks": np.full((1, 2, 1, 3), float(i)), "node_names": np.array([b"neck"])}))
+    got = containers.tracks(spark, str(tmp_path))
+    assert got.rdd.getNumPartitions() < 5
+    assert sorted((r.file, r.x) for r in got.where("frame = 2").collect()) == sorted((f"t{i}/t.h5", float(i)) for i in range(40))
