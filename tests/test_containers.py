@@ -119,3 +119,11 @@ def test_many_small_files_are_few_tasks(spark, tmp_path):
     got = containers.tracks(spark, str(tmp_path))
     assert got.rdd.getNumPartitions() < 5
     assert sorted((r.file, r.x) for r in got.where("frame = 2").collect()) == sorted((f"t{i}/t.h5", float(i)) for i in range(40))
+
+
+def test_lines_of_many_small_files_are_few_tasks(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.h5").write_bytes(container_of({"a": np.full(3, i)}))
+    got = containers.sync_lines(spark, str(tmp_path), ["a"], ["b"])
+    assert got.rdd.getNumPartitions() < 5
+    assert sorted((r.file, r.tick, r.a, r.b) for r in got.collect()) == sorted((f"{i}.h5", t, float(i), None) for i in range(40) for t in range(3))
