@@ -63,7 +63,7 @@ def centres_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = files.shared_scratch(spark)
     files.write_labels(frames(spark, sf_dir).select("trial_id", "frame", F.col("event_type").alias("label")), path)
-    return spark.read.schema("frame long, label string, trial_id int").option("header", "true").csv(path).select("trial_id", "frame", "label")
+    return files.read_labels(spark, path, "frame long, label string", kind="int")
 
 
 @query(f"""WITH {FRAMES}, s AS (SELECT trial_id, frame, frame - lag(frame) OVER (PARTITION BY trial_id ORDER BY frame) AS step FROM frames WHERE k < 95)

@@ -4,9 +4,14 @@ All paths are opened by Spark, so they may lie in any store that it reads."""
 
 from __future__ import annotations
 
+import io
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -81,9 +86,73 @@ def read_centres(spark: SparkSession, path: str, distinct: bool = True) -> DataF
     return got.groupBy("y", "x").agg(F.min("idx").alias("idx")).select("idx", "y", "x") if distinct else got
 
 
+# fixed values: characters that a folder of a table stands for by their codes, and its name for null
+RESERVED = "%" + "".join(map(chr, range(1, 32))) + "\"#'*/:=?\\\x7f{[]^"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_labels(labels: DataFrame, path: str, trial: str = "trial_id") -> None:
-    """One folder of CSV for each trial, with a header."""
-    labels.repartition(trial).write.partitionBy(trial).option("header", "true").csv(path)
+    """One folder of CSV for each trial, with a header; tasks write, and move, many trials each."""
+    from chronopix.operators.groups import changes
+    from chronopix.session import ship_code
+    from chronopix.sources.stores import located, write_files
+
+    spark = labels.sparkSession
+    ship_code(spark)
+    store, place = located(path)
+    if store.get_file_info(place).type.name != "NotFound":
+        raise FileExistsError(f"{path} is there already")
+    store.create_dir(place, recursive=True)
+    others = [c for c in labels.columns if c != trial]
+    plain = F.col(trial).cast("string")
+    coded = reduce(lambda v, c: F.replace(v, F.lit(c), F.lit(f"%{ord(c):02X}")), RESERVED, plain)
+    any_reserved = "[" + "".join(f"\\x{ord(c):02x}" for c in RESERVED) + "]"
+    value = F.when(plain == "", NO_VALUE).when(plain.rlike(any_reserved), coded).otherwise(F.coalesce(plain, F.lit(NO_VALUE)))
+    rows = labels.select(F.concat(F.lit(f"{trial}="), value, F.lit("/labels.csv")).alias("file"), F.to_csv(F.struct(*others)).alias("line"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(others)])
+    sorted_rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file").sortWithinPartitions("file", *rows.columns[2:]).select("file", "line")
+    header = ",".join(others) + "\n"
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            lines, names, contents = batch.column("line").to_pylist(), [], []
+            bounds = [0, *changes(batch, ["file"]), batch.num_rows] if lines else [0]
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                names.append(batch.column("file")[int(a)].as_py())
+                contents.append(("" if names[-1] == last else header) + "\n".join(lines[a:b]) + "\n")
+                last = names[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([0] * len(names), pa.int64()), pa.array([c.encode() for c in contents], pa.binary())], ["file", "part", "content"])
+
+    write_files(sorted_rows.mapInArrow(united, "file string, part long, content binary"), path, dealt=True)
+
+
+def read_labels(spark: SparkSession, path: str, columns: str, trial: str = "trial_id", kind: str = "string") -> DataFrame:
+    """``trial``, from the folders' names, and ``columns`` of what ``write_labels`` wrote. A task
+    reads many small files, or a part of a large one."""
+    from chronopix.sources.stores import ByteRange, RangeReader, read_files
+
+    class LineReader(RangeReader):
+        ending = ".csv"
+
+        def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
+            value = next((v for k, _, v in (x.partition("=") for x in part.name.split("/")) if k == trial), NO_VALUE)
+            of = None if value == NO_VALUE else re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), value)
+            with self.opened(part) as opened, io.BufferedReader(opened, 1 << 20) as f:
+                # a line belongs to the range that it begins in; the first one of a file is the header
+                at = max(0, part.start - 1)
+                f.seek(at)
+                at += len(f.readline())
+                while at < part.stop:
+                    lines: list[str] = []
+                    while at < part.stop and len(lines) < 1 << 14:
+                        line = f.readline()
+                        at += len(line)
+                        if text := line.decode(errors="replace").rstrip("\r\n"):
+                            lines.append(text)
+                    yield pa.RecordBatch.from_arrays([pa.array([of] * len(lines), pa.string()), pa.array(lines, pa.string())], ["trial", "line"])
+
+    lines = read_files(spark, LineReader({"path": path}), "trial string, line string")
+    return lines.select(F.col("trial").cast(kind).alias(trial), F.from_csv("line", columns).alias("_of")).select(trial, "_of.*")
 
 
 def raw_frames(spark: SparkSession, path: str, width: int, height: int, channels: int = 1, planes: int = 1, kept_planes: int | None = None) -> DataFrame:

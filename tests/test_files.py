@@ -1,6 +1,7 @@
 """Readers on written files; models and filters against numpy."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from chronopix.operators import linalg, spatial, trends
@@ -111,3 +112,33 @@ def test_sampling_keeps_whole_rows(spark):
     f = spark.read.parquet(f"{FOLDER}/events.parquet").count()
     assert 0 < registry.QUERIES["weighted_sample"](spark, FOLDER).count() <= f
     assert registry.QUERIES["shuffle_cols"](spark, FOLDER).count() > 0
+
+
+def test_labels_of_many_trials(spark, tmp_path):
+    """Whatever the names and texts; other readers of tables see the same. Each folder was one for the driver."""
+    trials = ["a", "b/c:1", "100%", "x y", "ü", "[z]", "", None] + [f"t{i}" for i in range(40)]
+    texts = ["one", 'said "no", twice', "", None, "a b", "ö"]
+    rows = [(t, i, x) for t in trials for i, x in enumerate(texts)]
+    path = str(tmp_path / "labels")
+    files.write_labels(spark.createDataFrame(rows, "trial string, frame long, label string").repartition(5), path, "trial")
+    got = files.read_labels(spark, path, "frame long, label string", "trial")
+    key = lambda r: tuple(map(str, r))
+    want = sorted(((t or None, i, x or None) for t, i, x in rows), key=key)  # as CSV has it
+    assert sorted(map(tuple, got.collect()), key=key) == want
+    assert not any(path in f for f in got.inputFiles()) and got.rdd.getNumPartitions() < 10
+    usual = spark.read.schema("frame long, label string, trial string").option("header", "true").csv(path).select("trial", "frame", "label")
+    assert sorted(map(tuple, usual.collect()), key=key) == want
+    with pytest.raises(FileExistsError):
+        files.write_labels(spark.createDataFrame(rows, "trial string, frame long, label string"), path, "trial")
+
+
+def test_labels_of_a_long_trial(spark, tmp_path, monkeypatch):
+    """In ranges of bytes, wherever they end."""
+    from chronopix.sources import stores
+
+    path = str(tmp_path / "labels")
+    files.write_labels(spark.range(1000).select(F.lit(7).alias("trial_id"), F.col("id").alias("frame"), F.repeat(F.lit("x"), (F.col("id") % 5 + 1).cast("int")).alias("label")), path)
+    for split in (1, 13, 1000):
+        monkeypatch.setattr(stores, "SPLIT", split if split > 1 else 3)
+        got = files.read_labels(spark, path, "frame long, label string", kind="int")
+        assert sorted(map(tuple, got.collect())) == [(7, i, "x" * (i % 5 + 1)) for i in range(1000)]
