@@ -34,6 +34,25 @@ def test_files_from_rows(spark, tmp_path):
     stores.write_files(df.where("false"), str(tmp_path / "none"))
 
 
+def test_tasks_move_files(spark, tmp_path, monkeypatch):
+    """The driver moved them one after the other; here it can't."""
+    import pyarrow.fs as fs
+
+    path = str(tmp_path / "files")
+    df = spark.range(100).select(F.concat(F.lit("a/f"), (F.col("id") % 40).cast("string")).alias("file"), F.col("id").alias("part"), F.lit("x").cast("binary").alias("content"))
+    real, driver = stores.located, os.getpid()
+
+    class Fixed:
+        def __getattr__(self, name):
+            if name in ("move", "create_dir") and os.getpid() == driver:
+                raise AssertionError("on the driver")
+            return getattr(fs.LocalFileSystem(), name)
+
+    monkeypatch.setattr(stores, "located", lambda address: (Fixed(), real(address)[1]))
+    stores.write_files(df, path)
+    assert len(below(path)) == 40 and not [f for f in os.listdir(path) if f.startswith("_")]
+
+
 def test_a_failed_write_leaves_nothing(spark, tmp_path):
     path = str(tmp_path / "files")
     df = spark.range(100).select(F.concat(F.lit("f"), (F.col("id") % 4).cast("string")).alias("file"), F.col("id").alias("part"), F.when(F.col("id") == 77, F.raise_error(F.lit("broken"))).otherwise("x").cast("binary").alias("content"))
@@ -194,6 +213,21 @@ def test_walk_through_folders(spark, tmp_path):
     assert {r.modified is not None for r in files.collect()} == {True}
 
 
+def test_what_is_found_stays_with_tasks(spark, tmp_path):
+    """The driver held the state of every file, as an index of input files."""
+    for i in range(30):
+        (tmp_path / f"f{i % 10}/_x").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"f{i % 10}/{i}").write_text("x")
+        (tmp_path / f"f{i % 10}/_x/{i}").write_text("x")
+    files = stores.folders(spark, str(tmp_path))
+    assert not any(str(tmp_path) in f for f in files.inputFiles())
+    assert sorted(r.file for r in files.collect()) == sorted(f"f{i % 10}/{i}" for i in range(30))
+    (tmp_path / "none").mkdir()
+    assert stores.folders(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(FileNotFoundError, match="no such file"):
+        stores.folders(spark, str(tmp_path / "nowhere"))
+
+
 def test_poses(spark, tmp_path):
     """Trials may lack legs, joints and markers; the head has joints only."""
     at = lambda *p: {"raw_pos_aligned": [list(x) for x in p]}
