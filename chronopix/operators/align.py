@@ -5,12 +5,18 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from chronopix.functions.reducers import REDUCERS
+from chronopix.operators import groups
 from chronopix.session import ship_code
 
 TRIAL = "trial_id"
@@ -64,39 +70,47 @@ class Reducer:
 def reduce_by(df: DataFrame, reducers: dict[str, Reducer], keys: tuple[str, ...] = (TRIAL, "slow_index")) -> DataFrame:
     """One row for each group, each column by its user's reducer; rows without a group drop
     out, and groups without a value are null. Partial reducers see a group's values batch
-    by batch before the shuffle, and only their lists move."""
+    by batch before the shuffle, and only their lists move. One call of Python serves many groups."""
     ship_code(df.sparkSession)
     present = df.where(F.col(keys[-1]).isNotNull())
-    out = present.select(*keys).distinct()
-    parts = {c: r for c, r in reducers.items() if r.partial}
-    for c, r in reducers.items():
-        if not r.partial:
-            out = out.join(present.where(F.col(c).isNotNull()).groupBy(*keys).agg(F.pandas_udf(r.whole, r.kind, F.PandasUDFType.GROUPED_AGG)(c).alias(c)), list(keys), "left")
+    kinds = dict(df.dtypes)
+    named = lambda own, kind=None: ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], *[f"`{c}` {kind or r.kind}" for c, r in own.items()]])
+    types = {c: to_arrow_type(DataType.fromDDL(r.kind)) for c, r in reducers.items()}
+
+    def applied(rows: pa.RecordBatch, bounds: np.ndarray, functions: dict[str, tuple[Callable, pa.DataType]], nan_too: bool = False) -> pa.RecordBatch:
+        """Functions of a column's values in each group that aren't null, or not a number either."""
+        columns = [rows.column(k).take(pa.array(bounds[:-1])) for k in keys]
+        for c, (function, kind) in functions.items():
+            values, there = rows.column(c).to_pandas(), rows.column(c).is_valid().to_numpy(zero_copy_only=False)
+            if nan_too:
+                there &= values.notna().to_numpy()
+            out = []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                v = values.iloc[a:b] if there[a:b].all() else values.iloc[a:b][there[a:b]]
+                out.append(function(v) if len(v) else None)
+            columns.append(pa.array(out, kind))
+        return pa.RecordBatch.from_arrays(columns, [*keys, *functions])
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows = batch.sort_by([(k, "ascending") for k in keys])
+                yield applied(rows, np.concatenate([[0], groups.changes(rows, list(keys)), [rows.num_rows]]), {c: (r.partial, pa.list_(pa.float64())) for c, r in parts.items()}, nan_too=True)
+
+    whole, parts = ({c: r for c, r in reducers.items() if bool(r.partial) == partial} for partial in (False, True))
+    out = []
+    if whole:
+        own = {c: (r.whole, types[c]) for c, r in whole.items()}
+        out.append(groups.map_groups(present.select(*keys, *whole), list(keys), [], lambda rows, bounds: applied(rows, bounds, own), named(whole)))
     if parts:
-        kinds = ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys)
-
-        def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                rows = []
-                for own, group in batch.groupby(list(keys), sort=False):
-                    rows.append((*own, *[r.partial(v) if len(v := group[c].dropna()) else None for c, r in parts.items()]))
-                yield pd.DataFrame(rows, columns=[*keys, *parts])
-
-        lists = present.select(*keys, *parts).mapInPandas(shrink, f"{kinds}, {', '.join(f'`{c}` array<double>' for c in parts)}")
-
-        def united(r: Reducer):
-            def unite(lists: pd.Series) -> object:
-                total = None
-                for one in lists:
-                    if one is not None:
-                        total = list(one) if total is None else r.merge(total, list(one))
-                return None if total is None else r.finish(total)
-
-            unite.__annotations__ = {"lists": pd.Series, "return": float}
-            return F.pandas_udf(unite, r.kind, F.PandasUDFType.GROUPED_AGG)
-
-        out = out.join(lists.groupBy(*keys).agg(*[united(r)(c).alias(c) for c, r in parts.items()]), list(keys), "left")
-    return out.select(*keys, *reducers)
+        united = {c: (lambda lists, r=r: r.finish(reduce(r.merge, map(list, lists))), types[c]) for c, r in parts.items()}
+        lists = present.select(*keys, *parts).mapInArrow(shrink, named(parts, "array<double>"))
+        out.append(groups.map_groups(lists, list(keys), [], lambda rows, bounds: applied(rows, bounds, united), named(parts)))
+    if len(out) == 1:
+        return out[0].select(*keys, *reducers)
+    renamed = out[1].withColumnsRenamed({k: f"_{i}" for i, k in enumerate(keys)})
+    both = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
+    return out[0].join(renamed, both).select(*keys, *reducers)
 
 
 def most_frequent(df: DataFrame, column: str, threshold: float, default, keys: tuple[str, ...] = (TRIAL, "slow_index")) -> DataFrame:
