@@ -11,16 +11,19 @@ import math
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.session import ship_code
+from chronopix.operators.groups import map_groups
 
 #: Half the length of a wavelet in standard deviations of its bell, beyond which it is
 #: less than 1e-10 of its height; and the wave's cycles under the bell times 2 pi.
 REACH, CYCLES = 7.0, 5.0
 
+#: Numbers of a transform, and frames of signals, that are held at once, beyond a single signal.
+AT_ONCE, SIGNALS = 1 << 20, 1 << 15
+
 
 def frequencies(n: int, lowest: float, highest: float) -> tuple[float, ...]:
     """Rising, at equal steps of their logarithms."""
@@ -46,26 +49,37 @@ def wavelet(frequency: float, rate: float) -> np.ndarray:
     return factor(frequency, rate) * np.exp(-0.5 * t * t - 1j * CYCLES * t)
 
 
-@lru_cache(8)
-def spectra(rate: float, of: tuple[float, ...], size: int) -> list[tuple[int, np.ndarray]]:
-    """Half the length of each wavelet, and its spectrum. The sum over frames around each is a
-    convolution with the reversed wavelet."""
-    kernels = [wavelet(f, rate) for f in of]
-    return [(len(k) // 2, np.fft.fft(k[::-1], size)) for k in kernels]
+@lru_cache(16)
+def spectra(rate: float, of: tuple[float, ...], length: int) -> tuple[int, np.ndarray, list[int]]:
+    """For signals of up to ``length`` frames: the size of their transforms, each wavelet's spectrum
+    and half its length. What of a wavelet is farther out than such a signal is long meets none of
+    its frames. The sum over frames around each is a convolution with the reversed wavelet."""
+    kernels = []
+    for f in of:
+        k = wavelet(f, rate)
+        cut = max(0, len(k) // 2 - (length - 1))
+        kernels.append(k[cut : len(k) - cut])
+    size = 1 << (length + max(map(len, kernels)) - 2).bit_length()
+    return size, np.stack([np.fft.fft(k[::-1], size) for k in kernels]), [len(k) // 2 for k in kernels]
 
 
 def amplitudes(x: np.ndarray, rate: float, of: tuple[float, ...]) -> np.ndarray:
-    """Of a signal with nothing before and after it, (frames, frequencies)."""
-    size = 1 << (len(x) + len(wavelet(min(of), rate)) - 1).bit_length()
-    whole = np.fft.fft(x, size)
-    return np.stack([np.abs(np.fft.ifft(whole * k)[half : half + len(x)]) for half, k in spectra(rate, of, size)], 1)
+    """Of signals with nothing before and after them, (signals, frames), as (signals, frames,
+    frequencies)."""
+    size, kernels, halves = spectra(rate, of, x.shape[1])
+    out = np.empty((*x.shape, len(of)))
+    step = max(1, AT_ONCE // (size * len(of)))
+    for i in range(0, len(x), step):
+        waves = np.fft.ifft(np.fft.fft(x[i : i + step], size)[:, None] * kernels)
+        for j, half in enumerate(halves):
+            out[i : i + step, :, j] = np.abs(waves[:, j, half : half + x.shape[1]])
+    return out
 
 
 def wavelet_features(df: DataFrame, trial: str, frame: str, channels: list[str], *, n: int = 25, lowest: float = 1.0, highest: float = 50.0, rate: float = 100.0, piece: int = 10_000) -> DataFrame:
     """trial, frame, ``power`` (the sum of all amplitudes of a frame) and ``share`` (for
     every channel in turn, for rising frequencies, an amplitude's part in it; 0 where
     the power is). Frames count from 0 without gaps; null and non-finite values are zeros."""
-    ship_code(df.sparkSession)
     of = frequencies(n, lowest, highest)
     border = max(len(wavelet(f, rate)) for f in of) // 2
     clean = lambda c: F.coalesce(F.when(F.abs(F.col(c)) < float("inf"), F.col(c)), F.lit(0.0)).cast("double")
@@ -75,16 +89,31 @@ def wavelet_features(df: DataFrame, trial: str, frame: str, channels: list[str],
     dealt = rows.withColumn("piece", F.explode(at))
     names = [f"c{i}" for i in range(len(channels))]
 
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("frame")
-        mine = (part["frame"] // piece == part["piece"]).to_numpy()
-        got = np.concatenate([amplitudes(part[c].to_numpy(), rate, of)[mine] for c in names], 1)
+    def some(rows: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
+        values = np.stack([rows.column(c).to_numpy() for c in names])
+        mine = rows.column("frame").to_numpy() // piece == rows.column("piece").to_numpy()
+        got = np.empty((rows.num_rows, len(names) * len(of)))
+        # signals of about one length are transformed at once
+        lengths = np.diff(bounds)
+        room = np.array([1 << int(m - 1).bit_length() for m in lengths])
+        for size in np.unique(room):
+            which = np.flatnonzero(room == size)
+            for some in np.split(which, range(max(1, SIGNALS // size), len(which), max(1, SIGNALS // size))):
+                inside = np.arange(size) < lengths[some][:, None]
+                at = (bounds[some][:, None] + np.arange(size))[inside]
+                for i in range(len(names)):
+                    x = np.zeros((len(some), size))
+                    x[inside] = values[i, at]
+                    got[at, i * len(of) : (i + 1) * len(of)] = amplitudes(x, rate, of)[inside]
+        got = got[mine]
         power = got.sum(1)
         share = got / np.where(power > 0, power, 1.0)[:, None]
-        return part.loc[mine, ["trial", "frame"]].assign(power=power, share=pd.Series(list(share), part.index[mine], object))
+        kept = rows.filter(pa.array(mine))
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1, dtype=np.int32) * got.shape[1]), pa.array(share.ravel()))
+        return pa.RecordBatch.from_arrays([kept.column("trial"), kept.column("frame"), pa.array(power), lists], ["trial", "frame", "power", "share"])
 
     kind = dict(rows.dtypes)["trial"]
-    got = dealt.groupBy("trial", "piece").applyInPandas(one, f"trial {kind}, frame long, power double, share array<double>")
+    got = map_groups(dealt, ["trial", "piece"], ["frame"], some, f"trial {kind}, frame long, power double, share array<double>")
     return got.withColumnsRenamed({"trial": trial, "frame": frame})
 
 

@@ -55,6 +55,17 @@ def test_wavelets_of_what_is_missing(spark):
     assert wavelets.wavelet_features(df.where("false"), "trial_id", "frame", ["a"]).count() == 0
 
 
+def test_many_short_signals_are_transformed_at_once(spark, monkeypatch):
+    """Each was transformed for itself, at the length of the longest wavelet."""
+    size, kernels, halves = wavelets.spectra(100.0, wavelets.frequencies(25, 1.0, 50.0), 64)
+    assert size <= 256 and max(halves) == 63
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(40, 64))
+    monkeypatch.setattr(wavelets, "AT_ONCE", 256 * 25 * 7)
+    got = wavelets.amplitudes(x, 100.0, wavelets.frequencies(25, 1.0, 50.0))
+    assert all(np.allclose(got[i], plain_amplitudes(x[i], 100.0, wavelets.frequencies(25, 1.0, 50.0)), atol=1e-9) for i in range(40))
+
+
 # moments and clusters
 
 
@@ -235,6 +246,16 @@ def test_only_missing_parts_are_written(spark, tmp_path):
 # reducers
 
 
+def test_one_call_reduces_many_groups(spark):
+    """Each group was a call of its own, and groups of several columns were joined; keys may be null."""
+    rows = [(None if i % 5 == 0 else i % 5, i // 50, float("nan") if i == 7 else float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "trial_id long, slow_index long, a double").withColumn("b", F.col("a"))
+    own = {"a": align.Reducer("long", whole=lambda v: len(v)), "b": align.Reducer("long", partial=lambda v: [float(len(v))], finish=lambda s: int(s[0]))}
+    got = align.reduce_by(df, own)
+    assert "AggregateInPandas" not in (plan := got._jdf.queryExecution().toString()) and "ArrowAggregate" not in plan
+    assert {(r.trial_id, r.slow_index): (r.a, r.b) for r in got.collect()} == {(t or None, s): (10, 9 if (t, s) == (2, 0) else 10) for t in range(5) for s in range(20)}
+
+
 def test_own_reducers(spark):
     rows = [(1, i % 3 if i % 7 else None, float(i)) for i in range(500)] + [(2, 0, None), (2, 1, 4.0), (2, 1, None)]
     df = spark.createDataFrame(rows, "trial_id long, slow_index long, a double").repartition(5).withColumn("b", F.col("a")).withColumn("c", F.col("a"))
