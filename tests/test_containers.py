@@ -127,3 +127,28 @@ def test_lines_of_many_small_files_are_few_tasks(spark, tmp_path):
     got = containers.sync_lines(spark, str(tmp_path), ["a"], ["b"])
     assert got.rdd.getNumPartitions() < 5
     assert sorted((r.file, r.tick, r.a, r.b) for r in got.collect()) == sorted((f"{i}.h5", t, float(i), None) for i in range(40) for t in range(3))
+
+
+def test_files_are_read_once_for_their_ticks(spark, tmp_path):
+    """The first tick of each file was looked for in a reading of its own, joined to another one."""
+    for i in range(6):
+        (tmp_path / f"{i}.h5").write_bytes(container_of({"on": (np.arange(9) > i).astype("u1"), "n": np.arange(9) - 2}))
+    got = containers.clipped(containers.sync_lines(spark, str(tmp_path), ["on", "n"]), "on", "n", 1.0)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 2  # ranges, and what they hold
+    first = [max(i + 1, 2) - 1 for i in range(6)]
+    assert sorted((r.file, r.tick, r.time) for r in got.collect()) == [(f"{i}.h5", t, float(t - first[i])) for i in range(6) for t in range(first[i], 9)]
+
+
+def test_small_files_are_fetched_at_once(tmp_path):
+    (tmp_path / "a.h5").write_bytes(data := container_of({"g/a": np.arange(5)}))
+    reads = []
+
+    class Counted(containers.LineReader):
+        def opened(self, part):
+            with super().opened(part) as f:
+                reads.append(type(f))
+                return containers.closing(pa.BufferReader(f.read()))
+
+    part = containers.ByteRange(str(tmp_path / "a.h5"), "a.h5", len(data), 0, 5)
+    (batch,) = Counted({"path": str(tmp_path), "lines": ["a"], "optional": []}).read(part)
+    assert batch.column("a").to_pylist() == [0, 1, 2, 3, 4] and reads == [pa.BufferReader]
