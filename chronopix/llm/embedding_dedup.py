@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronopix.llm._common import materialise, written
+from chronopix.llm._common import discard, materialise, written
 from chronopix.llm.components import components
 from chronopix.session import ship_code
 
@@ -45,6 +45,9 @@ from chronopix.session import ship_code
 BLOCK = 1024
 #: Centroids of each half's codebook for a table of so many vectors per label and cell.
 PER_CELL = 16
+#: Bytes of a table that a join may broadcast. Spark sizes a table by its files, so too low after
+#: an explode or where they are packed well; here each join is told by the rows that there can be.
+SENT = 8 << 20
 #: Most centroids of a half; a vector's bounds take time with their square. With more
 #: vectors than fill such a grid, cells are fuller and take more shelves.
 MOST_CENTROIDS = 1024
@@ -123,6 +126,20 @@ def local_roots(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[
     return np.concatenate([none, *nodes]), np.concatenate([none, *roots])
 
 
+def sized(table: DataFrame, rows: int, width: int) -> DataFrame:
+    """A side of a join, to be broadcast if ``rows`` of ``width`` bytes are few, and never if not."""
+    return table.hint("broadcast" if rows * width <= SENT else "merge")
+
+
+def first_by_hash(rows: DataFrame, count: int, size: int) -> DataFrame:
+    """The ``size`` rows with the smallest hashes ``h``, of ``count``. The driver merges what each
+    task finds, so that rows which can't be among them are dropped before: hashes are even, and
+    half as many again are let through."""
+    if count > 2 * size:
+        rows = rows.where(F.col("h") < int(1.5 * size / count * 2**64) - (1 << 63))
+    return rows.orderBy("h", "first").limit(size)
+
+
 def is_usable() -> Column:
     """Whether a row's vector can link with any other."""
     e = F.col("embedding")
@@ -143,8 +160,8 @@ def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int =
     sums, edges = None, None
     for dim in sorted(dims):
         one = same.where(F.size("x") == dim)
-        count = one.count()
-        sample = one.orderBy("h", "first").limit(sample_size).select("x").toPandas()["x"]
+        count, letters = one.agg(F.count("*"), F.max(F.octet_length("label"))).first()
+        sample = first_by_hash(one.select("h", "first", "x"), count, sample_size).select("x").toPandas()["x"]
         unit = unit_rows(np.array(sample.tolist(), float))
         labels = max(1, one.select("label").distinct().count())
         k = int(np.clip(round((count / labels / PER_CELL) ** 0.5), 4, MOST_CENTROIDS))
@@ -170,13 +187,14 @@ def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int =
         # cells, in their order in the grid, are put on shelves of about BLOCK vectors; a crowded cell takes several
         sizes = placed.groupBy("label", F.col("own").alias("cell")).agg(F.count("*").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("label").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
-        shelves = sizes.withColumn("upto", upto).select("label", "cell", F.floor((F.col("upto") - F.col("n")) / BLOCK).alias("lo"), F.floor((F.col("upto") - 1) / BLOCK).alias("hi"))
+        shelves = written(sizes.withColumn("upto", upto).select("label", "cell", F.floor((F.col("upto") - F.col("n")) / BLOCK).alias("lo"), F.floor((F.col("upto") - 1) / BLOCK).alias("hi")))
+        by_cell = sized(shelves, min(count, labels * k * k), 64 + letters)
         deal = lambda salt, n: F.pmod(F.xxhash64("first", F.lit(salt)), n)
-        member = placed.select("label", F.col("own").alias("cell"), "first", "many", "raw").join(shelves, ["label", "cell"]).withColumn("shelf", F.col("lo") + deal(0, F.col("hi") - F.col("lo") + 1))
+        member = placed.select("label", F.col("own").alias("cell"), "first", "many", "raw").join(by_cell, ["label", "cell"]).withColumn("shelf", F.col("lo") + deal(0, F.col("hi") - F.col("lo") + 1))
         # a query goes once to each shelf that holds any of its cells; only ids are expanded
-        visits = placed.select("label", "first", F.explode("cells").alias("cell")).join(shelves, ["label", "cell"]).select("label", "first", F.explode(F.sequence("lo", "hi")).alias("shelf")).distinct()
-        turns = visits.groupBy("label", "shelf").agg(F.ceil(F.count("*") / BLOCK).alias("turns"))
-        query = visits.join(placed.select("label", "first", "raw"), ["label", "first"]).join(turns, ["label", "shelf"]).withColumn("turn", deal(1, F.col("turns")))
+        visits = written(placed.select("label", "first", F.explode("cells").alias("cell")).join(by_cell, ["label", "cell"]).select("label", "first", F.explode(F.sequence("lo", "hi")).alias("shelf")).distinct())
+        turns = sized(visits.groupBy("label", "shelf").agg(F.ceil(F.count("*") / BLOCK).alias("turns")), labels + count // BLOCK, 64 + letters)
+        query = visits.join(placed.select("label", "first", "raw").hint("merge"), ["label", "first"]).join(turns, ["label", "shelf"]).withColumn("turn", deal(1, F.col("turns")))
         member = member.join(turns, ["label", "shelf"]).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)))
         keys = ["label", "shelf", "turn"]
 
@@ -197,13 +215,14 @@ def link_vectors(vectors: DataFrame, *, least: float = 0.98, sample_size: int =
         other_side = member.select(*[F.col(c).alias(f"m_{c}") for c in (*keys, "first", "many", "raw")])
         pairs = query.select(*keys, "first", "raw").groupBy(*keys).cogroup(other_side.groupBy(*[f"m_{c}" for c in keys])).applyInArrow(compare, "first long, links long, other long")
         pairs = written(pairs)
+        discard(placed, shelves, visits)
         part_sums, part_edges = pairs.groupBy("first").agg(F.sum("links").alias("links")), pairs.select(F.col("first").alias("a"), F.col("other").alias("b"))
         sums, edges = (part_sums, part_edges) if sums is None else (sums.union(part_sums), edges.union(part_edges))
     if sums is None:
         return table.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     named = components(edges).withColumnRenamed("node", "first")
     # a set of equal vectors stands for all its members
-    groups = same.join(sums, "first", "left").join(named, "first", "left").select(F.col("label").alias("g_label"), F.col("h").alias("g_h"), F.col("x").alias("g_x"), (F.col("many") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "first").alias("component_id"))
-    got = rows.join(groups, (F.col("label") == F.col("g_label")) & (F.col("h") == F.col("g_h")) & (F.col("x") == F.col("g_x"))).select("vec_id", "n_links", "component_id")
+    groups = same.join(sums.hint("merge"), "first", "left").join(named.hint("merge"), "first", "left").select(F.col("label").alias("g_label"), F.col("h").alias("g_h"), F.col("x").alias("g_x"), (F.col("many") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "first").alias("component_id"))
+    got = rows.join(groups.hint("merge"), (F.col("label") == F.col("g_label")) & (F.col("h") == F.col("g_h")) & (F.col("x") == F.col("g_x"))).select("vec_id", "n_links", "component_id")
     rest = table.where(~is_usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return got.union(rest).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))

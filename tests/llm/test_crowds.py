@@ -86,3 +86,57 @@ def test_bounds_of_a_partners_size():
     x, y = np.meshgrid(np.arange(len(n)), np.arange(len(n)))
     want = ngram_join.may_link(n[x], p[x], n[y], p[y], 75)
     assert np.array_equal(want, (n[y] >= least[x]) & (n[x] >= least[y]) & (n[y] <= most[x]) & (n[x] <= most[y]))
+
+
+def below_broadcasts(plan):
+    """The operators of a physical plan that stand below an exchange that broadcasts."""
+    inside, found = None, []
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-*()0123456789")
+        depth = len(line) - len(name)
+        if inside is not None and depth > inside:
+            found.append(name)
+        else:
+            inside = depth if name.startswith("BroadcastExchange") else None
+    return found
+
+
+@pytest.mark.parametrize("sent", [0, 8 << 20])
+def test_exploded_cells_are_not_broadcast(spark, monkeypatch, sent):
+    """Spark takes the table of visits for as small as that of vectors, and would send it to the driver."""
+    from chronopix.llm import embedding_dedup
+
+    plans = []
+
+    def noted(df, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, **options)
+
+    monkeypatch.setattr(embedding_dedup, "written", noted)
+    monkeypatch.setattr(embedding_dedup, "SENT", sent, raising=False)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(40, 8))
+    rows = [(i, (base[i % 40] + 0.1 * rng.normal(size=8)).tolist(), i % 2) for i in range(600)]
+    got = embedding_dedup.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    unit = np.array([x for _, x, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.98) & (np.arange(600)[:, None] % 2 == np.arange(600) % 2)
+    assert {r.vec_id: r.n_links for r in got.collect()} == dict(enumerate((near.sum(1) - 1).tolist()))
+    assert any("Generate" in p for p in plans)
+    assert not [x for p in plans for x in below_broadcasts(p) if "Generate" in x]
+    assert sent or not any("BroadcastExchange" in p for p in plans[:-1])
+
+
+def test_a_sample_is_merged_from_few_rows(spark):
+    """The driver merges what each task finds: of the smallest hashes, few others come along."""
+    from chronopix.llm.embedding_dedup import first_by_hash
+
+    rows = spark.range(0, 40_000, 1, 50).select(F.xxhash64("id").alias("h"), F.col("id").alias("first"))
+    got = first_by_hash(rows, 40_000, 500)
+    assert got.collect() == rows.orderBy("h", "first").limit(500).collect()
+    plan = got._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() not in ("Sort",):
+        plan = plan.children().apply(0)
+    merged = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan).count()
+    assert 500 <= merged <= 1000
