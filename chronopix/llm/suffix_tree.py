@@ -279,7 +279,8 @@ PASSES = (range(2, 3), range(3, 4), range(4, DEPTH + 2))
 def grow_tree(texts: DataFrame, words: DataFrame, n_train: int, vocabulary: int, parts: int, least: int, gain: float) -> DataFrame:
     """``key`` and ``w``: what each run of a text adds to its score. Runs are counted in
     PASSES over the texts, until no context is kept."""
-    symbols = words.where(F.col("n") >= least).groupBy(F.col("h").bitwiseAND(0xFFFFFFFF).alias("g")).agg(F.sum("n").alias("n"))
+    # all words of a symbol count, rare ones too, as runs count them: no context is followed more often than it occurs
+    symbols = words.groupBy(F.col("h").bitwiseAND(0xFFFFFFFF).alias("g")).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     # of runs of the length before: count, that of the later part, and the symbol's logarithm at the later part's context
     before = written(symbols.select("g", "n", F.lit(n_train).cast("long").alias("n_b"), F.log10((F.col("n") + 1) / (n_train + vocabulary + 1)).alias("lp")))
     contexts = before.where(F.col("g") != END & 0xFFFFFFFF)

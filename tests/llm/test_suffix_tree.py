@@ -4,6 +4,8 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
@@ -126,3 +128,28 @@ def test_words_have_one_hash_wherever_they_stand(monkeypatch):
         short = {w: x for w, x in hashes.items() if len(w.encode()) <= 16}
         assert all(of.setdefault(w, x) == x and word.setdefault(x, w) == w for w, x in short.items())
     assert read([])[0].size == 0
+
+
+@pytest.mark.parametrize(("often", "seldom"), [(6, 5), (5, 1), (6, 1)])
+def test_words_with_equal_lower_halves_share_their_contexts(spark, often, seldom):
+    """Whatever their counts: a rare word's runs are also those of its twin, which is not followed
+    more often than it occurs."""
+    from chronopix.llm.suffix_tree import LOW, Reader, score_texts
+
+    names = [f"word{i}" for i in range(400_000)]
+    low = Reader()([" ".join(names)])[0][1:-1] & LOW
+    order = np.argsort(low, kind="stable")
+    k = int(np.flatnonzero(np.diff(low[order]) == 0)[0])
+    first, twin = names[order[k]], names[order[k + 1]]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    texts = [f"a{i} b{i % 7} {first} after c{i % 5}" for i in range(often)] + [f"d{i} e{i % 3} {twin} after f{i % 4}" for i in range(seldom)] + [f"g{i % 9} after h{i % 8} i{i}" for i in range(40)]
+    rows = list(zip((i for i in range(1000) if not held(i)), texts)) + [(next(i for i in range(1000, 2000) if held(i)), f"x {first} after {twin} after")]
+    words = Counter(w for i, t in rows if not held(i) for w in t.split())
+    one = lambda t: t.replace(twin, first)
+    tree = Tree([one(t) for i, t in rows if not held(i)], 5, 6, 2.0)
+    tree.v += 1
+    assert (first,) in tree.share
+    got = {r.doc_id: r for r in score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        own = sum(math.log10((words[w] + 1) / (tree.words[first] + 1)) for w in t.split() if w in (first, twin))
+        assert math.isclose(got[i].score, tree.score(one(t)) + own, rel_tol=1e-9, abs_tol=1e-6)
